@@ -188,3 +188,29 @@ def with_views(sql: str, *extra_ctes: tuple[str, str]) -> str:
     if not ctes:
         return sql.strip()
     return "WITH " + ",\n".join(ctes) + "\n" + sql.strip()
+
+
+# --- search responses: the store's view of ``changes`` (for S4, S5) ---
+
+FETCH_PAGE = 1000
+
+
+def hits_from_changes(c: DataFrame) -> DataFrame:
+    """One hit per change, with fields missing on purpose for some sequences."""
+    from tributary.sources.search import hit_json
+    seq = F.col("sequence")
+    return c.select(
+        "sequence", (F.floor(seq / FETCH_PAGE)).cast("bigint").alias("page"),
+        hit_json(seq=F.when(seq % 83 != 0, seq),
+                 index=F.when(seq % 79 != 0, F.col("index")),
+                 doc_id=F.when(seq % 89 != 0, F.col("doc_id")),
+                 primary_term=F.when(seq % 7 != 0, seq % 5 + 1)).alias("hit"))
+
+
+def responses_from_changes(c: DataFrame) -> DataFrame:
+    """Search responses of at most FETCH_PAGE hits; every fourth page is an error body."""
+    hits = hits_from_changes(c)
+    pages = hits.groupBy("page").agg(F.concat_ws(",", F.collect_list("hit")).alias("hits"))
+    body = F.when(F.col("page") % 4 == 3, F.lit('{"took":1,"error":"shard failure"}')).otherwise(
+        F.concat(F.lit('{"took":1,"hits":{"hits":['), F.col("hits"), F.lit("]}}")))
+    return pages.select("page", body.alias("body"))

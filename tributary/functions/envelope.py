@@ -100,3 +100,35 @@ def empty_map_as_null(m) -> Column:
 def timestamp_text(ts="timestamp") -> Column:
     """RFC 3339 text with microseconds in UTC (the engine's wire form)."""
     return F.date_format(col(ts), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
+
+
+def make_event(operation, index, doc_id, source=None, version=None, routing=None, pipeline=None,
+               doc_type=None) -> Column:
+    """Event template; a delete never carries a body."""
+    # a known operation name is a constant, any other string names a column
+    op = F.lit(operation) if isinstance(operation, str) and operation in OPERATIONS else col(operation)
+    body = F.lit(None).cast("string") if source is None else col(source)
+    body = F.when(op != "delete", body)
+
+    def opt(c, t):
+        return F.lit(None).cast(t) if c is None else col(c).cast(t)
+    return F.struct(op.alias("operation"), col(index).alias("index"), col(doc_id).alias("doc_id"),
+                    (F.lit(DEFAULT_DOC_TYPE) if doc_type is None else col(doc_type)).alias("doc_type"),
+                    opt(version, "bigint").alias("version"), opt(routing, "string").alias("routing"),
+                    opt(pipeline, "string").alias("pipeline"), body.alias("source"))
+
+
+def index_event(index, doc_id, source) -> Column:
+    return make_event("index", index, doc_id, source)
+
+
+def update_event(index, doc_id, source) -> Column:
+    return make_event("update", index, doc_id, source)
+
+
+def partial_update_event(index, doc_id, source) -> Column:
+    return make_event("partial_update", index, doc_id, source)
+
+
+def delete_event(index, doc_id) -> Column:
+    return make_event("delete", index, doc_id)

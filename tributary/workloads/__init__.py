@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("filtering",)
+MODULES = ("filtering", "envelope")
 
 
 def load_all() -> None:
