@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("filtering", "envelope")
+MODULES = ("filtering", "envelope", "scans", "applying")
 
 
 def load_all() -> None:
