@@ -56,7 +56,7 @@ def redelivered(spark: SparkSession, sf_dir: str) -> DataFrame:
     return c.unionByName(c.filter(F.col("sequence") % 5 == 0))
 
 
-def attempts_from_changes(c: DataFrame) -> DataFrame:
+def attempts_from_changes(c: DataFrame, with_source: bool = False) -> DataFrame:
     seq = F.col("sequence")
     status = (F.when(seq % 11 == 0, F.lit(400)).when(seq % 17 == 0, F.lit(503))
               .when(seq % 23 == 0, F.lit(409)).otherwise(F.lit(200)))
@@ -68,11 +68,12 @@ def attempts_from_changes(c: DataFrame) -> DataFrame:
         status.cast("int").alias("status"),
         kind.alias("error_kind"),
         ((seq * 37) % 1000).alias("duration_ms"),
+        *(["source"] if with_source else []),
     )
 
 
-def attempts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return attempts_from_changes(changes(spark, sf_dir))
+def attempts(spark: SparkSession, sf_dir: str, with_source: bool = False) -> DataFrame:
+    return attempts_from_changes(changes(spark, sf_dir), with_source)
 
 
 def log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -185,9 +186,12 @@ def with_views(sql: str, *extra_ctes: tuple[str, str]) -> str:
         used.insert(0, "changes")
     ctes = [f"{v} AS ({_VIEW_SQL[v].strip()})" for v in _VIEW_ORDER if v in used]
     ctes += [f"{name} AS ({body.strip()})" for name, body in extra_ctes]
+    body = sql.strip()
     if not ctes:
-        return sql.strip()
-    return "WITH " + ",\n".join(ctes) + "\n" + sql.strip()
+        return body
+    if body.upper().startswith("WITH RECURSIVE"):
+        return "WITH RECURSIVE " + ",\n".join(ctes) + ",\n" + body[len("WITH RECURSIVE"):].lstrip()
+    return "WITH " + ",\n".join(ctes) + "\n" + body
 
 
 # --- search responses: the store's view of ``changes`` (for S4, S5) ---
@@ -214,3 +218,31 @@ def responses_from_changes(c: DataFrame) -> DataFrame:
     body = F.when(F.col("page") % 4 == 3, F.lit('{"took":1,"error":"shard failure"}')).otherwise(
         F.concat(F.lit('{"took":1,"hits":{"hits":['), F.col("hits"), F.lit("]}}")))
     return pages.select("page", body.alias("body"))
+
+
+# --- bulk responses: the store's answer to each write batch (for A13, A18, J1) ---
+
+# Error type and reason the store reports per error kind.
+STORE_ERRORS = {"Serialization": ("mapper_parsing_exception", "failed to parse"),
+                "Timeout": ("timeout_exception", "timed out"),
+                "Elasticsearch": ("version_conflict_engine_exception", "version conflict")}
+
+
+def bulk_responses(batched_attempts: DataFrame, by=("lane", "batch_no")) -> DataFrame:
+    """One response per batch; items in request order (bounded by the batch size)."""
+    from tributary.sinks.bulk import response_item
+    op = F.col("operation")
+    action = (F.when(op == "partial_update", F.lit("update")).when(op == "delete", F.lit("delete"))
+              .otherwise(F.lit("index")))
+    etype, reason = F.lit(None).cast("string"), F.lit(None).cast("string")
+    for kind, (t, r) in STORE_ERRORS.items():
+        etype = F.when(F.col("error_kind") == kind, F.lit(t)).otherwise(etype)
+        reason = F.when(F.col("error_kind") == kind, F.lit(r)).otherwise(reason)
+    item = response_item(action, F.col("index"), F.col("doc_id"), F.col("status"), etype, reason)
+    g = batched_attempts.groupBy(*by).agg(
+        F.array_sort(F.collect_list(F.struct(F.col("batch_pos").alias("p"), item.alias("i")))).alias("xs"),
+        F.max("duration_ms").alias("took"), F.max(F.col("status") >= 300).alias("errors"))
+    body = F.concat(F.lit('{"took":'), F.col("took").cast("string"), F.lit(',"errors":'),
+                    F.col("errors").cast("string"), F.lit(',"items":['),
+                    F.array_join(F.transform("xs", lambda x: x["i"]), ","), F.lit("]}"))
+    return g.select(*by, body.alias("body"))

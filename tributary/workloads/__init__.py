@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("filtering", "envelope", "scans", "applying")
+MODULES = ("filtering", "envelope", "scans", "applying", "writing")
 
 
 def load_all() -> None:
