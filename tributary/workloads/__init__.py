@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("filtering", "envelope", "scans", "applying", "writing")
+MODULES = ("filtering", "envelope", "scans", "applying", "writing", "stages")
 
 
 def load_all() -> None:
