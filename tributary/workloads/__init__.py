@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("filtering", "envelope", "scans", "applying", "writing", "stages")
+MODULES = ("filtering", "envelope", "scans", "applying", "writing", "stages", "streams")
 
 
 def load_all() -> None:
