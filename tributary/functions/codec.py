@@ -69,11 +69,11 @@ def decode(df: DataFrame, payload: str = "payload", keep: tuple = (), strict_bod
     return parsed.select(
         *keep, "payload",
         m["msg_id"].alias("msg_id"), ts.alias("timestamp"), m["source"].alias("source_id"),
-        seq.cast("bigint").alias("sequence"), term.cast("bigint").alias("primary_term"),
+        seq.try_cast("bigint").alias("sequence"), term.try_cast("bigint").alias("primary_term"),
         m["correlation_id"].alias("correlation_id"), m["headers"].alias("headers"),
         ev["operation"].alias("operation"), ev["index"].alias("index"), ev["doc_id"].alias("doc_id"),
         F.coalesce(ev["doc_type"], F.lit(DEFAULT_DOC_TYPE)).alias("doc_type"),
-        ver.cast("bigint").alias("version"), ev["routing"].alias("routing"),
+        ver.try_cast("bigint").alias("version"), ev["routing"].alias("routing"),
         ev["pipeline"].alias("pipeline"), ev["source"].alias("source"),
         reason.alias("reason"))
 

@@ -24,7 +24,7 @@ from typing import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tributary.session import scratch_path
+from tributary.session import materialize, scratch_path
 
 KEY = ("index", "doc_id")
 FULL_WRITES = ("index", "update")
@@ -160,8 +160,10 @@ class KeyedTable:
         current = self.read(include_tombstones=True).join(touched, ["index", "bucket"], "left_semi")
         new = apply_changes(b.drop("bucket"), current.drop("bucket"), self.key, keep_tombstones=True)
         new = new.withColumn("bucket", bucket_of("doc_id", self.buckets))
-        # materialise in the shared checkpoint folder: cuts the read/overwrite cycle
-        # and keeps the result when an executor is lost during the write
-        new = new.checkpoint(eager=True)
-        (new.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("index", "bucket").parquet(self.path))
+        # staged in the shared folder: cuts the read/overwrite cycle on the table
+        # and keeps the result when an executor is lost during the final write
+        new = materialize(new, "stage/keyed")
+        # one writer task per (index, bucket) partition -> one file each; a hot
+        # index is spread over its buckets, and every key is one row here
+        (new.repartition("index", "bucket").write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").partitionBy("index", "bucket").parquet(self.path))

@@ -29,7 +29,7 @@ from tributary.operators import dlq as dq
 from tributary.operators import filters as flt
 from tributary.operators.apply import KeyedTable
 from tributary.operators.transform import apply_transform
-from tributary.session import scratch_path
+from tributary.session import materialize, scratch_path
 from tributary.sources import cursor as cur
 
 
@@ -114,21 +114,27 @@ def gate_stage(spark: SparkSession, paths: SyncPaths, cfg: SyncConfig) -> DataFr
 def write_stage(spark: SparkSession, paths: SyncPaths, cfg: SyncConfig) -> DataFrame:
     """Dedupe, batch, apply, DLQ.  Returns per-batch write results."""
     msgs = codec.valid(codec.decode(spark.read.parquet(paths.forwarded)))
-    msgs = msgs.dropDuplicates(["msg_id"])                                       # T7
+    # de-duplicated once and written to the shared folder: the
+    # batching reads it twice (bucket counts, positions); cuts the lineage
+    msgs = materialize(msgs.dropDuplicates(["msg_id"]), "stage/messages")          # T7
     batched = bt.batch_by_count(msgs, cfg.batch_size, lane=bt.key_lane(cfg.lanes))
     # a change the store cannot take: body required but missing or not JSON
     bad = env.body_missing() | (F.col("source").isNotNull() & F.try_parse_json("source").isNull())
-    # used by the DLQ append, the apply and the stats: materialised once in the
-    # shared checkpoint folder (survives executor loss, cuts the lineage)
-    checked = batched.withColumn("_bad", bad).checkpoint(eager=True)
-    failed = checked.filter("_bad")
-    dq.append(dq.dlq_entries(failed, F.lit("document has no valid body"), F.lit("Serialization"),
-                             F.col("timestamp")), paths.dlq)                    # K11
-    table = KeyedTable(spark, paths.target, cfg.buckets)
-    table.apply(checked.filter(~F.col("_bad")).select("sequence", "operation", "index", "doc_id", "source"))
-    return checked.groupBy("lane", "batch_no").agg(
-        F.count_if(~F.col("_bad")).alias("success_count"), F.count_if("_bad").alias("failure_count"),
-        F.sum(env.envelope_size()).cast("bigint").alias("size_bytes"))
+    # three consumers (DLQ, apply, stats); a lost block is recomputed from the staged table
+    checked = batched.withColumn("_bad", bad).persist()
+    try:
+        failed = checked.filter("_bad")
+        dq.append(dq.dlq_entries(failed, F.lit("document has no valid body"), F.lit("Serialization"),
+                                 F.col("timestamp")), paths.dlq)                # K11
+        table = KeyedTable(spark, paths.target, cfg.buckets)
+        table.apply(checked.filter(~F.col("_bad")).select("sequence", "operation", "index", "doc_id", "source"))
+        stats = checked.groupBy("lane", "batch_no").agg(
+            F.count_if(~F.col("_bad")).alias("success_count"), F.count_if("_bad").alias("failure_count"),
+            F.sum(env.envelope_size()).cast("bigint").alias("size_bytes"))
+        stats = materialize(stats, "stage/write_results")
+    finally:
+        checked.unpersist()
+    return stats
 
 
 def sync(spark: SparkSession, feed: DataFrame, cfg: SyncConfig, paths: SyncPaths | None = None) -> KeyedTable:

@@ -20,6 +20,7 @@ SESSION_DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
     # failed tasks are retried, lost executors re-run their map stages
     "spark.task.maxFailures": "4",
 }
@@ -73,3 +74,15 @@ def ensure_local_dir(path: str) -> str:
     if "://" not in path:
         os.makedirs(p, exist_ok=True)
     return path
+
+
+def materialize(df, kind: str = "stage"):
+    """Write ``df`` as a parquet table under the shared folder and read it back.
+
+    Cuts the lineage (a lost executor never forces recomputation past this
+    point), lets several consumers share one computation, and breaks any
+    read-then-overwrite cycle on a table.  Columnar write, vectorised read.
+    """
+    path = scratch_path(df.sparkSession, kind)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)

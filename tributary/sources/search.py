@@ -44,14 +44,14 @@ def normalise_hits(hits: DataFrame, hit: str = "hit", keep: tuple = ()) -> DataF
     """
     h = F.from_json(col(hit), HIT_SCHEMA)
     p = hits.select(*keep, h.alias("_h")).filter(F.col("_h._seq_no").isNotNull())
-    seq = F.col("_h._seq_no").cast("bigint")
+    seq = F.col("_h._seq_no").try_cast("bigint")
     return p.select(
         *keep,
         seq.alias("sequence"),
         F.lit("index").alias("operation"),
         F.coalesce(F.col("_h._index"), F.lit(UNKNOWN)).alias("index"),
         F.coalesce(F.col("_h._id"), F.lit(UNKNOWN)).alias("doc_id"),
-        F.coalesce(F.col("_h._primary_term").cast("bigint"), F.lit(DEFAULT_PRIMARY_TERM)).alias("primary_term"),
+        F.coalesce(F.col("_h._primary_term").try_cast("bigint"), F.lit(DEFAULT_PRIMARY_TERM)).alias("primary_term"),
         seq.alias("version"),
         F.col("_h._source").alias("source"))
 
