@@ -1,0 +1,33 @@
+"""Checkpoint thinning against the plain greedy walk."""
+
+import random
+
+from tributary.operators.thinning import thin_checkpoints
+
+
+def _greedy(seqs, threshold, start):
+    out, last = [], start
+    for s in sorted(set(seqs)):
+        if s - last >= threshold:
+            out.append(s)
+            last = s
+    return out
+
+
+def test_reference_case(spark):
+    # threshold 10, saves 1..10 after a start at 0: only 10 is persisted
+    df = spark.createDataFrame([("s", i) for i in range(1, 11)], "source_id string, sequence bigint")
+    got = sorted(r["sequence"] for r in thin_checkpoints(df, 10, 0).collect())
+    assert got == [10]
+
+
+def test_random_gaps_many_buckets(spark):
+    rnd = random.Random(1)
+    rows = [(f"s{k}", rnd.randint(0, 3000)) for k in range(3) for _ in range(400)]
+    df = spark.createDataFrame(rows, "source_id string, sequence bigint")
+    got = {}
+    for r in thin_checkpoints(df, 37, 5, bucket_width=64).collect():
+        got.setdefault(r["source_id"], []).append(r["sequence"])
+    for k in range(3):
+        want = _greedy([s for src, s in rows if src == f"s{k}"], 37, 5)
+        assert sorted(got.get(f"s{k}", [])) == want

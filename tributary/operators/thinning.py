@@ -1,0 +1,74 @@
+"""Checkpoint thinning (W7): which commits get persisted when a commit is
+written only once it is at least ``threshold`` past the last saved one.
+
+The greedy chain is sequential by definition (each saved point decides the
+next), but it is computed here exactly and in parallel, without collecting a
+source into one task:
+
+1. successor pointers: ``next(c) = min{c' : c' >= c + threshold}`` per source,
+   from a window over commits and probes inside buckets of ``bucket_width``
+   sequence numbers (bounded groups, no pairs), plus the first commit of the
+   next non-empty bucket for probes whose bucket has none left;
+2. pointer doubling from the start point: after round k the reached set holds
+   the first 2^k saved points, so the chain needs log2(length) rounds of
+   joins; each round is written to the shared folder (cuts the lineage).
+
+In a stream the micro-batch is the commit unit and its offset log replaces
+this; the job answers the question analytically over a commit log.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
+
+from tributary.session import materialize
+
+MAX_ROUNDS = 64
+
+
+def _successors(commits: DataFrame, probes: DataFrame, src: str, bucket_width: int) -> DataFrame:
+    """For each probe ``(src, probe_id, v)`` the smallest commit value >= v (NULL if none)."""
+    b = lambda c: F.floor(c / F.lit(bucket_width)).cast("bigint")
+    u = (probes.select(src, "probe_id", F.col("v"), F.lit(0).alias("kind"))
+         .unionByName(commits.select(src, F.lit(None).cast("bigint").alias("probe_id"), F.col("v"),
+                                     F.lit(1).alias("kind")))
+         .withColumn("b", b(F.col("v"))))
+    w = Window.partitionBy(src, "b").orderBy("v", "kind").rowsBetween(Window.currentRow, Window.unboundedFollowing)
+    in_bucket = u.withColumn("succ", F.min(F.when(F.col("kind") == 1, F.col("v"))).over(w)).filter("kind = 0")
+    # first commit of any later bucket: a small table of one row per (source, bucket)
+    buckets = u.groupBy(src, "b").agg(F.min(F.when(F.col("kind") == 1, F.col("v"))).alias("bmin"))
+    later = Window.partitionBy(src).orderBy("b").rowsBetween(1, Window.unboundedFollowing)
+    buckets = buckets.withColumn("next_min", F.min("bmin").over(later)).select(src, "b", "next_min")
+    j = in_bucket.join(buckets, [src, "b"], "left")
+    return j.select(src, "probe_id", F.coalesce("succ", "next_min").alias("succ"))
+
+
+def thin_checkpoints(commits: DataFrame, threshold: int, start: int = 0, source: str = "source_id",
+                     seq: str = "sequence", bucket_width: int = 1 << 20) -> DataFrame:
+    """The commits persisted per source, starting from the loaded checkpoint ``start``.
+
+    Returns ``(source, sequence)`` of every persisted commit.
+    """
+    c = commits.select(F.col(source).alias("src"), F.col(seq).cast("bigint").alias("v")).distinct()
+    c = materialize(c, "stage/thin_commits")
+    probes = c.select("src", (F.col("v") + threshold).alias("v"), F.col("v").alias("probe_id"))
+    nxt = _successors(c, probes, "src", bucket_width).select("src", F.col("probe_id").alias("node"),
+                                                              F.col("succ").alias("to"))
+    first_probe = c.select("src").distinct().select("src", F.lit(None).cast("bigint").alias("probe_id"),
+                                                    F.lit(start + threshold).cast("bigint").alias("v"))
+    reached = _successors(c, first_probe, "src", bucket_width).filter(F.col("succ").isNotNull()).select(
+        "src", F.col("succ").alias("node"))
+    reached = materialize(reached, "stage/thin_reached")
+    jump = materialize(nxt.filter(F.col("to").isNotNull()), "stage/thin_jump")
+    for _ in range(MAX_ROUNDS):
+        new = (reached.join(jump, ["src", "node"]).select("src", F.col("to").alias("node"))
+               .join(reached, ["src", "node"], "left_anti"))
+        new = materialize(new, "stage/thin_new")
+        if new.isEmpty():
+            break
+        reached = materialize(reached.unionByName(new), "stage/thin_reached")
+        j2 = jump.alias("a").join(jump.alias("b"), (F.col("a.src") == F.col("b.src")) & (F.col("a.to") == F.col("b.node")))
+        jump = materialize(j2.select(F.col("a.src").alias("src"), F.col("a.node").alias("node"),
+                                     F.col("b.to").alias("to")), "stage/thin_jump")
+    return reached.select(F.col("src").alias(source), F.col("node").alias(seq))

@@ -106,3 +106,25 @@ def k6_bulk_apply(spark, sf_dir):
     for lo, hi in bounds[:3] + [bounds[1]] + bounds[3:]:
         table.apply(c.filter((F.col("sequence") >= lo) & (F.col("sequence") < hi)))
     return typed_state(table.read())
+
+
+_THIN_COMMITS = """SELECT concat('feed-', CAST(sequence % 3 AS VARCHAR)) AS source_id, sequence FROM changes
+  WHERE operation <> 'delete' AND starts_with(index, 'app-')"""
+
+
+@register("w7_checkpoint_thin", f"""
+WITH RECURSIVE c AS ({_THIN_COMMITS}),
+n AS (SELECT c1.source_id, c1.sequence,
+        (SELECT min(c2.sequence) FROM c c2 WHERE c2.source_id = c1.source_id AND c2.sequence >= c1.sequence + 10) AS nxt
+      FROM c c1),
+r AS (SELECT source_id, min(sequence) AS sequence FROM c WHERE sequence >= 10 GROUP BY source_id
+      UNION ALL
+      SELECT n.source_id, n.nxt FROM r JOIN n ON n.source_id = r.source_id AND n.sequence = r.sequence
+      WHERE n.nxt IS NOT NULL)
+SELECT source_id, sequence FROM r""")
+def w7_checkpoint_thin(spark, sf_dir):
+    from tributary.operators.thinning import thin_checkpoints
+    c = changes(spark, sf_dir).filter((F.col("operation") != "delete") & F.col("index").startswith("app-"))
+    commits = c.select(F.concat(F.lit("feed-"), (F.col("sequence") % 3).cast("string")).alias("source_id"),
+                       "sequence")
+    return thin_checkpoints(commits, threshold=10, start=0, bucket_width=256)
