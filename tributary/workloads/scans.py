@@ -164,3 +164,48 @@ def u2_large_include_list(spark, sf_dir):
     kept = c.join(cur._maybe_broadcast(include), "doc_id", "left_semi")
     kept = kept.join(cur._maybe_broadcast(exclude), "doc_id", "left_anti")
     return kept.groupBy("index").agg(F.count(F.lit(1)).alias("n"))
+
+
+_SHA = ("sha256(concat_ws('#', 'events', index, doc_id, CAST(sequence AS VARCHAR)))")
+_SHA_UUID = ("concat(substr(s, 1, 8), '-', substr(s, 9, 4), '-', substr(s, 13, 4), '-', "
+             "substr(s, 17, 4), '-', substr(s, 21, 12))")
+
+
+def _delivered(spark, sf_dir):
+    from tributary.fixtures import redelivered
+    return redelivered(spark, sf_dir).withColumn("source_id", F.lit("events")).withColumn("msg_id", env.message_id())
+
+
+@register("j3_unacked", f"""
+SELECT {_SHA_UUID} AS msg_id, CAST(count(*) AS BIGINT) AS deliveries, min(sequence) AS sequence
+FROM (SELECT r.*, {_SHA} AS s FROM redelivered r) d
+WHERE sequence NOT IN (SELECT sequence FROM attempts WHERE status BETWEEN 200 AND 299)
+GROUP BY 1""")
+def j3_unacked(spark, sf_dir):
+    from tributary.fixtures import attempts
+    from tributary.sources.feed import unacked
+    d = _delivered(spark, sf_dir)
+    ok = attempts(spark, sf_dir).filter(F.col("status").between(200, 299)).withColumn(
+        "source_id", F.lit("events")).withColumn("msg_id", env.message_id())
+    return unacked(d, ok)
+
+
+@register("j3_nacked", f"""
+SELECT sequence, {_SHA_UUID} AS msg_id FROM (SELECT r.*, {_SHA} AS s FROM redelivered r) d
+WHERE sequence IN (SELECT sequence FROM attempts WHERE status BETWEEN 500 AND 599)""")
+def j3_nacked(spark, sf_dir):
+    from tributary.fixtures import attempts
+    from tributary.sources.feed import nacked
+    d = _delivered(spark, sf_dir)
+    n = attempts(spark, sf_dir).filter(F.col("status").between(500, 599)).withColumn(
+        "source_id", F.lit("events")).withColumn("msg_id", env.message_id())
+    return nacked(d, n).select("sequence", "msg_id")
+
+
+@register("x3_change_source", """
+SELECT CAST(count(*) AS BIGINT) AS pending FROM changes
+WHERE starts_with(index, 'app-') AND sequence > (SELECT max(sequence) // 2 FROM changes)""")
+def x3_change_source(spark, sf_dir):
+    from tributary.sources.feed import ChangeSource
+    src = ChangeSource(lambda s: changes(s, sf_dir), patterns=["app-*"])
+    return src.pending(spark, _max_seq(changes(spark, sf_dir)) // 2)
