@@ -29,6 +29,7 @@ from tributary.session import materialize, scratch_path
 KEY = ("index", "doc_id")
 FULL_WRITES = ("index", "update")
 STATE_COLUMNS = ("sequence", "deleted", "source")
+MAX_PRUNE_VALUES = 100_000
 
 
 def latest_per_key(changes: DataFrame, key: Sequence[str] = KEY, seq: str = "sequence",
@@ -43,9 +44,8 @@ def latest_per_key(changes: DataFrame, key: Sequence[str] = KEY, seq: str = "seq
 
 
 def _sorted_json(m: Column) -> Column:
-    by_key = F.array_sort(F.map_entries(m), lambda a, b: F.when(a["key"] < b["key"], -1)
-                          .when(a["key"] > b["key"], 1).otherwise(0))
-    return F.to_json(F.map_from_entries(by_key))
+    keys = F.array_sort(F.map_keys(m))
+    return F.to_json(F.map_from_arrays(keys, F.transform(keys, lambda k: F.element_at(m, k))))
 
 
 def apply_changes(changes: DataFrame, target: DataFrame | None = None, key: Sequence[str] = KEY,
@@ -147,22 +147,44 @@ class KeyedTable:
         schema = "index string, doc_id string, sequence bigint, deleted boolean, source string, bucket int"
         return self.spark.createDataFrame([], schema)
 
-    def read(self, include_tombstones: bool = False) -> DataFrame:
+    def exists(self) -> bool:
         try:
-            df = self.spark.read.parquet(self.path)
-        except Exception:  # noqa: BLE001 - table not written yet
-            df = self._empty()
+            self.spark.read.parquet(self.path).schema
+            return True
+        except Exception:  # noqa: BLE001 - not written yet
+            return False
+
+    def read(self, include_tombstones: bool = False) -> DataFrame:
+        df = self.spark.read.parquet(self.path) if self.exists() else self._empty()
         return df if include_tombstones else df.filter(~F.col("deleted"))
 
+    def _touched(self, batch: DataFrame) -> DataFrame | None:
+        """Current rows of the partitions the batch touches.
+
+        The touched partition values are bounded by the table's partition count
+        (index names x buckets), so they are read to the driver and become
+        static partition filters; the semi join keeps the exact pairs.
+        """
+        if not self.exists():
+            return None
+        touched = batch.select("index", "bucket").distinct()
+        current = self.read(include_tombstones=True)
+        vals = touched.limit(MAX_PRUNE_VALUES + 1).collect()
+        if len(vals) <= MAX_PRUNE_VALUES:
+            current = current.filter(F.col("index").isin(sorted({r["index"] for r in vals}))
+                                     & F.col("bucket").isin(sorted({r["bucket"] for r in vals})))
+        return current.join(touched, ["index", "bucket"], "left_semi")
+
     def apply(self, batch: DataFrame) -> None:
         b = batch.withColumn("bucket", bucket_of("doc_id", self.buckets))
-        touched = b.select("index", "bucket").distinct()
-        current = self.read(include_tombstones=True).join(touched, ["index", "bucket"], "left_semi")
-        new = apply_changes(b.drop("bucket"), current.drop("bucket"), self.key, keep_tombstones=True)
+        current = self._touched(b)
+        new = apply_changes(b.drop("bucket"), None if current is None else current.drop("bucket"),
+                            self.key, keep_tombstones=True)
         new = new.withColumn("bucket", bucket_of("doc_id", self.buckets))
-        # staged in the shared folder: cuts the read/overwrite cycle on the table
-        # and keeps the result when an executor is lost during the final write
-        new = materialize(new, "stage/keyed")
+        if current is not None:
+            # staged in the shared folder: cuts the read/overwrite cycle on the table
+            # and keeps the result when an executor is lost during the final write
+            new = materialize(new, "stage/keyed")
         # one writer task per (index, bucket) partition -> one file each; a hot
         # index is spread over its buckets, and every key is one row here
         (new.repartition("index", "bucket").write.mode("overwrite")

@@ -1,13 +1,13 @@
 """Packing changes into bounded write batches.
 
-A batch belongs to a *group*: a lane (parallel writer) and either a flush
-tick of ``tick_ms`` (event time) or, without ticks, a bucket of
-``bucket_width`` consecutive sequence numbers.  Groups bound the work per
-task however large the input or however hot one document is:
-
-* count batches (W1) number rows inside their group; without ticks the
-  position within the whole lane is computed exactly and in parallel from
-  per-bucket counts plus a running offset (no single-task window);
+A batch belongs to a lane (parallel writer) and, when ticks are used, to a
+flush tick of ``tick_ms`` (event time).  Work is split into buckets of
+``bucket_width`` consecutive sequence numbers, which bounds every task however
+large the input or however hot one document is:
+
+* count batches (W1) number rows exactly within a (lane, tick) group, in
+  parallel: rows are numbered inside sequence buckets and shifted by the
+  running count of earlier buckets (no single-task window);
 * byte batches (W2) are a greedy fold (flush right after the row that
   reaches the limit), sequential only inside one group, run as a grouped
   pandas function;
@@ -57,33 +57,34 @@ def batch_by_count(df: DataFrame, size: int = DEFAULT_BATCH_SIZE, lane: Column |
                    tick_ms: int | None = None, ts: str = "timestamp", seq: str = "sequence",
                    tie: Sequence[str] = ("index", "doc_id"),
                    bucket_width: int = DEFAULT_BUCKET_WIDTH) -> DataFrame:
-    """Flush when a batch holds ``size`` changes.
+    """Flush when a batch holds ``size`` changes (and at every tick, if given).
 
     Adds ``lane``, ``tick`` (NULL without ticks), ``batch_no`` and ``batch_pos``
     (0-based position inside the batch, the item number in a bulk request).
+
+    Positions inside a (lane, tick) group are exact and computed in parallel:
+    rows are numbered inside buckets of ``bucket_width`` sequence numbers
+    (bounded windows), and each bucket adds the running count of the buckets
+    before it (a window over a small table of per-bucket counts).
     """
     lane = F.lit(0) if lane is None else lane
     d = df.withColumn("lane", lane.cast("int"))
-    if tick_ms is not None:
-        d = d.withColumn("tick", tick_of(ts, tick_ms))
-        w = Window.partitionBy("lane", "tick").orderBy(*_ordered(seq, tie))
-        pos = F.row_number().over(w) - 1
-        return (d.withColumn("_p", pos)
-                .withColumn("batch_no", F.floor(F.col("_p") / size).cast("bigint"))
-                .withColumn("batch_pos", (F.col("_p") % size).cast("int")).drop("_p"))
-    d = d.withColumn("tick", F.lit(None).cast("bigint")).withColumn(
-        "_bucket", F.floor(F.col(seq) / F.lit(bucket_width)).cast("bigint"))
-    counts = d.groupBy("lane", "_bucket").agg(F.count(F.lit(1)).alias("_n"))
-    run = Window.partitionBy("lane").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("lane", "_bucket", F.coalesce(F.sum("_n").over(run), F.lit(0)).alias("_off"))
+    d = d.withColumn("tick", tick_of(ts, tick_ms) if tick_ms is not None else F.lit(None).cast("bigint"))
+    d = d.withColumn("_bucket", F.floor(F.col(seq) / F.lit(bucket_width)).cast("bigint"))
+    grp = ["lane", "tick"]
+    counts = d.groupBy(*grp, "_bucket").agg(F.count(F.lit(1)).alias("_n"))
+    run = Window.partitionBy(*grp).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(*grp, "_bucket", F.coalesce(F.sum("_n").over(run), F.lit(0)).alias("_off"))
     if offsets.count() <= SMALL_TABLE_ROWS:
         offsets = F.broadcast(offsets)
-    w = Window.partitionBy("lane", "_bucket").orderBy(*_ordered(seq, tie))
+    w = Window.partitionBy(*grp, "_bucket").orderBy(*_ordered(seq, tie))
     local = d.withColumn("_r", F.row_number().over(w) - 1)
-    pos = local.join(offsets, ["lane", "_bucket"]).withColumn("_p", F.col("_off") + F.col("_r"))
+    on = [local["lane"] == offsets["lane"], local["tick"].eqNullSafe(offsets["tick"]),
+          local["_bucket"] == offsets["_bucket"]]
+    pos = local.join(offsets, on).select(local["*"], (offsets["_off"] + local["_r"]).alias("_p"))
     return (pos.withColumn("batch_no", F.floor(F.col("_p") / size).cast("bigint"))
             .withColumn("batch_pos", (F.col("_p") % size).cast("int"))
-            .drop("_p", "_r", "_off", "_bucket"))
+            .drop("_p", "_r", "_bucket"))
 
 
 def greedy_batches(sizes: np.ndarray, max_bytes: int, max_count: int | None) -> tuple[np.ndarray, np.ndarray]:
@@ -109,27 +110,30 @@ def batch_by_bytes(df: DataFrame, max_bytes: int = DEFAULT_BATCH_BYTES, max_coun
     """Flush right after the change that makes the batch reach ``max_bytes``
     (or ``max_count`` changes).  A batch may exceed the byte limit by one change.
 
-    Group = (lane, tick) or, without ticks, (lane, sequence bucket); a bucket
-    edge also flushes, like a tick.  Only ``seq``, the group and the size go
-    through Python; the rest of the row stays in the JVM and is joined back.
+    Group = (lane, tick, sequence bucket): a tick and a bucket edge both flush,
+    so no group outgrows ``bucket_width`` sequence numbers.  Only ``seq``, the
+    group and the size go through Python; the rest of the row stays in the JVM
+    and is joined back (the input must be de-duplicated, T7).
     """
     lane = F.lit(0) if lane is None else lane
     size = envelope_size() if size is None else size
-    grp = tick_of(ts, tick_ms) if tick_ms is not None else F.floor(F.col(seq) / F.lit(bucket_width)).cast("bigint")
-    d = df.withColumn("lane", lane.cast("int")).withColumn("group", grp)
-    slim = d.select("lane", "group", F.col(seq).alias("_seq"), size.cast("bigint").alias("_size"))
+    tick = tick_of(ts, tick_ms) if tick_ms is not None else F.lit(None).cast("bigint")
+    d = (df.withColumn("lane", lane.cast("int")).withColumn("tick", tick)
+         .withColumn("group", F.floor(F.col(seq) / F.lit(bucket_width)).cast("bigint")))
+    slim = d.select("lane", "tick", "group", F.col(seq).alias("_seq"), size.cast("bigint").alias("_size"))
 
     def pack(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("_seq", kind="stable")
         b, p = greedy_batches(pdf["_size"].to_numpy(), max_bytes, max_count)
-        return pd.DataFrame({"lane": pdf["lane"].to_numpy(), "group": pdf["group"].to_numpy(),
-                             "_seq": pdf["_seq"].to_numpy(), "batch_no": b, "batch_pos": p})
-
-    packed = slim.groupBy("lane", "group").applyInPandas(
-        pack, "lane int, group bigint, _seq bigint, batch_no bigint, batch_pos int")
-    out = d.join(packed, (d["lane"] == packed["lane"]) & (d["group"] == packed["group"])
-                 & (d[seq] == packed["_seq"]), "inner")
-    return out.select(d["*"], packed["batch_no"], packed["batch_pos"])
+        return pd.DataFrame({"lane": pdf["lane"].to_numpy(), "tick": pdf["tick"].to_numpy(),
+                             "group": pdf["group"].to_numpy(), "_seq": pdf["_seq"].to_numpy(),
+                             "batch_no": b, "batch_pos": p})
+
+    packed = slim.groupBy("lane", "tick", "group").applyInPandas(
+        pack, "lane int, tick bigint, group bigint, _seq bigint, batch_no bigint, batch_pos int")
+    on = [d["lane"] == packed["lane"], d["tick"].eqNullSafe(packed["tick"]), d["group"] == packed["group"],
+          d[seq] == packed["_seq"]]
+    return d.join(packed, on, "inner").select(d["*"], packed["batch_no"], packed["batch_pos"])
 
 
 def batch_by_tick(df: DataFrame, tick_ms: int = DEFAULT_TICK_MS, ts: str = "timestamp") -> DataFrame:

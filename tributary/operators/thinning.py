@@ -62,12 +62,14 @@ def thin_checkpoints(commits: DataFrame, threshold: int, start: int = 0, source:
     reached = materialize(reached, "stage/thin_reached")
     jump = materialize(nxt.filter(F.col("to").isNotNull()), "stage/thin_jump")
     for _ in range(MAX_ROUNDS):
+        # two written tables per round: the newly reached points and the doubled jumps;
+        # ``reached`` stays a union of written pieces (one scan each)
         new = (reached.join(jump, ["src", "node"]).select("src", F.col("to").alias("node"))
                .join(reached, ["src", "node"], "left_anti"))
         new = materialize(new, "stage/thin_new")
         if new.isEmpty():
             break
-        reached = materialize(reached.unionByName(new), "stage/thin_reached")
+        reached = reached.unionByName(new)
         j2 = jump.alias("a").join(jump.alias("b"), (F.col("a.src") == F.col("b.src")) & (F.col("a.to") == F.col("b.node")))
         jump = materialize(j2.select(F.col("a.src").alias("src"), F.col("a.node").alias("node"),
                                      F.col("b.to").alias("to")), "stage/thin_jump")

@@ -28,28 +28,34 @@ def apply_transform(df: DataFrame, transform: Transform | None) -> DataFrame:
     return df if transform is None else df.transform(transform)
 
 
-def rename_fields_column(renames: Sequence[tuple[str, str]], source="source") -> Column:
-    """P12 as a Column: the renamed body as JSON text (keys sorted)."""
-    body = col(source)
-    v = F.try_parse_json(body)
-    is_obj = F.schema_of_variant(v).startswith("OBJECT")
-    m = v.cast("map<string,variant>")
-    for old, new in renames:
-        if old == new:
-            continue
-        moved = F.map_concat(F.map_filter(m, lambda k, _v: ~k.isin(old, new)),
-                             F.create_map(F.lit(new), F.element_at(m, F.lit(old))))
-        m = F.when(F.map_contains_key(m, F.lit(old)), moved).otherwise(m)
-    by_key = F.array_sort(F.map_entries(m), lambda a, b: F.when(a["key"] < b["key"], -1)
-                          .when(a["key"] > b["key"], 1).otherwise(0))
-    sorted_map = F.map_from_entries(by_key)
-    return F.when(is_obj, F.to_json(sorted_map)).otherwise(body)
+def _sorted_json(m: Column) -> Column:
+    """JSON text of a ``map<string, variant>`` with keys in sorted order."""
+    keys = F.array_sort(F.map_keys(m))
+    return F.to_json(F.map_from_arrays(keys, F.transform(keys, lambda k: F.element_at(m, k))))
+
+
+def _rename_step(m: Column, old: str, new: str) -> Column:
+    moved = F.map_concat(F.map_filter(m, lambda k, _v: ~k.isin(old, new)),
+                         F.create_map(F.lit(new), F.element_at(m, F.lit(old))))
+    return F.when(F.map_contains_key(m, F.lit(old)), moved).otherwise(m)
 
 
 def rename_fields(renames: Sequence[tuple[str, str]], source: str = "source") -> Transform:
-    """Transform renaming top-level body fields."""
+    """Transform renaming top-level body fields (sorted keys on output).
+
+    One projection per rename: each step reads the previous map as a column,
+    so the plan stays linear in the number of renames.
+    """
+    steps = [(a, b) for a, b in renames if a != b]
+
     def _t(df: DataFrame) -> DataFrame:
-        return df.withColumn(source, rename_fields_column(renames, source))
+        v = F.try_parse_json(F.col(source))
+        out = df.withColumn("_obj", F.schema_of_variant(v).startswith("OBJECT")).withColumn(
+            "_m", v.try_cast("map<string,variant>"))
+        for old, new in steps:
+            out = out.withColumn("_m", _rename_step(F.col("_m"), old, new))
+        return out.withColumn(source, F.when(F.col("_obj"), _sorted_json(F.col("_m"))).otherwise(F.col(source))) \
+                  .drop("_m", "_obj")
     return _t
 
 

@@ -74,7 +74,7 @@ def next_cursor(polled: DataFrame, seq: str = "sequence", by: Sequence[str] = ()
     return polled.groupBy(*by).agg(agg) if by else polled.agg(agg)
 
 
-def _maybe_broadcast(small: DataFrame, limit_rows: int = BROADCAST_ROW_LIMIT) -> DataFrame:
+def broadcast_if_small(small: DataFrame, limit_rows: int = BROADCAST_ROW_LIMIT) -> DataFrame:
     """Broadcast a side only when its row count is checked to be small."""
     return F.broadcast(small) if small.count() <= limit_rows else small
 
@@ -86,7 +86,7 @@ def poll_per_index(df: DataFrame, cursors: DataFrame, patterns: Sequence[str] |
 
     Keys without a cursor row start before the first sequence.
     """
-    cur = _maybe_broadcast(cursors.select(*keys, F.col("cursor")))
+    cur = broadcast_if_small(cursors.select(*keys, F.col("cursor")))
     rows = df.filter(index_match(patterns)).join(cur, list(keys), "left")
     rows = rows.filter(F.col(seq) > F.coalesce(F.col("cursor"), F.lit(START_CURSOR))).drop("cursor")
     if limit is None:
@@ -101,7 +101,7 @@ def point_lookup(df: DataFrame, index: str, doc_id: str) -> DataFrame:
 
 def multi_get(df: DataFrame, keys: DataFrame, on: Sequence[str] = ("index", "doc_id")) -> DataFrame:
     """Many lookups at once as a semi join; the key set is broadcast when small."""
-    return df.join(_maybe_broadcast(keys.select(*on).distinct()), list(on), "left_semi")
+    return df.join(broadcast_if_small(keys.select(*on).distinct()), list(on), "left_semi")
 
 
 def retention(df: DataFrame, hours: int = 24, ts: str = "timestamp") -> DataFrame:

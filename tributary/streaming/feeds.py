@@ -110,3 +110,17 @@ def gate_with_reloaded_spec(spec_reader: Callable[[], dict], out_path: str):
         (batch.filter(chain.passes()).withColumn("spec_version", F.lit(spec.get("version", 0)))
          .withColumn("batch_id", F.lit(batch_id)).write.mode("append").parquet(out_path))
     return _sink
+
+
+def append_updates(path: str):
+    """Sink for update-mode aggregates: append changed rows tagged with the batch id."""
+    def _sink(batch: DataFrame, batch_id: int) -> None:
+        batch.withColumn("batch_id", F.lit(batch_id)).write.mode("append").parquet(path)
+    return _sink
+
+
+def latest_updates(updates: DataFrame, key: tuple) -> DataFrame:
+    """Current value per key of an update-mode sink (the row of the latest batch)."""
+    vals = [c for c in updates.columns if c not in key and c != "batch_id"]
+    last = F.max_by(F.struct(*vals), "batch_id").alias("_v")
+    return updates.groupBy(*key).agg(last).select(*key, *[F.col(f"_v.{c}").alias(c) for c in vals])

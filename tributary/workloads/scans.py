@@ -161,8 +161,8 @@ def u2_large_include_list(spark, sf_dir):
     ev = read_table(spark, sf_dir, "events")
     exclude = ev.filter((F.col("event_type") == "error") & (F.col("value") > 400)).select(
         F.concat(F.lit("u"), F.col("user_id").cast("string")).alias("doc_id")).distinct()
-    kept = c.join(cur._maybe_broadcast(include), "doc_id", "left_semi")
-    kept = kept.join(cur._maybe_broadcast(exclude), "doc_id", "left_anti")
+    kept = c.join(cur.broadcast_if_small(include), "doc_id", "left_semi")
+    kept = kept.join(cur.broadcast_if_small(exclude), "doc_id", "left_anti")
     return kept.groupBy("index").agg(F.count(F.lit(1)).alias("n"))
 
 

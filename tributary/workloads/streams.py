@@ -102,11 +102,10 @@ FROM changes GROUP BY 1, 2""")
 def t13_stream_metrics(spark, sf_dir):
     out = scratch_path(spark, "streams/t13")
     counts = feeds.windowed_counts(feeds.changes_stream(spark, sf_dir), "1 hour")
-
-    def sink(batch, batch_id):   # complete mode: each batch holds the full current table
-        batch.write.mode("overwrite").parquet(out)
-    feeds.run(counts, foreach_batch=sink, output_mode="complete", name="t13")
-    return spark.read.parquet(out)
+    # update mode: state is dropped behind the watermark; each batch appends the
+    # rows it changed, readers keep the latest batch per (window, labels)
+    feeds.run(counts, foreach_batch=feeds.append_updates(out), output_mode="update", name="t13")
+    return feeds.latest_updates(spark.read.parquet(out), ("window_start", "index"))
 
 
 _SPEC_A = {"version": 1, "mode": "all", "filters": [{"type": "operation", "exclude": ["delete"]}]}
