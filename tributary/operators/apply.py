@@ -11,10 +11,12 @@ Semantics, decided by sequence (never by arrival order):
 * a change at or below the sequence already applied is stale and ignored, so
   applying a batch twice, or batches out of order, gives the same state.
 
-Plan shape (no per-key collection of changes, skew-safe): one aggregate per
-key (last full write, last partial), one aggregate per (key, field) of
-partial fields (latest value per field), then joins between these key-unique
-results and the target.  A hot key costs one pre-aggregated row per task.
+Plan shape (no per-key collection of changes, skew-safe): one scan and one
+aggregation with map-side partial aggregation over (key, field), where each
+change contributes a key-level entry (last full write, last partial) and a
+partial update one entry per top-level field (latest value per field); then
+joins between these key-unique results and the target.  A hot key costs one
+pre-aggregated row per task and field.
 """
 
 from __future__ import annotations
@@ -59,11 +61,26 @@ def apply_changes(changes: DataFrame, target: DataFrame | None = None, key: Sequ
     key = list(key)
     op, s = F.col("operation"), F.col(seq)
     c = changes.select(*key, s.alias("_seq"), op.alias("_op"), F.col("source").alias("_src"))
-    not_partial = F.col("_op") != "partial_update"
-    per_key = c.groupBy(*key).agg(
+    is_partial = F.col("_op") == "partial_update"
+    # one pass over the changes for both grains: every change yields a key-level
+    # entry (field NULL) and a partial update also one entry per top-level field
+    fields = F.map_entries(F.try_parse_json("_src").try_cast("map<string,variant>"))
+    entries = F.concat(
+        F.array(F.struct(F.lit(None).cast("string").alias("field"), F.lit(None).cast("variant").alias("value"))),
+        F.when(is_partial, F.transform(F.coalesce(fields, F.array()),
+                                       lambda e: F.struct(e["key"].alias("field"), e["value"].alias("value"))))
+        .otherwise(F.array()))
+    x = c.select(*key, "_seq", "_op", "_src", F.explode(entries).alias("e")).select(
+        *key, "_seq", "_op", "_src", "e.field", "e.value")
+    on_key = F.col("field").isNull()
+    g = x.groupBy(*key, "field").agg(
         F.max_by(F.struct(F.col("_seq").alias("seq"), F.col("_op").alias("op"), F.col("_src").alias("src")),
-                 F.when(not_partial, F.col("_seq"))).alias("reset"),
-        F.max(F.when(~not_partial, F.col("_seq"))).alias("last_partial"))
+                 F.when(on_key & ~is_partial, F.col("_seq"))).alias("reset"),
+        F.max(F.when(on_key & is_partial, F.col("_seq"))).alias("last_partial"),
+        F.max_by("value", F.when(~on_key, F.col("_seq"))).alias("value"),
+        F.max(F.when(~on_key, F.col("_seq"))).alias("f_seq"))
+    per_key = g.filter(on_key).select(*key, "reset", "last_partial")
+    per_field = g.filter(~on_key).select(*key, "field", "value", "f_seq")
 
     if target is not None:
         t = target.select(*key, F.col("sequence").alias("t_seq"), F.col("deleted").alias("t_deleted"),
@@ -84,11 +101,7 @@ def apply_changes(changes: DataFrame, target: DataFrame | None = None, key: Sequ
         "last_partial")
     base_floor = F.coalesce(F.col("base_seq"), F.lit(-(2 ** 63)))
 
-    # latest value of every partially updated field, then only those newer than the base
-    parts = c.filter(~not_partial).select(
-        *key, "_seq", F.explode(F.try_parse_json("_src").try_cast("map<string,variant>")).alias("field", "value"))
-    per_field = parts.groupBy(*key, "field").agg(F.max_by("value", "_seq").alias("value"),
-                                                F.max("_seq").alias("f_seq"))
+    # partially updated fields newer than the base
     newer = per_field.join(base.select(*key, "base_seq"), key, "inner").filter(
         F.col("f_seq") > F.coalesce(F.col("base_seq"), F.lit(-(2 ** 63))))
     overrides = newer.groupBy(*key).agg(

@@ -162,10 +162,16 @@ def sync_fused(spark: SparkSession, feed: DataFrame, cfg: SyncConfig, paths: Syn
     polled = cur.poll_per_index(feed, cursors, cfg.patterns or None, limit=None)
     passed = apply_transform(polled.filter(cfg.chain.passes()), cfg.transform)
     bad = env.body_missing() | (F.col("source").isNotNull() & F.try_parse_json("source").isNull())
-    checked = passed.withColumn("_bad", bad)
-    dq.append(dq.dlq_entries(checked.filter("_bad"), F.lit("document has no valid body"),
-                             F.lit("Serialization"), F.col("timestamp")), paths.dlq)          # K11
-    table = KeyedTable(spark, paths.target, cfg.buckets)
-    table.apply(checked.filter(~F.col("_bad")).select("sequence", "operation", "index", "doc_id", "source"))
-    polled.groupBy("index").agg(F.max("sequence").alias("cursor")).write.mode("append").parquet(paths.cursors)
+    # one poll = one bounded micro-batch; persisted for its three consumers
+    # (DLQ, apply, cursor commit) so the feed is scanned and gated once
+    checked = passed.withColumn("_bad", bad).persist()
+    try:
+        dq.append(dq.dlq_entries(checked.filter("_bad"), F.lit("document has no valid body"),
+                                 F.lit("Serialization"), F.col("timestamp")), paths.dlq)      # K11
+        table = KeyedTable(spark, paths.target, cfg.buckets)
+        table.apply(checked.filter(~F.col("_bad")).select("sequence", "operation", "index", "doc_id", "source"))
+        # every polled row counts for the cursor, filtered ones included
+        polled.groupBy("index").agg(F.max("sequence").alias("cursor")).write.mode("append").parquet(paths.cursors)
+    finally:
+        checked.unpersist()
     return table

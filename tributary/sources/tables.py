@@ -17,4 +17,18 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Lazy parquet scan; projections and filters applied later reach the scan."""
     if name not in TABLES:
         raise ValueError(f"unknown table {name!r}")
-    return spark.read.parquet(table_path(sf_dir, name))
+    return ensure_parallelism(spark.read.parquet(table_path(sf_dir, name)))
+
+
+def ensure_parallelism(df: DataFrame) -> DataFrame:
+    """Spread a scan that yields fewer splits than the cluster has cores.
+
+    A small table stored as one row group scans in a single task, and every
+    narrow step after it would run single-threaded.  Large inputs already have
+    more splits than cores and are returned unchanged.  Filters and column
+    pruning still reach the scan (Catalyst pushes them through ``Repartition``).
+    """
+    want = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < want:
+        return df.repartition(want)
+    return df
