@@ -162,8 +162,9 @@ def sync_fused(spark: SparkSession, feed: DataFrame, cfg: SyncConfig, paths: Syn
     polled = cur.poll_per_index(feed, cursors, cfg.patterns or None, limit=None)
     passed = apply_transform(polled.filter(cfg.chain.passes()), cfg.transform)
     bad = env.body_missing() | (F.col("source").isNotNull() & F.try_parse_json("source").isNull())
-    # one poll = one bounded micro-batch; persisted for its three consumers
-    # (DLQ, apply, cursor commit) so the feed is scanned and gated once
+    # one poll = one bounded micro-batch; the gated, checked rows are persisted for
+    # the DLQ and the apply (gate and body check run once); the cursor commit
+    # re-reads only the two columns it needs
     checked = passed.withColumn("_bad", bad).persist()
     try:
         dq.append(dq.dlq_entries(checked.filter("_bad"), F.lit("document has no valid body"),

@@ -23,6 +23,10 @@ SESSION_DEFAULTS = {
     "spark.ui.showConsoleProgress": "false",
     # failed tasks are retried, lost executors re-run their map stages
     "spark.task.maxFailures": "4",
+    # streaming state (de-dup ids, windows) off-heap and checkpointed incrementally
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
 
 
