@@ -98,3 +98,55 @@ def test_latest_per_key_and_reconcile(spark):
     extra = apply_changes(df.filter("sequence <= 1"))
     cats = {r["doc_id"]: r["category"] for r in reconcile(extra, apply_changes(df)).collect()}
     assert cats == {"a": "extra", "b": "missing"}
+
+
+def _rand_value(rnd, depth):
+    r = rnd.random()
+    if depth < 2 and r < 0.35:
+        return {k: _rand_value(rnd, depth + 1) for k in rnd.sample(["x", "y", "z"], rnd.randint(0, 2))}
+    return rnd.choice([1, 2, "s", None, [1, 2], True])
+
+
+def _deep_merge(dst, src):
+    for k, v in src.items():
+        if isinstance(v, dict) and isinstance(dst.get(k), dict):
+            _deep_merge(dst[k], v)
+        else:
+            dst[k] = json.loads(json.dumps(v))
+
+
+def test_deep_merge_matches_recursive_replay(spark):
+    for seed in range(3):
+        rnd = random.Random(100 + seed)
+        rows = []
+        for seq in range(250):
+            op = rnd.choice(["index", "update", "delete", "partial_update", "partial_update", "partial_update"])
+            body = None
+            if op != "delete":
+                body = json.dumps({f: _rand_value(rnd, 0) for f in rnd.sample(["a", "b", "c"], rnd.randint(0, 3))})
+            rows.append((seq, op, "i", "d" + str(rnd.randint(0, 8)), body))
+        want = {}
+        for seq, op, index, doc, body in sorted(rows):
+            k = (index, doc)
+            if op in ("index", "update"):
+                want[k] = (seq, json.loads(body))
+            elif op == "delete":
+                want.pop(k, None)
+            else:
+                cur = json.loads(json.dumps(want[k][1])) if k in want else {}
+                _deep_merge(cur, json.loads(body))
+                want[k] = (seq, cur)
+        got = _as_state(apply_changes(spark.createDataFrame(rows, SCHEMA), deep=True))
+        assert got == want, seed
+
+
+def test_deep_merge_on_target_in_batches(spark):
+    rows = [(1, "index", "i", "a", '{"m":{"x":1,"y":{"p":1}},"t":5}'),
+            (2, "partial_update", "i", "a", '{"m":{"y":{"q":2}}}'),
+            (3, "partial_update", "i", "a", '{"m":{"x":{"n":1}},"t":{}}'),
+            (4, "partial_update", "i", "a", '{"m":{"y":7}}')]
+    df = spark.createDataFrame(rows, SCHEMA)
+    first = apply_changes(df.filter("sequence <= 2"), keep_tombstones=True, deep=True)
+    first = spark.createDataFrame(first.collect(), first.schema)
+    got = _as_state(apply_changes(df.filter("sequence > 2"), first, deep=True))
+    assert got == {("i", "a"): (4, {"m": {"x": {"n": 1}, "y": 7}, "t": {}})}

@@ -51,12 +51,13 @@ def _sorted_json(m: Column) -> Column:
 
 
 def apply_changes(changes: DataFrame, target: DataFrame | None = None, key: Sequence[str] = KEY,
-                  seq: str = "sequence", keep_tombstones: bool = False) -> DataFrame:
+                  seq: str = "sequence", keep_tombstones: bool = False, deep: bool = False) -> DataFrame:
     """Fold ``changes`` onto ``target`` (both keyed by ``key``).
 
     ``target`` has ``key + (sequence, deleted, source)``; ``None`` = empty.
     Returns the new state of every key in either input (tombstones kept only
-    with ``keep_tombstones``).
+    with ``keep_tombstones``).  Partial updates merge top-level fields, or
+    with ``deep=True`` merge nested objects recursively (``deep_merge``).
     """
     key = list(key)
     op, s = F.col("operation"), F.col(seq)
@@ -107,17 +108,27 @@ def apply_changes(changes: DataFrame, target: DataFrame | None = None, key: Sequ
     overrides = newer.groupBy(*key).agg(
         F.map_from_entries(F.collect_list(F.struct("field", "value"))).alias("over"))
 
-    j = base.join(overrides, key, "left")
     partial_after = F.col("last_partial").isNotNull() & (F.col("last_partial") > base_floor)
     has_base_doc = F.col("base_seq").isNotNull() & ~F.coalesce(F.col("base_deleted"), F.lit(False))
     exists = has_base_doc | partial_after
-    base_map = F.when(has_base_doc, F.try_parse_json("base_src").try_cast("map<string,variant>"))
-    base_map = F.coalesce(base_map, F.create_map().cast("map<string,variant>"))
-    over = F.col("over")
-    merged = F.map_concat(F.map_filter(base_map, lambda k, _v: ~F.array_contains(F.map_keys(over), k)), over)
-    source = (F.when(~exists, F.lit(None).cast("string"))
-              .when(over.isNull(), F.when(has_base_doc, F.col("base_src")).otherwise(F.lit("{}")))
-              .otherwise(_sorted_json(merged)))
+    if deep:
+        from tributary.operators.deep_merge import deep_documents
+        partials = c.filter(is_partial).select(*key, "_seq", "_src")
+        docs = deep_documents(base.select(*key, "base_seq", F.when(has_base_doc, F.col("base_src")).alias("base_src")),
+                              partials, key)
+        j = base.join(docs, key, "left")
+        source = (F.when(~exists, F.lit(None).cast("string"))
+                  .when(F.col("deep_src").isNull(), F.when(has_base_doc, F.col("base_src")).otherwise(F.lit("{}")))
+                  .otherwise(F.col("deep_src")))
+    else:
+        j = base.join(overrides, key, "left")
+        base_map = F.when(has_base_doc, F.try_parse_json("base_src").try_cast("map<string,variant>"))
+        base_map = F.coalesce(base_map, F.create_map().cast("map<string,variant>"))
+        over = F.col("over")
+        merged = F.map_concat(F.map_filter(base_map, lambda k, _v: ~F.array_contains(F.map_keys(over), k)), over)
+        source = (F.when(~exists, F.lit(None).cast("string"))
+                  .when(over.isNull(), F.when(has_base_doc, F.col("base_src")).otherwise(F.lit("{}")))
+                  .otherwise(_sorted_json(merged)))
     new_seq = F.greatest(F.col("base_seq"), F.when(partial_after, F.col("last_partial")))
     out = j.select(*key, new_seq.alias("sequence"), (~exists).alias("deleted"), source.alias("source"))
     return out if keep_tombstones else out.filter(~F.col("deleted"))
@@ -152,8 +163,9 @@ class KeyedTable:
     of any batch is a no-op.
     """
 
-    def __init__(self, spark, path: str | None = None, buckets: int = 16, key: Sequence[str] = KEY):
-        self.spark, self.buckets, self.key = spark, buckets, list(key)
+    def __init__(self, spark, path: str | None = None, buckets: int = 16, key: Sequence[str] = KEY,
+                 deep: bool = False):
+        self.spark, self.buckets, self.key, self.deep = spark, buckets, list(key), deep
         self.path = path or scratch_path(spark, "tables")
 
     def _empty(self) -> DataFrame:
@@ -192,7 +204,7 @@ class KeyedTable:
         b = batch.withColumn("bucket", bucket_of("doc_id", self.buckets))
         current = self._touched(b)
         new = apply_changes(b.drop("bucket"), None if current is None else current.drop("bucket"),
-                            self.key, keep_tombstones=True)
+                            self.key, keep_tombstones=True, deep=self.deep)
         new = new.withColumn("bucket", bucket_of("doc_id", self.buckets))
         if current is not None:
             # staged in the shared folder: cuts the read/overwrite cycle on the table

@@ -44,6 +44,7 @@ class SyncConfig:
     batch_size: int = bt.DEFAULT_BATCH_SIZE
     lanes: int = 4
     buckets: int = 16
+    deep_merge: bool = False      # merge nested objects of partial updates recursively
 
 
 @dataclass
@@ -126,7 +127,7 @@ def write_stage(spark: SparkSession, paths: SyncPaths, cfg: SyncConfig) -> DataF
         failed = checked.filter("_bad")
         dq.append(dq.dlq_entries(failed, F.lit("document has no valid body"), F.lit("Serialization"),
                                  F.col("timestamp")), paths.dlq)                # K11
-        table = KeyedTable(spark, paths.target, cfg.buckets)
+        table = KeyedTable(spark, paths.target, cfg.buckets, deep=cfg.deep_merge)
         table.apply(checked.filter(~F.col("_bad")).select("sequence", "operation", "index", "doc_id", "source"))
         stats = checked.groupBy("lane", "batch_no").agg(
             F.count_if(~F.col("_bad")).alias("success_count"), F.count_if("_bad").alias("failure_count"),
@@ -143,7 +144,7 @@ def sync(spark: SparkSession, feed: DataFrame, cfg: SyncConfig, paths: SyncPaths
     watch(spark, feed, paths, cfg)
     gate_stage(spark, paths, cfg)
     write_stage(spark, paths, cfg)
-    return KeyedTable(spark, paths.target, cfg.buckets)
+    return KeyedTable(spark, paths.target, cfg.buckets, deep=cfg.deep_merge)
 
 
 def sync_fused(spark: SparkSession, feed: DataFrame, cfg: SyncConfig, paths: SyncPaths | None = None) -> KeyedTable:
@@ -169,7 +170,7 @@ def sync_fused(spark: SparkSession, feed: DataFrame, cfg: SyncConfig, paths: Syn
     try:
         dq.append(dq.dlq_entries(checked.filter("_bad"), F.lit("document has no valid body"),
                                  F.lit("Serialization"), F.col("timestamp")), paths.dlq)      # K11
-        table = KeyedTable(spark, paths.target, cfg.buckets)
+        table = KeyedTable(spark, paths.target, cfg.buckets, deep=cfg.deep_merge)
         table.apply(checked.filter(~F.col("_bad")).select("sequence", "operation", "index", "doc_id", "source"))
         # every polled row counts for the cursor, filtered ones included
         polled.groupBy("index").agg(F.max("sequence").alias("cursor")).write.mode("append").parquet(paths.cursors)

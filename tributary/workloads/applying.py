@@ -128,3 +128,10 @@ def w7_checkpoint_thin(spark, sf_dir):
     commits = c.select(F.concat(F.lit("feed-"), (F.col("sequence") % 3).cast("string")).alias("source_id"),
                        "sequence")
     return thin_checkpoints(commits, threshold=10, start=0, bucket_width=256)
+
+
+@register("w5_partial_fold_deep", _FOLD_SQL)
+def w5_partial_fold_deep(spark, sf_dir):
+    """W5 with nested objects merged recursively (equal to the top-level fold on this feed,
+    whose nested objects always carry the same keys)."""
+    return typed_state(apply_changes(changes(spark, sf_dir), deep=True))
