@@ -210,7 +210,10 @@ class KeyedTable:
             # staged in the shared folder: cuts the read/overwrite cycle on the table
             # and keeps the result when an executor is lost during the final write
             new = materialize(new, "stage/keyed")
-        # one writer task per (index, bucket) partition -> one file each; a hot
-        # index is spread over its buckets, and every key is one row here
-        (new.repartition("index", "bucket").write.mode("overwrite")
+        # every (index, bucket) partition goes to one writer task -> one file each;
+        # a hot index is spread over its buckets, and every key is one row here.
+        # An explicit count (the cluster-sized shuffle setting) keeps the writers
+        # parallel instead of being coalesced into a few tasks.
+        n = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        (new.repartition(n, "index", "bucket").write.mode("overwrite")
          .option("partitionOverwriteMode", "dynamic").partitionBy("index", "bucket").parquet(self.path))
