@@ -115,6 +115,8 @@ def batch_by_bytes(df: DataFrame, max_bytes: int = DEFAULT_BATCH_BYTES, max_coun
     group and the size go through Python; the rest of the row stays in the JVM
     and is joined back (the input must be de-duplicated, T7).
     """
+    from tributary.session import ship_package
+    ship_package(df.sparkSession)
     lane = F.lit(0) if lane is None else lane
     size = envelope_size() if size is None else size
     tick = tick_of(ts, tick_ms) if tick_ms is not None else F.lit(None).cast("bigint")

@@ -97,6 +97,8 @@ def deep_documents(base: DataFrame, partials: DataFrame, key: Sequence[str]) ->
     when none); ``partials``: ``key, _seq, _src`` (partial updates).  Returns
     ``key, deep_src`` for keys with at least one partial newer than the base.
     """
+    from tributary.session import ship_package
+    ship_package(partials.sparkSession)
     key = list(key)
     floor = F.coalesce(F.col("base_seq"), F.lit(MIN_SEQ))
     p = partials.join(base.select(*key, "base_seq"), key, "inner").filter(F.col("_seq") > floor)

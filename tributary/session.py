@@ -44,6 +44,7 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     shared_dir(spark)
+    ship_package(spark)
     return spark
 
 
@@ -90,3 +91,41 @@ def materialize(df, kind: str = "stage"):
     path = scratch_path(df.sparkSession, kind)
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.parquet(path)
+
+
+_SHIPPED: set = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``tributary`` importable on the executors' Python workers.
+
+    Grouped pandas functions and pandas UDFs are pickled by reference to this
+    package; a zip of it is added once per application with ``addPyFile``
+    (written under the shared folder when that is a local path).
+    """
+    import io
+    import zipfile
+
+    sc = spark.sparkContext
+    app = sc.applicationId
+    if app in _SHIPPED:
+        return
+    import tributary
+    pkg = os.path.dirname(os.path.abspath(tributary.__file__))
+    base = os.path.dirname(pkg)
+    buf = io.BytesIO()
+    with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as z:
+        for dirpath, _dirs, files in os.walk(pkg):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(dirpath, f)
+                    z.write(full, os.path.relpath(full, base))
+    root = shared_dir(spark)
+    folder = local_path(root) if "://" not in root or root.startswith("file:") else tempfile.mkdtemp()
+    folder = os.path.join(folder, "pyfiles", uuid.uuid4().hex)
+    os.makedirs(folder, exist_ok=True)
+    path = os.path.join(folder, "tributary.zip")
+    with open(path, "wb") as fh:
+        fh.write(buf.getvalue())
+    sc.addPyFile(path)
+    _SHIPPED.add(app)
