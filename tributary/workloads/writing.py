@@ -299,7 +299,8 @@ def a3_errors_total(spark, sf_dir):
 SELECT index, CAST(count(*) AS BIGINT) AS count, round(sum(duration_ms / 1000.0), 6) AS sum,
   round(quantile_cont(duration_ms / 1000.0, 0.5), 6) AS p50, round(quantile_cont(duration_ms / 1000.0, 0.99), 6) AS p99,
   b.le, CAST(count(*) FILTER (WHERE duration_ms / 1000.0 <= b.le) AS BIGINT) AS bucket_count
-FROM attempts, (VALUES (0.005), (0.01), (0.025), (0.05), (0.1), (0.25), (0.5), (1.0), (2.5), (5.0), (10.0)) b(le)
+FROM attempts, (SELECT CAST(x AS DOUBLE) AS le FROM (VALUES (0.005), (0.01), (0.025), (0.05), (0.1), (0.25),
+                (0.5), (1.0), (2.5), (5.0), (10.0)) v(x)) b
 GROUP BY index, b.le""")
 def a7_latency_buckets(spark, sf_dir):
     a = attempts(spark, sf_dir)
