@@ -168,19 +168,24 @@ class KeyedTable:
         self.spark, self.buckets, self.key, self.deep = spark, buckets, list(key), deep
         self.path = path or scratch_path(spark, "tables")
 
+    SCHEMA = "index string, doc_id string, sequence bigint, deleted boolean, source string, bucket int"
+
     def _empty(self) -> DataFrame:
-        schema = "index string, doc_id string, sequence bigint, deleted boolean, source string, bucket int"
-        return self.spark.createDataFrame([], schema)
+        return self.spark.createDataFrame([], self.SCHEMA)
 
     def exists(self) -> bool:
+        if getattr(self, "_written", False):
+            return True
         try:
             self.spark.read.parquet(self.path).schema
-            return True
+            self._written = True
         except Exception:  # noqa: BLE001 - not written yet
             return False
+        return True
 
     def read(self, include_tombstones: bool = False) -> DataFrame:
-        df = self.spark.read.parquet(self.path) if self.exists() else self._empty()
+        # the known schema: no footer reads to infer it on every apply
+        df = self.spark.read.schema(self.SCHEMA).parquet(self.path) if self.exists() else self._empty()
         return df if include_tombstones else df.filter(~F.col("deleted"))
 
     def _touched(self, batch: DataFrame) -> DataFrame | None:
@@ -217,3 +222,4 @@ class KeyedTable:
         n = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
         (new.repartition(n, "index", "bucket").write.mode("overwrite")
          .option("partitionOverwriteMode", "dynamic").partitionBy("index", "bucket").parquet(self.path))
+        self._written = True
