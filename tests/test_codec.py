@@ -7,22 +7,22 @@ from tributary.functions import envelope as env
 
 
 def test_subject_generation(spark):
-    df = spark.createDataFrame([("iconik-assets", "index", "iconik"), ("users", "delete", "tenant1"),
+    df = spark.createDataFrame([("media-assets", "index", "mediaco"), ("users", "delete", "tenant1"),
                                 ("a", "partial_update", "t")], "index string, operation string, tenant string")
     got = [r[0] for r in df.select(env.subject(F.col("tenant"))).collect()]
-    assert got == ["es.iconik.iconik_assets.index", "es.tenant1.users.delete", "es.t.a.partial"]
+    assert got == ["es.mediaco.media_assets.index", "es.tenant1.users.delete", "es.t.a.partial"]
 
 
 def test_roundtrip(spark):
     df = spark.createDataFrame(
-        [("gcp-eu-west-1", 42, "index", "iconik-assets", "doc123", '{"title": "Test Asset", "size": 1024}')],
+        [("region-west-1", 42, "index", "media-assets", "doc123", '{"title": "Test Asset", "size": 1024}')],
         "source_id string, sequence bigint, operation string, index string, doc_id string, source string")
     df = df.withColumn("timestamp", F.lit("2024-05-06 07:08:09.123456").cast("timestamp"))
     df = df.withColumn("msg_id", env.message_id())
     enc = df.select("*", codec.encode().alias("payload"))
     dec = codec.decode(enc).first()
     assert dec["reason"] is None
-    assert (dec["sequence"], dec["index"], dec["doc_id"], dec["source_id"]) == (42, "iconik-assets", "doc123", "gcp-eu-west-1")
+    assert (dec["sequence"], dec["index"], dec["doc_id"], dec["source_id"]) == (42, "media-assets", "doc123", "region-west-1")
     # the body comes back as compact JSON text, same content and key order
     assert dec["source"] == '{"title":"Test Asset","size":1024}'
     assert dec["doc_type"] == "_doc"
