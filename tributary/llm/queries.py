@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tributary.llm import chat, mixing, ppm
+from tributary.llm import bpe, chat, mixing, ppm, toxicity
 from tributary.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -96,3 +96,13 @@ def op7(spark, sf_dir):
 @query("op10_language_id")
 def op10(spark, sf_dir):
     return ppm.predict_languages(table(spark, sf_dir, "documents"))
+
+
+@query("op6_bpe_encode")
+def op6(spark, sf_dir):
+    return bpe.encode_digests(table(spark, sf_dir, "documents"), bpe.vocabulary_path())
+
+
+@query("op8_toxicity")
+def op8(spark, sf_dir):
+    return toxicity.score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))

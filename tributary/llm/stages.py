@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tributary.llm import mixing, ppm
+from tributary.llm import bpe, mixing, ppm
 from tributary.llm.common import held_out
 
 
@@ -30,4 +30,5 @@ def without_repeats(spark, docs, sf_dir):
 
 
 def encoded_documents(spark, docs, sf_dir):
-    raise NotImplementedError
+    """BPE: the ids of every text and the text they decode to; the last stage's rows are the encoded documents."""
+    return bpe.encode_documents(docs, bpe.vocabulary_path())
