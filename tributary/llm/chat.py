@@ -19,7 +19,7 @@ line feed ``\\n``), so control strings inside a text never read as marks, and
 ``(start, end)`` code point spans of the assistant texts.
 
 Defined cases: a null text or role is empty; a null tree id is one tree of its
-own; repeated rows are nodes of their own (turn order, then role and text); an
+own; a parent that isn't there leaves its replies without a path; repeated rows are nodes of their own (turn order, then role and text); an
 empty table gives no conversation; other columns are ignored.
 """
 
@@ -28,16 +28,16 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Iterator
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tributary.llm.common import drop_staged, staged
+from tributary.llm.common import staged
 
 START, END = "<|im_start|>", "<|im_end|>"
 LEARNED_ROLE = "assistant"
-ROOT = -1
 
 
 def escape(text: str) -> str:
@@ -85,29 +85,31 @@ def reply_paths(nodes: DataFrame, branches: int = 1) -> DataFrame:
     base = staged(nodes.select(key.alias("id"), F.when(F.col("parent").isNotNull(),
                   F.struct("tree", F.col("parent").alias("node"))).alias("up"),
                   F.coalesce(F.col("score"), F.lit(0.0)).alias("score"), "role", "text"), "reply-nodes")
-    # an arc: the ancestor 2**j replies up (null above the root), the replies and score up to it
-    arcs = [staged(base.select("id", "up", F.when(F.col("up").isNotNull(), 1).otherwise(0).cast("long").alias("depth"),
-                               "score"), "reply-arcs")]
-    limit = 62
-    while arcs[-1].where("up is not null").limit(1).count():
-        if len(arcs) > limit or 2 ** len(arcs) > 2 * base.count():
-            break                    # what still points up is on a cycle or below one
-        a = arcs[-1].alias("a")
-        b = arcs[-1].select(F.col("id").alias("bid"), F.col("up").alias("bup"),
-                            F.col("depth").alias("bdepth"), F.col("score").alias("bscore"))
-        arcs.append(staged(a.join(b, F.col("up") == F.col("bid"), "left").select(
-            "id", F.col("bup").alias("up"),
-            (F.col("depth") + F.coalesce(F.col("bdepth"), F.lit(0))).alias("depth"),
-            (F.col("score") + F.coalesce(F.col("bscore"), F.lit(0.0))).alias("score")), "reply-arcs"))
-    whole = arcs[-1].where("up is null").select("id", "depth", "score")
+    # an arc: the ancestor 2**j replies up, the replies and score up to it; a node whose arc
+    # would pass the root is done, with its whole depth and score, and takes no further round
+    first = base.select("id", "up", F.when(F.col("up").isNotNull(), 1).otherwise(0).cast("long").alias("depth"), "score")
+    done = [first.where("up is null")]
+    arcs = [staged(first.where("up is not null"), "reply-arcs")]
+    rows = base.count()
+    while 2 ** (len(arcs) - 1) <= rows and arcs[-1].limit(1).count():
+        known = reduce(DataFrame.unionByName, [*done, arcs[-1]]).select(
+            F.col("id").alias("bid"), F.col("up").alias("bup"), F.col("depth").alias("bdepth"),
+            F.col("score").alias("bscore"))
+        longer = staged(arcs[-1].join(known, F.col("up") == F.col("bid")).select(
+            "id", F.col("bup").alias("up"), (F.col("depth") + F.col("bdepth")).alias("depth"),
+            (F.col("score") + F.col("bscore")).alias("score")), "reply-arcs")
+        done.append(longer.where("up is null"))
+        arcs.append(longer.where("up is not null"))
+    whole = reduce(DataFrame.unionByName, done).select("id", "depth", "score")
     leaves = whole.join(base.select(F.col("up").alias("id")), "id", "left_anti")
     rank = Window.partitionBy(F.struct(F.col("id.tree"))).orderBy(F.col("score").desc(), F.col("id.node"))
     best = (leaves.withColumn("rank", F.row_number().over(rank)).where(F.col("rank") <= branches)
             .select("id", F.col("id.node").alias("leaf")))
-    marked = best
-    for arc in arcs[:-1]:
-        step = marked.join(arc.where("up is not null").select("id", "up"), "id").select(F.col("up").alias("id"), "leaf")
-        marked = staged(marked.unionByName(step), "reply-marks")
+    marks = [staged(best, "reply-marks")]
+    for arc in arcs[:-1]:                 # after round j all ancestors less than 2**(j+1) replies up are marked
+        marked = reduce(DataFrame.unionByName, marks)
+        marks.append(staged(marked.join(arc.select("id", "up"), "id").select(F.col("up").alias("id"), "leaf"), "reply-marks"))
+    marked = reduce(DataFrame.unionByName, marks)
     return (marked.join(whole.select("id", "depth"), "id").join(base.select("id", "role", "text"), "id")
             .select(F.col("id.tree").alias("tree"), "leaf", "depth", "role", "text"))
 

@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tributary.llm.common import WORD, drop_staged, staged
+from tributary.llm.common import WORD, staged
 
 WEIGHTS = (3, 1, 2)
 SHARE = 1.5
