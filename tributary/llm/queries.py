@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tributary.llm import bpe, chat, mixing, ppm, toxicity
+from tributary.llm import bpe, chat, mixing, ppm, toxicity, vectors
 from tributary.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -106,3 +106,47 @@ def op6(spark, sf_dir):
 @query("op8_toxicity")
 def op8(spark, sf_dir):
     return toxicity.score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+#: Plain comparison of all pairs of a label, then the closure of the links.
+NEAR_SQL = r"""
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+l AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b
+  ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+  AND list_inner_product(a.e, b.e) / sqrt(list_inner_product(a.e, a.e)) / sqrt(list_inner_product(b.e, b.e)) >= 0.98),
+r AS (SELECT a AS id, a AS low FROM l UNION SELECT l.b, r.low FROM r JOIN l ON l.a = r.id),
+c AS (SELECT id, min(low) AS low FROM r GROUP BY id),
+n AS (SELECT a, count(DISTINCT b) AS n FROM l GROUP BY a)
+SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, coalesce(low, vec_id) AS component_id,
+       vec_id = coalesce(low, vec_id) AS kept
+FROM embeddings LEFT JOIN c ON c.id = vec_id LEFT JOIN n ON n.a = vec_id
+"""
+
+
+@query("op1_embedding_near_dedup", NEAR_SQL)
+def op1(spark, sf_dir):
+    return vectors.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+NEAREST_SQL = r"""
+WITH v AS (
+  SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+s AS (
+  SELECT q.vec_id AS query_id, x.vec_id, list_inner_product(q.e, x.e) AS score
+  FROM v q JOIN v x ON q.vec_id % 20 = 0 AND x.vec_id <> q.vec_id AND len(q.e) = len(x.e)),
+r AS (SELECT *, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id))::INTEGER AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20
+"""
+
+
+@query("op4_nearest_neighbours", NEAREST_SQL)
+def op4(spark, sf_dir):
+    return vectors.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
