@@ -41,14 +41,14 @@ from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tributary.llm.common import chunks
+from tributary.llm.common import chunks, drop_staged, staged
 from tributary.session import shared_dir
 
 LEXICON_WORDS = 100_000
-#: Distinct words a counting task holds before it hands on its counts.
-COUNT_WORDS = 400_000
-#: Words whose ids a Python worker keeps at hand.
-MEMO_WORDS = 200_000
+#: Distinct pieces a counting task holds before it hands on its counts.
+COUNT_PIECES = 400_000
+#: Pieces of text whose ids a Python worker keeps at hand, twice over.
+MEMO_PIECES = 300_000
 
 
 @functools.cache
@@ -85,7 +85,8 @@ class Vocabulary:
         pairs = [tuple(m) if not isinstance(m, str) else tuple(m.split(" ")) for m in model["merges"]]
         self.merges = {(self.vocab[a], self.vocab[b]): (rank, self.vocab[a + b]) for rank, (a, b) in enumerate(pairs)}
         self.pattern = spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
-        self.tokens = {i: t for t, i in self.vocab.items()} | {i: t for t, i in self.special.items()}
+        names = {i: t for t, i in self.vocab.items()} | {i: t for t, i in self.special.items()}
+        self.tokens = [names.get(i, "") for i in range(max(names) + 1)]
         chars = byte_characters()
         self.inner = [self.vocab[c] for c in chars]
         self.last = [self.vocab[c + self.suffix] for c in chars]
@@ -99,8 +100,15 @@ class Vocabulary:
         rule = rule.replace(r"[^\s\p{L}\p{N}]", f"[^{SPACE}{letters}{numbers}]")
         self._word = re.compile(rule)
         self._space = re.compile(f"[{SPACE}]+")
+        self._odd = re.compile("[\x1c-\x1f]")         # white space to Python, but not to the word rule
         self._special = re.compile("(" + "|".join(re.escape(t) for t in sorted(self.special, key=len, reverse=True)) + ")")
 
+    def pieces(self, text: str) -> list[str]:
+        """The text between white space."""
+        if self._odd.search(text):
+            return [p for p in self._space.split(text) if p]
+        return text.split()
+
     def words(self, text: str) -> list[str]:
         """Normalised words of a text; special tokens stand for themselves."""
         if "<|" in text:
@@ -110,6 +118,7 @@ class Vocabulary:
         return self._words(text)
 
     def _words(self, text: str) -> list[str]:
+        """Words of a text without special tokens."""
         if not text.isascii():
             text = unicodedata.normalize("NFC", text)
             # lower-casing goes by the character, so a sigma at a word's end stays a plain one
@@ -241,6 +250,9 @@ class Lexicon:
         self.keys, self.targets, self.outputs, self.final, self.ends, self.ids = (
             data[a:b] for a, b in zip(cuts[:-1], cuts[1:], strict=True))
 
+    def bytes_of(self, number: int) -> bytes:
+        return self.ids[self.ends[number]:self.ends[number + 1]].astype("<u4").tobytes()
+
     def numbers(self, words: list[bytes]) -> np.ndarray:
         """The number of each word, or -1 where it isn't in the lexicon."""
         n = len(words)
@@ -268,33 +280,45 @@ class Lexicon:
 
 
 class Encoder:
-    """Encodes and decodes on one worker, with the mapped lexicon at hand."""
+    """Encodes and decodes on one worker, with the mapped lexicon at hand.
+
+    Words never cross white space, so the ids of each distinct piece between
+    white space are worked out once and kept, in two generations.
+    """
 
     def __init__(self, vocab: Vocabulary, lexicon: Lexicon | None):
         vocab.prepare()
-        self.vocab, self.lexicon, self.memo = vocab, lexicon, {}
-
-    def learn(self, words: set[str]) -> None:
-        """Put the ids of words into the memo: from the automaton, else by merging."""
-        new = [w for w in words if w not in self.memo]
-        if not new:
-            return
-        if len(self.memo) + len(new) > MEMO_WORDS:
-            self.memo.clear()
-            new = list(words)
-        at = self.lexicon.numbers([w.encode("utf-8", "replace") for w in new]) if self.lexicon else np.full(len(new), -1)
-        for w, k in zip(new, at.tolist(), strict=True):
+        self.vocab, self.lexicon, self.memo, self.old = vocab, lexicon, {}, {}
+
+    def learn(self, pieces: set[str]) -> None:
+        """Put the ids of pieces into the memo: their words from the automaton, else by merging."""
+        new = [p for p in pieces if p not in self.memo]
+        if len(self.memo) + len(new) > MEMO_PIECES:
+            self.old, self.memo, new = self.memo, {}, list(pieces)
+        fresh = []
+        for p in new:
+            ids = self.old.get(p)
+            if ids is None:
+                fresh.append(p)
+            else:
+                self.memo[p] = ids
+        split = [self.vocab.words(p) for p in fresh]
+        words = list(set().union(*split)) if split else []
+        at = self.lexicon.numbers([w.encode("utf-8", "replace") for w in words]) if self.lexicon else np.full(len(words), -1)
+        known = {}
+        for w, k in zip(words, at.tolist(), strict=True):
             if k >= 0 and w not in self.vocab.special:
-                ids = self.lexicon.ids[self.lexicon.ends[k]:self.lexicon.ends[k + 1]]
-                self.memo[w] = ids.astype("<u4").tobytes()
+                known[w] = self.lexicon.bytes_of(k)
             else:
-                self.memo[w] = np.array(self.vocab.merge(w), "<u4").tobytes()
+                known[w] = np.array(self.vocab.merge(w), "<u4").tobytes()
+        for p, own in zip(fresh, split, strict=True):
+            self.memo[p] = b"".join(map(known.__getitem__, own))
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Each text's ids, as little-endian unsigned 32-bit integers."""
-        split = [self.vocab.words(t) for t in texts]
+        split = [self.vocab.pieces(t) for t in texts]
         self.learn(set().union(*split))
-        return [b"".join(map(self.memo.__getitem__, words)) for words in split]
+        return [b"".join(map(self.memo.__getitem__, pieces)) for pieces in split]
 
     def decode(self, ids: bytes) -> str:
         return self.vocab.decode(np.frombuffer(ids, "<u4").tolist())
@@ -316,22 +340,43 @@ def _texts(b: pd.DataFrame) -> list[str]:
 
 
 def frequent_words(docs: DataFrame, vocab, limit: int = LEXICON_WORDS) -> list[str]:
-    """The most frequent words over all documents (ties: the smaller word)."""
+    """The most frequent words over all documents, at most ``limit``.
+
+    All words of a class of counts (16 classes to a doubling) are in or none, so
+    the driver gets one row per class and then the words themselves.
+    """
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         v = vocab.value
         v.prepare()
         c = Counter()
+
+        def counted() -> pd.DataFrame:
+            words = {}
+            for piece, n in c.items():
+                for w in v.words(piece):
+                    words[w] = words.get(w, 0) + n
+            c.clear()
+            return pd.DataFrame({"word": list(words), "n": list(words.values())})
+
         for b in batches:
             for t in _texts(b):
-                c.update(v.words(t))
-                if len(c) > COUNT_WORDS:
-                    yield pd.DataFrame({"word": list(c.keys()), "n": list(c.values())})
-                    c.clear()
-        yield pd.DataFrame({"word": list(c.keys()), "n": list(c.values())})
-
-    top = (docs.select("text").mapInPandas(count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
-           .where("n > 1").orderBy(F.col("n").desc(), "word").limit(limit))
-    return [r["word"] for r in top.select("word").collect()]
+                c.update(v.pieces(t))
+                if len(c) > COUNT_PIECES:
+                    yield counted()
+        yield counted()
+
+    counts = staged(docs.select("text").mapInPandas(count, "word string, n long").groupBy("word")
+                    .agg(F.sum("n").alias("n")).where("n > 1")
+                    .withColumn("class", F.floor(F.log2("n") * 16).cast("int")), "words")
+    room, lowest = limit, None
+    for r in counts.groupBy("class").agg(F.count(F.lit(1)).alias("n")).orderBy(F.col("class").desc()).collect():
+        room -= r["n"]
+        if room < 0:
+            break
+        lowest = r["class"]
+    words = [] if lowest is None else [r["word"] for r in counts.where(F.col("class") >= lowest).select("word").collect()]
+    drop_staged(counts)
+    return words
 
 
 def share_file(spark, data: bytes) -> str:
