@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -73,6 +74,24 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
+def runs(batches, key: list[str]):
+    """Whole groups of rows with equal ``key``, from batches in which they follow each other."""
+    kept, last = [], None
+    for b in batches:
+        if not len(b):
+            continue
+        cuts = np.flatnonzero((b[key].to_numpy()[1:] != b[key].to_numpy()[:-1]).any(axis=1)) + 1
+        for i, j in zip([0, *cuts], [*cuts, len(b)], strict=True):
+            own = tuple(b[key].iloc[i])
+            if kept and own != last:
+                yield pd.concat(kept, ignore_index=True)
+                kept = []
+            kept.append(b.iloc[i:j])
+            last = own
+    if kept:
+        yield pd.concat(kept, ignore_index=True)
+
+
 class Rolling:
     """Hashes of any substrings of a byte buffer, from one pass of prefix sums.
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tributary.llm import bpe, chat, mixing, ppm, toxicity, vectors
+from tributary.llm import bpe, chat, mixing, ngram_join, ppm, toxicity, vectors
 from tributary.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -150,3 +150,8 @@ SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20
 @query("op4_nearest_neighbours", NEAREST_SQL)
 def op4(spark, sf_dir):
     return vectors.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+@query("op3_ngram_jaccard")
+def op3(spark, sf_dir):
+    return ngram_join.jaccard_components(table(spark, sf_dir, "documents"))
