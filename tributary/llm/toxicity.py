@@ -29,12 +29,12 @@ from tributary.llm.linear import fit_logistic, sigmoid
 
 SIZES = (4, 5)
 BUCKETS = 1 << 20
-SAMPLE_PER_CLASS = 4000
+SAMPLE_PER_CLASS = 2000
 #: Added to each count.
 SMOOTHING = 1.0
 MIN_Z = 3.0
 #: Features kept at most, those farthest from zero.
-FEATURES = 20_000
+FEATURES = 4000
 TOXIC_AT = 0.7
 
 
@@ -62,8 +62,11 @@ def _parts(batch: pd.DataFrame):
         yield part, data[part]
 
 
-def count_ratios(rows: DataFrame) -> pd.DataFrame:
-    """``(bucket, toxic, other)``: documents of each label that have the bucket."""
+def ratios(rows: DataFrame, toxic: int, other: int) -> pd.DataFrame:
+    """``(bucket, ratio, z)`` of the buckets whose log ratio is clearly away from zero.
+
+    Counted over all of ``rows``, of which ``toxic`` and ``other`` have each label.
+    """
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         rolling, n = Rolling(8), np.zeros((2, BUCKETS), np.int64)
         for b in batches:
@@ -77,10 +80,11 @@ def count_ratios(rows: DataFrame) -> pd.DataFrame:
         at = np.flatnonzero(n.any(axis=0))
         yield pd.DataFrame({"bucket": at.astype(np.int32), "toxic": n[0][at], "other": n[1][at]})
 
-    got = rows.mapInPandas(count, "bucket int, toxic long, other long").groupBy("bucket").agg(
-        F.sum("toxic").alias("toxic"), F.sum("other").alias("other"))
-    # a bucket that few documents have can't be clearly away from zero
-    return got.where(F.col("toxic") + F.col("other") >= 3).toPandas().sort_values("bucket")
+    n = rows.mapInPandas(count, "bucket int, toxic long, other long").groupBy("bucket").agg(
+        (F.sum("toxic") + SMOOTHING).alias("p"), (F.sum("other") + SMOOTHING).alias("q"))
+    n = n.withColumn("ratio", F.log(F.col("p") / (toxic + 2 * SMOOTHING)) - F.log(F.col("q") / (other + 2 * SMOOTHING)))
+    n = n.withColumn("z", F.abs("ratio") / F.sqrt(1 / F.col("p") + 1 / F.col("q")))
+    return n.where(F.col("z") >= MIN_Z).select("bucket", "ratio", "z").toPandas()
 
 
 class Model:
@@ -108,13 +112,8 @@ def train(rows: DataFrame, per_class: int = SAMPLE_PER_CLASS) -> Model | None:
     n = {r["toxic"]: r["n"] for r in rows.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     if not n.get(1) or not n.get(0):
         return None
-    counts = count_ratios(rows)
-    p, q = counts["toxic"].to_numpy() + SMOOTHING, counts["other"].to_numpy() + SMOOTHING
-    ratio = np.log(p / (n[1] + 2 * SMOOTHING)) - np.log(q / (n[0] + 2 * SMOOTHING))
-    z = np.abs(ratio) / np.sqrt(1 / p + 1 / q)
-    order = np.argsort(-z, kind="stable")[:FEATURES]
-    order = order[z[order] >= MIN_Z]
-    ratio, kept = ratio[order], counts["bucket"].to_numpy()[order]
+    best = ratios(rows, n[1], n[0]).sort_values(["z", "bucket"], ascending=[False, True])[:FEATURES]
+    ratio, kept = best["ratio"].to_numpy(), best["bucket"].to_numpy()
     place = np.full(BUCKETS, -1, np.int32)
     place[kept] = np.arange(len(kept), dtype=np.int32)
     sent = rows.sparkSession.sparkContext.broadcast(place)
