@@ -92,6 +92,25 @@ def runs(batches, key: list[str]):
         yield pd.concat(kept, ignore_index=True)
 
 
+def whole_groups(batches, key: list[str]):
+    """Rows in batches that end where ``key`` changes, so groups of equal ``key`` stay together."""
+    kept = []
+    for b in batches:
+        if not len(b):
+            continue
+        same = np.logical_and.reduce([b[c].to_numpy() == b[c].iloc[-1] for c in key])
+        cut = len(b) - int(same.sum())                 # where the last group begins
+        if cut or (kept and any(kept[-1][c].iloc[-1] != b[c].iloc[0] for c in key)):
+            if not cut:
+                yield pd.concat(kept, ignore_index=True)
+            else:
+                yield pd.concat([*kept, b.iloc[:cut]], ignore_index=True)
+            kept = []
+        kept.append(b.iloc[cut:])
+    if kept:
+        yield pd.concat(kept, ignore_index=True)
+
+
 class Rolling:
     """Hashes of any substrings of a byte buffer, from one pass of prefix sums.
 

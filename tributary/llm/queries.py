@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tributary.llm import bpe, chat, mixing, ngram_join, ppm, toxicity, vectors
+from tributary.llm import bpe, chat, mixing, ngram_join, ppm, repeats, toxicity, vectors
 from tributary.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -155,3 +155,8 @@ def op4(spark, sf_dir):
 @query("op3_ngram_jaccard")
 def op3(spark, sf_dir):
     return ngram_join.jaccard_components(table(spark, sf_dir, "documents"))
+
+
+@query("op9_suffix_dedup")
+def op9(spark, sf_dir):
+    return repeats.repeat_digests(table(spark, sf_dir, "documents"))
