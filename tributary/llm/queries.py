@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tributary.llm import bpe, chat, mixing, ngram_join, ppm, repeats, toxicity, vectors
+from tributary.llm import bpe, chat, mixing, ngram_join, ppm, quality, repeats, toxicity, vectors
 from tributary.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -160,3 +160,8 @@ def op3(spark, sf_dir):
 @query("op9_suffix_dedup")
 def op9(spark, sf_dir):
     return repeats.repeat_digests(table(spark, sf_dir, "documents"))
+
+
+@query("op5_quality")
+def op5(spark, sf_dir):
+    return quality.classify(*(table(spark, sf_dir, t) for t in ("documents", "pages", "labels")))

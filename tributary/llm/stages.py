@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tributary.llm import bpe, mixing, ppm
+from tributary.llm import bpe, mixing, ngram_join, ppm, repeats
 from tributary.llm.common import held_out
 
 
@@ -22,11 +22,22 @@ def mixed(spark, docs, sf_dir):
 
 
 def one_of_each_group(spark, docs, sf_dir):
-    raise NotImplementedError
+    """N-gram Jaccard join: of each group of linked documents the one with the smallest id stays.
+
+    Rows that repeat an id are the same document; one of them stays.  Rows without an id stay.
+    """
+    found = ngram_join.jaccard_components(docs.select("doc_id", "text")).where("doc_id = component_id")
+    kept = docs.join(found.select("doc_id").distinct(), "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    return kept.unionByName(docs.where("doc_id is null")).select(*docs.columns)
 
 
 def without_repeats(spark, docs, sf_dir):
-    raise NotImplementedError
+    """Suffix dedup: repeated bytes are cut out of the texts; ``n_chars`` follows, no document goes."""
+    out = repeats.remove_repeats(docs)
+    if "n_chars" in docs.columns:
+        kind = docs.schema["n_chars"].dataType
+        out = out.withColumn("n_chars", F.when(F.col("text").isNull(), F.col("n_chars")).otherwise(F.length("text")).cast(kind))
+    return out.select(*docs.columns)
 
 
 def encoded_documents(spark, docs, sf_dir):
