@@ -41,7 +41,7 @@ from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tributary.llm.common import chunks, drop_staged, staged
+from tributary.llm.common import add_columns, drop_staged, staged
 from tributary.session import shared_dir
 
 LEXICON_WORDS = 100_000
@@ -406,28 +406,28 @@ def build(docs: DataFrame, vocab_path: str, lexicon_words: int = LEXICON_WORDS):
 
 def encode_documents(docs: DataFrame, vocab_path: str, lexicon_words: int = LEXICON_WORDS) -> DataFrame:
     """``(doc_id, ids, decoded)``: the ids of each text and what they decode to."""
-    return _run(docs, vocab_path, lexicon_words, "ids array<int>, decoded string",
-                lambda ids, text: (np.frombuffer(ids, "<i4"), text), ["ids", "decoded"])
+    def rows(ids, decoded):
+        return {"ids": [np.frombuffer(x, "<i4") for x in ids], "decoded": decoded}
+    return _run(docs, vocab_path, lexicon_words, "ids array<int>, decoded string", rows)
 
 
 def encode_digests(docs: DataFrame, vocab_path: str, lexicon_words: int = LEXICON_WORDS) -> DataFrame:
     """``(doc_id, n_tokens, ids_sha256, decoded_sha256)`` for every document."""
-    def digest(ids: bytes, text: str):
-        return len(ids) // 4, hashlib.sha256(ids).hexdigest(), hashlib.sha256(text.encode("utf-8", "replace")).hexdigest()
-    return _run(docs, vocab_path, lexicon_words, "n_tokens long, ids_sha256 string, decoded_sha256 string",
-                digest, ["n_tokens", "ids_sha256", "decoded_sha256"])
+    def rows(ids, decoded):
+        return {"n_tokens": [len(x) // 4 for x in ids], "ids_sha256": [hashlib.sha256(x).hexdigest() for x in ids],
+                "decoded_sha256": [hashlib.sha256(x.encode("utf-8", "replace")).hexdigest() for x in decoded]}
+    return _run(docs, vocab_path, lexicon_words, "n_tokens long, ids_sha256 string, decoded_sha256 string", rows)
 
 
-def _run(docs: DataFrame, vocab_path: str, lexicon_words: int, kinds: str, make, names: list[str]) -> DataFrame:
+def _run(docs: DataFrame, vocab_path: str, lexicon_words: int, new: str, rows) -> DataFrame:
     vocab, name = build(docs, vocab_path, lexicon_words)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def make():
         enc = Encoder(vocab.value, Lexicon(np.load(SparkFiles.get(name), mmap_mode="r")))
-        for b in batches:
-            texts = _texts(b)
-            for part in chunks([len(t) for t in texts]):
-                rows = [make(ids, enc.decode(ids)) for ids in enc.encode(texts[part])]
-                out = {n: [r[i] for r in rows] for i, n in enumerate(names)}
-                yield pd.DataFrame({"doc_id": b["doc_id"].iloc[part].to_numpy(), **out})
 
-    return docs.select("doc_id", "text").mapInPandas(run, f"doc_id long, {kinds}")
+        def encode(texts):
+            ids = enc.encode([t or "" for t in texts])
+            return rows(ids, [enc.decode(x) for x in ids])
+        return encode
+
+    return add_columns(docs, "text", new, make, ["doc_id"])

@@ -4,8 +4,11 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql.types import StructType
 
 from tributary.session import scratch_path
 
@@ -64,6 +67,45 @@ def chunks(sizes, limit: int = BATCH_BYTES):
         yield slice(start, len(sizes))
 
 
+def add_columns(df: DataFrame, text: str, new: str, make, keep: list[str], more: list[str] = (),
+                limit: int = BATCH_BYTES) -> DataFrame:
+    """``keep`` columns of ``df``, unchanged, and new ones worked out from its texts in Arrow batches.
+
+    ``make()`` runs once per task and gives a function of (texts, *``more`` columns as lists) to
+    a dict of the columns that ``new`` declares.  At most ``limit`` text bytes (or one
+    text) go at a time.  Columns of ``keep`` that ``new`` names are replaced.
+    """
+    fresh = StructType.fromDDL(new)
+    keep = [c for c in keep if c not in fresh.names]
+    own = df.select(*[F.col(f"`{c}`") for c in keep], F.col(text).alias("_text"), *[F.col(c).alias(f"_{c}") for c in more])
+    kinds = {f.name: to_arrow_type(f.dataType) for f in fresh}
+    n = len(keep)
+
+    def run(batches):
+        work = make()
+        for b in batches:
+            texts = b.column(n).to_pylist()
+            for part in chunks([len(t) if t else 0 for t in texts], limit):
+                rows = b.slice(part.start, part.stop - part.start)
+                made = work(texts[part], *[rows.column(n + 1 + i).to_pylist() for i in range(len(more))])
+                yield pa.RecordBatch.from_arrays(
+                    [*rows.columns[:n], *[pa.array(made[k], kind, from_pandas=True) for k, kind in kinds.items()]],
+                    names=[*keep, *kinds])
+
+    return own.mapInArrow(run, StructType([*own.schema.fields[:n], *fresh.fields]))
+
+
+def shielded(docs: DataFrame) -> tuple[DataFrame, callable]:
+    """``docs`` with every column under a private name beside its own columns, and the way back.
+
+    Operators may then add columns of any name; the way back takes the private ones alone.
+    """
+    names = docs.columns
+    hidden = docs.select(*[F.col(f"`{c}`").alias(f"_own{i}") for i, c in enumerate(names)],
+                         *[F.col(f"`{c}`") for c in ("doc_id", "text", "lang", "source") if c in names])
+    return hidden, lambda df: df.select(*[F.col(f"_own{i}").alias(c) for i, c in enumerate(names)])
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """Spread every bit of 64-bit values over all bits (a bijection)."""
     x = x ^ (x >> np.uint64(32))

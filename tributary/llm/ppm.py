@@ -33,7 +33,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tributary.llm.common import chunks, encoded, held_out
+from tributary.llm.common import add_columns, encoded, held_out
 
 ORDER = 3
 SAMPLE_PER_LANG = 600
@@ -186,27 +186,23 @@ def identify(docs: DataFrame, learn: Column, keep: list[str] = ("doc_id",),
     trees = train(docs.where(learn).select("doc_id", "lang", "text"), per_lang)
     model = spark.sparkContext.broadcast(trees)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def make():
         t = model.value
-        for b in batches:
-            lang, score = np.full(len(b), UNKNOWN, object), np.zeros(len(b))
+
+        def predict(texts):
+            lang, score = np.full(len(texts), UNKNOWN, object), np.zeros(len(texts))
             if t is not None:
-                texts = b["_text"].tolist()
-                data = encoded(texts)
+                buf, starts, sizes = _joined(encoded(texts))
+                per = t.totals(buf, starts, sizes) / np.maximum(sizes, 1)[:, None]
+                best = per.argmin(axis=1)
+                low = per[np.arange(len(per)), best]
                 ok = np.array([has_letter(x) for x in texts], bool)
-                for part in chunks([len(x) for x in data]):
-                    buf, starts, sizes = _joined(data[part])
-                    per = t.totals(buf, starts, sizes) / np.maximum(sizes, 1)[:, None]
-                    best = per.argmin(axis=1)
-                    low = per[np.arange(len(per)), best]
-                    lang[part] = np.array(t.langs, object)[best]
-                    score[part] = 1.0 / np.exp2(low[:, None] - per).sum(axis=1)
-                lang[~ok], score[~ok] = UNKNOWN, 0.0
-            yield b.drop(columns="_text").assign(lang_pred=lang, score=score)
-
-    own = docs.select(*keep, F.col("text").alias("_text"))
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in own.schema if f.name != "_text")
-    return own.mapInPandas(run, f"{kinds}, lang_pred string, score double")
+                lang[ok] = np.array(t.langs, object)[best[ok]]
+                score[ok] = (1.0 / np.exp2(low[:, None] - per).sum(axis=1))[ok]
+            return {"lang_pred": lang, "score": score}
+        return predict
+
+    return add_columns(docs, "text", "lang_pred string, score double", make, list(keep))
 
 
 def predict_languages(docs: DataFrame) -> DataFrame:

@@ -38,7 +38,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tributary.llm.common import Rolling, chunks, encoded, staged, whole_groups
+from tributary.llm.common import Rolling, add_columns, chunks, encoded, staged, whole_groups
 
 LENGTH = 200
 #: Bytes of an anchor's string.
@@ -265,50 +265,46 @@ def cover(text: bytes, spans, length: int = LENGTH) -> tuple[bytes, int, int]:
 
 
 def _with_spans(docs: DataFrame, length: int) -> DataFrame:
-    """``docs`` with a ``key`` and the list ``spans`` of its repeated windows."""
-    spans = find_repeats(docs.select("key", "text"), length)
+    """``docs`` with ``_key`` and the list ``_spans`` of its repeated windows."""
+    spans = find_repeats(docs.select(F.col("_key").alias("key"), "text"), length)
     packed = F.shiftleft(F.col("first").cast("long"), 32).bitwiseOR(F.col("last").cast("long"))
-    lists = spans.groupBy("key").agg(F.collect_list(packed).alias("spans"))
-    return docs.join(lists, "key", "left")
+    lists = spans.groupBy(F.col("key").alias("_key")).agg(F.collect_list(packed).alias("_spans"))
+    return docs.join(lists, "_key", "left")
 
 
 def keyed(docs: DataFrame) -> DataFrame:
-    """``docs`` with a unique number ``key`` per row.
+    """``docs`` with a unique number ``_key`` per row.
 
     ``doc_id`` where it is unique and not null; else rows are numbered once and written, so the
     numbers hold when a lost task runs again.
     """
     n, ids, known = docs.agg(F.count(F.lit(1)), F.count_distinct("doc_id"), F.count("doc_id")).first()
     if n == ids == known:
-        return docs.withColumn("key", F.col("doc_id").cast("long"))
-    return staged(docs.withColumn("key", F.monotonically_increasing_id()), "repeat-keyed")
+        return docs.withColumn("_key", F.col("doc_id").cast("long"))
+    return staged(docs.withColumn("_key", F.monotonically_increasing_id()), "repeat-keyed")
 
 
 def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """``docs`` with ``text`` cut to the bytes that stay, in all its columns; a cut character's rest is left out."""
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
+    def make():
+        def cut(texts, spans):
+            return {"text": [t if not s else cover(x, s, length)[0].decode("utf-8", "ignore")
+                             for t, x, s in zip(texts, encoded(texts), spans, strict=True)]}
+        return cut
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            text = [t if not isinstance(t, str) or s is None or not len(s) else
-                    cover(x, s, length)[0].decode("utf-8", "ignore")
-                    for t, x, s in zip(b["text"], encoded(b["text"]), b["spans"], strict=True)]
-            yield b.drop(columns=["key", "spans"]).assign(text=text)
-
-    return _with_spans(keyed(docs), length).mapInPandas(run, kinds)
+    out = add_columns(_with_spans(keyed(docs), length), "text", "text string", make, docs.columns, ["_spans"])
+    return out.select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def repeat_digests(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """``(doc_id, n_bytes, n_removed, n_spans, kept_sha256)`` for every document."""
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            rows = []
-            for text, spans in zip(encoded(b["text"]), b["spans"], strict=True):
-                kept, n, runs_ = cover(text, spans, length)
-                rows.append((len(text), n, runs_, hashlib.sha256(kept).hexdigest()))
-            yield pd.DataFrame(rows, columns=["n_bytes", "n_removed", "n_spans", "kept_sha256"]).assign(
-                doc_id=b["doc_id"].astype("Int64").to_numpy())[["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]]
-
-    own = _with_spans(keyed(docs.select("doc_id", "text")), length)
-    return own.select("doc_id", "text", "spans").mapInPandas(
-        run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+    def make():
+        def digest(texts, spans):
+            data = encoded(texts)
+            left = [cover(t, s, length) for t, s in zip(data, spans, strict=True)]
+            return {"n_bytes": [len(t) for t in data], "n_removed": [x[1] for x in left],
+                    "n_spans": [x[2] for x in left], "kept_sha256": [hashlib.sha256(x[0]).hexdigest() for x in left]}
+        return digest
+
+    return add_columns(_with_spans(keyed(docs.select("doc_id", "text")), length), "text",
+                       "n_bytes long, n_removed long, n_spans long, kept_sha256 string", make, ["doc_id"], ["_spans"])

@@ -5,20 +5,22 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tributary.llm import bpe, mixing, ngram_join, ppm, repeats
-from tributary.llm.common import held_out
+from tributary.llm.common import held_out, shielded
 
 
 def known_language(spark, docs, sf_dir):
     """Language ID: documents without a recognisable language go; the others keep all columns."""
-    found = ppm.identify(docs, ~held_out(F.col("doc_id"), 4, 2), keep=docs.columns)
-    return found.where(F.col("lang_pred") != ppm.UNKNOWN).drop("lang_pred", "score")
+    hidden, back = shielded(docs)
+    found = ppm.identify(hidden, ~held_out(F.col("doc_id"), 4, 2), keep=hidden.columns)
+    return back(found.where(F.col("lang_pred") != ppm.UNKNOWN))
 
 
 def mixed(spark, docs, sf_dir):
     """Mixing: a document is repeated as often as the mix takes it (0 to 2 times)."""
-    out = mixing.mix_sources(docs)
-    return (out.where("copies > 0").withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
-            .select(*docs.columns))
+    hidden, back = shielded(docs)
+    own = [c for c in hidden.columns if c.startswith("_own")]
+    out = mixing.mix_sources(hidden, keep=own).where("copies > 0")
+    return back(out.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))))
 
 
 def one_of_each_group(spark, docs, sf_dir):

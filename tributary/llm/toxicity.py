@@ -24,7 +24,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tributary.llm.common import Rolling, chunks, encoded, held_out
+from tributary.llm.common import Rolling, add_columns, chunks, encoded, held_out
 from tributary.llm.linear import fit_logistic, sigmoid
 
 SIZES = (4, 5)
@@ -152,15 +152,15 @@ def score_documents(docs: DataFrame, labels: DataFrame, learn: Column, per_class
     texts = docs.select("doc_id", "text")
     model = docs.sparkSession.sparkContext.broadcast(train(texts.join(known, "doc_id"), per_class))
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def make():
         rolling, m = Rolling(8), model.value
-        for b in batches:
-            for part, data in _parts(b):
-                score = m.score(data, rolling) if m else np.zeros(len(data))
-                yield pd.DataFrame({"doc_id": b["doc_id"].iloc[part].astype("Int64"), "score": score,
-                                    "predicted": (score >= TOXIC_AT).astype(np.int32)})
 
-    return texts.mapInPandas(run, "doc_id long, score double, predicted int")
+        def score(rows):
+            p = m.score([t.lower() for t in encoded(rows)], rolling) if m else np.zeros(len(rows))
+            return {"score": p, "predicted": (p >= TOXIC_AT).astype(np.int32)}
+        return score
+
+    return add_columns(texts, "text", "score double, predicted int", make, ["doc_id"])
 
 
 def score_toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
