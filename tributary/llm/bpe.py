@@ -33,6 +33,7 @@ import unicodedata
 import uuid
 from collections import Counter
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pandas as pd
@@ -44,7 +45,7 @@ from pyspark.sql import functions as F
 from tributary.llm.common import add_columns, drop_staged, staged
 from tributary.session import shared_dir
 
-LEXICON_WORDS = 100_000
+LEXICON_WORDS = 200_000
 #: Distinct pieces a counting task holds before it hands on its counts.
 COUNT_PIECES = 400_000
 #: Pieces of text whose ids a Python worker keeps at hand, twice over.
@@ -83,7 +84,8 @@ class Vocabulary:
         self.suffix: str = model["end_of_word_suffix"]
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         pairs = [tuple(m) if not isinstance(m, str) else tuple(m.split(" ")) for m in model["merges"]]
-        self.merges = {(self.vocab[a], self.vocab[b]): (rank, self.vocab[a + b]) for rank, (a, b) in enumerate(pairs)}
+        self.ranks = {(self.vocab[a], self.vocab[b]): rank for rank, (a, b) in enumerate(pairs)}
+        self.merged = [self.vocab[a + b] for a, b in pairs]
         self.pattern = spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
         names = {i: t for t, i in self.vocab.items()} | {i: t for t, i in self.special.items()}
         self.tokens = [names.get(i, "") for i in range(max(names) + 1)]
@@ -98,7 +100,7 @@ class Vocabulary:
         letters, numbers = _classes()
         rule = self.pattern.replace(r"[\p{L}]", f"[{letters}]").replace(r"[\p{N}]", f"[{numbers}]")
         rule = rule.replace(r"[^\s\p{L}\p{N}]", f"[^{SPACE}{letters}{numbers}]")
-        self._word = re.compile(rule)
+        self._word, self._word_or_end = re.compile(rule), re.compile(rule + "|\n")
         self._space = re.compile(f"[{SPACE}]+")
         self._odd = re.compile("[\x1c-\x1f]")         # white space to Python, but not to the word rule
         self._special = re.compile("(" + "|".join(re.escape(t) for t in sorted(self.special, key=len, reverse=True)) + ")")
@@ -111,20 +113,38 @@ class Vocabulary:
 
     def words(self, text: str) -> list[str]:
         """Normalised words of a text; special tokens stand for themselves."""
-        if "<|" in text:
-            parts = self._special.split(text)
-            if len(parts) > 1:
-                return [w for p in parts for w in ([p] if p in self.special else self._words(p))]
-        return self._words(text)
+        parts = self._special.split(text) if "<|" in text else [text]
+        return [w for p in parts for w in ([p] if p in self.special else self._words(p))]
 
     def _words(self, text: str) -> list[str]:
         """Words of a text without special tokens."""
+        return self._word.findall(self._space.sub(" ", self._lower(text)))
+
+    @staticmethod
+    def _lower(text: str) -> str:
         if not text.isascii():
-            text = unicodedata.normalize("NFC", text)
             # lower-casing goes by the character, so a sigma at a word's end stays a plain one
-            low = text.lower() if "Σ" not in text else "".join(map(str.lower, text))
-            return self._word.findall(self._space.sub(" ", low))
-        return self._word.findall(text.lower())
+            text = unicodedata.normalize("NFC", text).replace("Σ", "σ")
+        return text.lower()
+
+    def words_of(self, pieces: list[str]) -> list[list[str]]:
+        """The words of each piece, from one pass over all of them."""
+        odd = [i for i, p in enumerate(pieces) if "<|" in p]
+        plain = pieces
+        if odd:
+            plain = list(pieces)
+            for i in odd:
+                plain[i] = ""
+        out, own = [], []
+        for w in self._word_or_end.findall(self._lower("\n".join(plain) + "\n")):
+            if w == "\n":
+                out.append(own)
+                own = []
+            else:
+                own.append(w)
+        for i in odd:
+            out[i] = self.words(pieces[i])
+        return out
 
     def merge(self, word: str) -> list[int]:
         """The ids of one word by exact merging."""
@@ -135,26 +155,26 @@ class Vocabulary:
         return self._merge_short(ids) if len(ids) <= 48 else self._merge_long(ids)
 
     def _merge_short(self, ids: list[int]) -> list[int]:
-        merges = self.merges
-        while len(ids) > 1:
-            best, at = None, -1
-            for i in range(len(ids) - 1):
-                m = merges.get((ids[i], ids[i + 1]))
-                if m is not None and (best is None or m[0] < best[0]):
-                    best, at = m, i
-            if best is None:
-                break
-            ids[at:at + 2] = [best[1]]
+        get, none = self.ranks.get, len(self.merged)
+        ranks = list(map(get, zip(ids, ids[1:]), repeat(none)))
+        while ranks and (best := min(ranks)) < none:
+            i = ranks.index(best)
+            ids[i:i + 2] = [self.merged[best]]
+            del ranks[i]
+            if i:
+                ranks[i - 1] = get((ids[i - 1], ids[i]), none)
+            if i < len(ranks):
+                ranks[i] = get((ids[i], ids[i + 1]), none)
         return ids
 
     def _merge_long(self, ids: list[int]) -> list[int]:
-        merges, n = self.merges, len(ids)
-        after, before, heap = list(range(1, n + 1)), list(range(-1, n - 1)), []
+        n, heap = len(ids), []
+        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
 
         def offer(i: int) -> None:
             j = after[i]
-            if i >= 0 and j < n and (m := merges.get((ids[i], ids[j]))):
-                heapq.heappush(heap, (m[0], i, ids[i], ids[j]))
+            if j < n and (rank := self.ranks.get((ids[i], ids[j]))) is not None:
+                heapq.heappush(heap, (rank, i, ids[i], ids[j]))
         for i in range(n - 1):
             offer(i)
         while heap:
@@ -162,7 +182,7 @@ class Vocabulary:
             j = after[i]
             if ids[i] != a or j >= n or ids[j] != b:
                 continue
-            ids[i], ids[j] = merges[(a, b)][1], -1
+            ids[i], ids[j] = self.merged[rank], -1
             after[i] = after[j]
             if after[i] < n:
                 before[after[i]] = i
@@ -250,8 +270,10 @@ class Lexicon:
         self.keys, self.targets, self.outputs, self.final, self.ends, self.ids = (
             data[a:b] for a, b in zip(cuts[:-1], cuts[1:], strict=True))
 
-    def bytes_of(self, number: int) -> bytes:
-        return self.ids[self.ends[number]:self.ends[number + 1]].astype("<u4").tobytes()
+    def bytes_of(self, numbers: np.ndarray) -> list[bytes]:
+        """The ids of words by their numbers, as little-endian unsigned 32-bit integers."""
+        flat = memoryview(np.ascontiguousarray(self.ids).view(np.uint8))
+        return [bytes(flat[4 * a:4 * b]) for a, b in zip(self.ends[numbers].tolist(), self.ends[numbers + 1].tolist())]
 
     def numbers(self, words: list[bytes]) -> np.ndarray:
         """The number of each word, or -1 where it isn't in the lexicon."""
@@ -302,14 +324,16 @@ class Encoder:
                 fresh.append(p)
             else:
                 self.memo[p] = ids
-        split = [self.vocab.words(p) for p in fresh]
+        split = self.vocab.words_of(fresh) if fresh else []
         words = list(set().union(*split)) if split else []
         at = self.lexicon.numbers([w.encode("utf-8", "replace") for w in words]) if self.lexicon else np.full(len(words), -1)
-        known = {}
+        at[[i for i, w in enumerate(words) if w in self.vocab.special]] = -1
+        known = dict.fromkeys(words)
+        if self.lexicon:
+            held = np.flatnonzero(at >= 0)
+            known.update(zip([words[i] for i in held.tolist()], self.lexicon.bytes_of(at[held]), strict=True))
         for w, k in zip(words, at.tolist(), strict=True):
-            if k >= 0 and w not in self.vocab.special:
-                known[w] = self.lexicon.bytes_of(k)
-            else:
+            if k < 0:
                 known[w] = np.array(self.vocab.merge(w), "<u4").tobytes()
         for p, own in zip(fresh, split, strict=True):
             self.memo[p] = b"".join(map(known.__getitem__, own))
@@ -352,8 +376,8 @@ def frequent_words(docs: DataFrame, vocab, limit: int = LEXICON_WORDS) -> list[s
 
         def counted() -> pd.DataFrame:
             words = {}
-            for piece, n in c.items():
-                for w in v.words(piece):
+            for own, n in zip(v.words_of(list(c)), c.values(), strict=True):
+                for w in own:
                     words[w] = words.get(w, 0) + n
             c.clear()
             return pd.DataFrame({"word": list(words), "n": list(words.values())})
@@ -363,7 +387,8 @@ def frequent_words(docs: DataFrame, vocab, limit: int = LEXICON_WORDS) -> list[s
                 c.update(v.pieces(t))
                 if len(c) > COUNT_PIECES:
                     yield counted()
-        yield counted()
+        if c:
+            yield counted()
 
     counts = staged(docs.select("text").mapInPandas(count, "word string, n long").groupBy("word")
                     .agg(F.sum("n").alias("n")).where("n > 1")
