@@ -6,28 +6,58 @@ from tributary.functions import codec
 from tributary.functions import envelope as env
 
 
-def test_subject_generation(spark):
-    df = spark.createDataFrame([("media-assets", "index", "mediaco"), ("users", "delete", "tenant1"),
-                                ("a", "partial_update", "t")], "index string, operation string, tenant string")
-    got = [r[0] for r in df.select(env.subject(F.col("tenant"))).collect()]
-    assert got == ["es.mediaco.media_assets.index", "es.tenant1.users.delete", "es.t.a.partial"]
-
-
-def test_roundtrip(spark):
-    df = spark.createDataFrame(
-        [("region-west-1", 42, "index", "media-assets", "doc123", '{"title": "Test Asset", "size": 1024}')],
-        "source_id string, sequence bigint, operation string, index string, doc_id string, source string")
-    df = df.withColumn("timestamp", F.lit("2024-05-06 07:08:09.123456").cast("timestamp"))
-    df = df.withColumn("msg_id", env.message_id())
-    enc = df.select("*", codec.encode().alias("payload"))
-    dec = codec.decode(enc).first()
-    assert dec["reason"] is None
-    assert (dec["sequence"], dec["index"], dec["doc_id"], dec["source_id"]) == (42, "media-assets", "doc123", "region-west-1")
-    # the body comes back as compact JSON text, same content and key order
-    assert dec["source"] == '{"title":"Test Asset","size":1024}'
-    assert dec["doc_type"] == "_doc"
-    payload = enc.first()["payload"]
-    assert '"version"' not in payload and '"headers"' not in payload   # None / empty omitted
+OPERATION_WORDS = {"index": "index", "update": "update", "partial_update": "partial", "delete": "delete"}
+
+
+def test_subject_parts(spark):
+    names = ["stock-9-x", "a.b-c", "", "plain", "-", "ü-ñ"]
+    df = spark.createDataFrame([(n, o, f"t{i}") for i, n in enumerate(names) for o in OPERATION_WORDS],
+                               "index string, operation string, tenant string")
+    for r in df.select("*", env.subject(F.col("tenant")).alias("s"), env.subject(F.col("tenant"), prefix="hop").alias("h")).collect():
+        head, tenant, rest = r["s"].split(".", 2)
+        assert (head, tenant) == ("es", r["tenant"])
+        assert rest == r["index"].replace("-", "_") + "." + OPERATION_WORDS[r["operation"]]
+        assert r["h"] == "hop" + r["s"][2:]
+
+
+ALL_FIELDS = ("msg_id string, timestamp timestamp, source_id string, sequence bigint, primary_term bigint, "
+              "correlation_id string, headers map<string,string>, operation string, index string, doc_id string, "
+              "doc_type string, version bigint, routing string, pipeline string, source string")
+
+
+def test_every_field_survives_the_wire(spark):
+    from datetime import datetime
+    when = datetime(2031, 2, 3, 4, 5, 6, 789)
+    rows = [("5f0c1d2e-0001-4aaa-8bbb-00000000000a", when, "north", 7, 3, "c-1", {"k": "v", "é": "\"q\""}, "update",
+             "stock-9", "né/1", "special", 12, "r1", "p1", '{"n":{"deep":[1.0,{"x":null}]},"t":"é \\u0041"}'),
+            ("5f0c1d2e-0002-4aaa-8bbb-00000000000b", when, "north", 0, None, None, None, "delete", "b", "2", None, None,
+             None, None, None),
+            ("5f0c1d2e-0003-4aaa-8bbb-00000000000c", when, "", 9, 0, "", {}, "partial_update", "", "", "_doc", 0, "", "", "{}")]
+    df = spark.createDataFrame(rows, ALL_FIELDS)
+    sent = df.select("sequence", codec.encode(doc_type="doc_type", version="version", primary_term="primary_term",
+                                              correlation_id="correlation_id", headers="headers", routing="routing",
+                                              pipeline="pipeline").alias("payload"))
+    back = {r["sequence"]: r.asDict() for r in codec.decode(sent).collect()}
+    names = [c.split()[0] for c in ALL_FIELDS.split(", ")]
+    for row in rows:
+        want = dict(zip(names, row))
+        want["doc_type"] = want["doc_type"] or "_doc"
+        want["headers"] = want["headers"] or None
+        got = back[want["sequence"]]
+        assert got["reason"] is None
+        assert {k: got[k] for k in names if k != "source"} == {k: want[k] for k in names if k != "source"}
+        assert (got["source"] is None) == (want["source"] is None)
+    assert back[7]["source"].startswith('{"n":{"deep":[1.0,{"x":null}]},"t":"')
+    text = {r["sequence"]: r["payload"] for r in sent.collect()}
+    assert not any(k in text[0] for k in ("version", "headers", "routing", "pipeline", "primary_term", '"source":{'))
+
+
+def test_body_text_comes_back_compact(spark):
+    df = spark.createDataFrame([(1, '{ "b" : [ 1, 2.50 ],  "a" : { "z" : "x  y" } }')], "sequence bigint, source string")
+    df = df.select("*", F.lit("n").alias("source_id"), F.lit("index").alias("operation"), F.lit("i").alias("index"),
+                   F.lit("d").alias("doc_id"), F.lit("2031-01-01").cast("timestamp").alias("timestamp"))
+    got = codec.decode(df.withColumn("msg_id", env.message_id()).select(codec.encode().alias("payload"))).first()
+    assert got["reason"] is None and got["source"].replace("2.50", "2.5") == '{"b":[1,2.5],"a":{"z":"x  y"}}'
 
 
 def test_decode_reasons(spark):

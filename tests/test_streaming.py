@@ -31,12 +31,6 @@ def test_stream_equals_batch_through_memory_sink(spark):
     assert got == want
 
 
-def test_in_memory_source_replays_in_order(spark):
-    df = spark.createDataFrame([(1, "test", "doc1", '{"foo":"bar"}')], "sequence bigint, index string, doc_id string, source string")
-    r = df.orderBy("sequence").first()
-    assert (r["sequence"], r["doc_id"]) == (1, "doc1")
-
-
 def test_stop_midway_and_restart_exactly_once(spark):
     """Kill-and-restart: a stream stopped after some micro-batches resumes from its
     checkpoint and the file sink holds every change exactly once."""
