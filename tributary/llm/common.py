@@ -67,6 +67,13 @@ def chunks(sizes, limit: int = BATCH_BYTES):
         yield slice(start, len(sizes))
 
 
+def text_slices(batch: pd.DataFrame, limit: int = BATCH_BYTES):
+    """Parts of a batch with ``text``, as (slice, encoded texts); only a part is held as bytes at a time."""
+    texts = batch["text"].tolist()
+    for part in chunks([len(t) if isinstance(t, str) else 0 for t in texts], limit):
+        yield part, encoded(texts[part])
+
+
 def add_columns(df: DataFrame, text: str, new: str, make, keep: list[str], more: list[str] = (),
                 limit: int = BATCH_BYTES) -> DataFrame:
     """``keep`` columns of ``df``, unchanged, and new ones worked out from its texts in Arrow batches.

@@ -38,13 +38,13 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tributary.llm.common import Rolling, add_columns, chunks, encoded, staged, whole_groups
+from tributary.llm.common import Rolling, add_columns, encoded, staged, text_slices, whole_groups
 
 LENGTH = 200
 #: Bytes of an anchor's string.
 GRAM = 64
 #: Text bytes hashed at a time.
-BATCH = 2 << 20
+BATCH = 1 << 19
 #: Windows that travel together once a block is undecided.
 SLICE = 34
 
@@ -120,10 +120,10 @@ def find_repeats(texts: DataFrame, length: int = LENGTH) -> DataFrame:
     def anchored(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         make = Anchors(length)
         for b in batches:
-            data, key = encoded(b["text"]), b["key"].to_numpy()
-            for part in chunks([len(t) for t in data], BATCH):
+            key = b["key"].to_numpy()
+            for part, data in text_slices(b, BATCH):
                 own = key[part]
-                x = make.blocks(data[part])
+                x = make.blocks(data)
                 if not len(x["doc"]):
                     continue
                 # equal blocks of one task: decided here; the first goes on for all of them

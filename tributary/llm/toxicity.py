@@ -24,7 +24,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tributary.llm.common import Rolling, add_columns, chunks, encoded, held_out
+from tributary.llm.common import Rolling, add_columns, encoded, held_out, text_slices
 from tributary.llm.linear import fit_logistic, sigmoid
 
 SIZES = (4, 5)
@@ -57,9 +57,8 @@ def buckets(texts: list[bytes], rolling: Rolling) -> tuple[np.ndarray, np.ndarra
 
 
 def _parts(batch: pd.DataFrame):
-    data = [t.lower() for t in encoded(batch["text"])]
-    for part in chunks([len(t) for t in data]):
-        yield part, data[part]
+    for part, data in text_slices(batch, 1 << 20):
+        yield part, [t.lower() for t in data]
 
 
 def ratios(rows: DataFrame, toxic: int, other: int) -> pd.DataFrame:
@@ -160,7 +159,7 @@ def score_documents(docs: DataFrame, labels: DataFrame, learn: Column, per_class
             return {"score": p, "predicted": (p >= TOXIC_AT).astype(np.int32)}
         return score
 
-    return add_columns(texts, "text", "score double, predicted int", make, ["doc_id"])
+    return add_columns(texts, "text", "score double, predicted int", make, ["doc_id"], limit=1 << 20)
 
 
 def score_toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
