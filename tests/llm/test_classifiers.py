@@ -98,9 +98,9 @@ def test_site_rates_agree_with_the_plain_formula(spark):
 def test_sparse_sites_shrink_and_large_ones_speak(spark):
     rows = [(i, "good words in a plain sentence number " + str(i), "h1", "p") for i in range(40)]
     rows += [(100 + i, "spam " * 40, "h2", "p") for i in range(40)] + [(200, "good words in a plain sentence", "h3", "p")]
-    docs = spark.createDataFrame(rows, "doc_id long, text string, host string, path string")
+    docs = spark.createDataFrame(rows, "doc_id long, text string, host string, path string").withColumn("source", F.lit("s"))
     labels = spark.createDataFrame([(i, 1) for i in range(0, 40, 2)] + [(100 + i, 0) for i in range(0, 40, 2)], "doc_id long, quality int")
-    got = {r["doc_id"]: r for r in quality.score_quality(docs, labels, F.lit(True)).collect()}
+    got = {r["doc_id"]: r for r in quality.score_quality(docs, labels, F.lit(True), sites=docs).collect()}
     assert got[1]["site_rate"] > got[200]["site_rate"] > got[101]["site_rate"]
     assert got[1]["kept"] and got[200]["kept"] and not got[101]["kept"]
 
@@ -109,10 +109,11 @@ def test_quality_of_odd_rows_and_sites(spark):
     df = docs_frame(spark, odd_rows(), extra=True)
     pages = spark.createDataFrame([(1, "https://a.example/en/8"), (2, "http://b.example/de/8.html?x=1"), (3, None), (4, "junk"),
                                    (5, "https://c.example/x/y/7/#top")], "page_id long, url string")
-    at = {r["doc_id"]: (r["host"], r["path"]) for r in quality.sites_of(df, pages).collect()}
+    at = {r["doc_id"]: (r["host"], r["path"]) for r in quality.classify(
+        df, pages, spark.createDataFrame([], "doc_id long, quality int")).collect()}
     assert at[8] == ("b.example", "de") and at[7] == ("c.example", "x") and at[5] == ("b", None) and at[2] == (None, None)
     labels = spark.createDataFrame([(1, 1, 0), (2, 0, 1), (None, 1, 1), (5, None, 0)], "doc_id long, quality int, toxic int")
     for known in (labels, labels.limit(0)):
-        got = quality.score_quality(quality.sites_of(df, pages), known, F.lit(True)).collect()
+        got = quality.score_quality(df, known, F.lit(True), sites=quality.sites_of(pages)).collect()
         assert len(got) == len(odd_rows()) and all(0 <= r["score"] <= 1 for r in got)
     assert quality.classify(df.limit(0), pages, labels).count() == 0

@@ -30,7 +30,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tributary.llm.common import chunks, drop_staged, encoded, held_out, staged
+from tributary.llm.common import add_columns, drop_staged, held_out, staged
 from tributary.llm.linear import fit_logistic, sigmoid
 
 FEATURES = ("log words", "distinct share", "top word share", "repeated pair share", "word length", "no letter words",
@@ -71,20 +71,17 @@ def _expand(x: np.ndarray) -> np.ndarray:
 
 
 def _measured(docs: DataFrame, keep: list[str]) -> DataFrame:
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            yield b.drop(columns="text").assign(counts=[np.array(measure(t), np.float32) for t in encoded(b["text"])])
-
-    own = docs.select(*keep, "text")
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in own.schema if f.name != "text")
-    return own.mapInPandas(run, f"{kinds}, counts array<float>")
+    def make():
+        return lambda texts: {"counts": [measure((t or "").encode("utf-8", "surrogatepass")) for t in texts]}
+    return add_columns(docs, "text", "counts array<float>", make, keep)
 
 
 def train(measured: DataFrame, labels: DataFrame, sample: int = SAMPLE):
     """Weights and intercept, or None without both labels; ``labels``: ``doc_id, quality``, one row per document."""
     n = labels.count()
     draw = F.crc32(F.concat_ws(":", F.lit("quality"), F.col("doc_id").cast("string")).cast("binary")) / F.lit(2.0**32)
-    rows = (measured.select("doc_id", "counts").join(labels.where(draw < sample / max(n, 1)), "doc_id")
+    # about ``sample`` ids: a bounded broadcast
+    rows = (measured.select("doc_id", "counts").join(F.broadcast(labels.where(draw < sample / max(n, 1))), "doc_id")
             .toPandas().sort_values("doc_id", kind="stable"))
     y = rows["quality"].to_numpy(float)
     if not len(y) or y.min() == y.max():
@@ -117,9 +114,20 @@ def _shrunk(docs: DataFrame, sites: DataFrame, site: list[str], parent: Column,
             .drop("_site", "n", "s"))
 
 
-def score_quality(docs: DataFrame, labels: DataFrame, learn: Column, sample: int = SAMPLE) -> DataFrame:
-    """``(doc_id, host, path, evidence, site_rate, score, kept)``; ``docs``: ``doc_id, text, host, path``."""
-    measured = staged(_measured(docs, ["doc_id", "host", "path"]), "quality-counts")
+def score_quality(docs: DataFrame, labels: DataFrame, learn: Column, sample: int = SAMPLE,
+                  sites: DataFrame | None = None) -> DataFrame:
+    """``(doc_id, host, path, evidence, site_rate, score, kept)``; ``docs``: ``doc_id, text, source``.
+
+    ``sites`` has ``doc_id, host, path``, one row per document; a document without one has its
+    source as host and no path.  Texts are measured where they are read and move nowhere.
+    """
+    counted = _measured(docs, ["doc_id", "source"])
+    if sites is None:
+        placed = counted.withColumns({"host": F.col("source"), "path": F.lit(None).cast("string")})
+    else:
+        placed = counted.join(sites.select("doc_id", "host", "path"), "doc_id", "left").withColumn(
+            "host", F.coalesce("host", "source"))
+    measured = staged(placed.select("doc_id", "host", "path", "counts"), "quality-counts")
     known = (labels.where(learn & F.col("quality").isNotNull()).groupBy("doc_id")
              .agg(F.min("quality").cast("int").alias("quality")))
     model = train(measured, known, sample)
@@ -147,22 +155,21 @@ def score_quality(docs: DataFrame, labels: DataFrame, learn: Column, sample: int
                           (1 / (1 + F.exp(-z))).alias("score")).withColumn("kept", F.col("score") >= KEEP_AT)
 
 
-def sites_of(docs: DataFrame, pages: DataFrame) -> DataFrame:
-    """``docs`` with ``host`` and ``path``: of the page whose address ends in the document's number.
+def sites_of(pages: DataFrame) -> DataFrame:
+    """``(doc_id, host, path)`` of the pages whose address ends in a document's number.
 
-    Of several pages the smallest address counts; a document without a page has its source
-    as host and no path.
+    Of several pages the smallest address counts.
     """
-    at = (pages.select("url", F.regexp_extract("url", r"^[a-z]+://([^/?#]+)/", 1).alias("_host"),
-                       F.regexp_extract("url", r"^[a-z]+://[^/?#]+/([^/?#]+)/", 1).alias("_path"),
-                       F.regexp_extract("url", r"^[a-z]+://[^?#]*/([0-9]+)(?:\.html)?/?(?:[?#].*)?$", 1).alias("_id"))
-          .where("_id <> ''").groupBy(F.expr("try_cast(_id as bigint)").alias("doc_id"))
-          .agg(F.min(F.struct("url", "_host", "_path")).alias("_page")).where("doc_id is not null"))
-    return docs.join(at, "doc_id", "left").select(
-        "doc_id", "text", F.coalesce("_page._host", "source").alias("host"), F.col("_page._path").alias("path"))
+    return (pages.select("url", F.regexp_extract("url", r"^[a-z]+://([^/?#]+)/", 1).alias("_host"),
+                         F.regexp_extract("url", r"^[a-z]+://[^/?#]+/([^/?#]+)/", 1).alias("_path"),
+                         F.regexp_extract("url", r"^[a-z]+://[^?#]*/([0-9]+)(?:\.html)?/?(?:[?#].*)?$", 1).alias("_id"))
+            .where("_id <> ''").groupBy(F.expr("try_cast(_id as bigint)").alias("doc_id"))
+            .agg(F.min(F.struct("url", "_host", "_path")).alias("_page")).where("doc_id is not null")
+            .select("doc_id", F.col("_page._host").alias("host"), F.col("_page._path").alias("path")))
 
 
 def classify(docs: DataFrame, pages: DataFrame, labels: DataFrame) -> DataFrame:
     """The registered form: a fifth of the ids is held out of training."""
-    out = score_quality(sites_of(docs, pages), labels, ~held_out(F.col("doc_id"), 5, 3))
+    out = score_quality(docs.select("doc_id", "text", "source"), labels, ~held_out(F.col("doc_id"), 5, 3),
+                        sites=sites_of(pages))
     return out.withColumn("held_out", held_out(F.col("doc_id"), 5, 3))

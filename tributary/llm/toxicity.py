@@ -1,13 +1,14 @@
 """Operator 8: toxicity by character n-grams scaled with naive Bayes log-count ratios.
 
 Features are the byte n-grams (``SIZES``) of the lower-cased text, hashed to
-``BUCKETS``; a document has a feature or not.  Over all labelled training
-documents Spark counts, per bucket, the toxic and the other documents that
-have it.  The log ratio of the two smoothed rates scales the feature; those
-whose ratio is not clearly away from zero (``MIN_Z`` standard errors) are left
-out.  A logistic regression over the scaled features is then fitted on a sample
-of about ``SAMPLE_PER_CLASS`` documents of each label, drawn by a hash of the
-id; what reaches the driver is one row per bucket and the sample's features.
+``BUCKETS``; a document has a feature or not.  The classifier is fitted on about
+``SAMPLE_PER_CLASS`` labelled documents of each label (all of them, if fewer),
+drawn by a hash of the id; the drawn ids are few, so they go to the documents
+and no text moves.  Spark counts, per bucket, the toxic and the other documents
+that have it.  The log ratio of the two smoothed rates scales the feature;
+those whose ratio is not clearly away from zero (``MIN_Z`` standard errors) are
+left out, and a logistic regression is fitted over the scaled rest.  What
+reaches the driver is bounded by the buckets and the sample.
 
 Defined cases: null and empty texts have no feature and score as the intercept
 does; without toxic or without other training rows every score is 0;
@@ -24,12 +25,12 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tributary.llm.common import Rolling, add_columns, encoded, held_out, text_slices
+from tributary.llm.common import Rolling, add_columns, drop_staged, encoded, held_out, staged, text_slices
 from tributary.llm.linear import fit_logistic, sigmoid
 
 SIZES = (4, 5)
 BUCKETS = 1 << 20
-SAMPLE_PER_CLASS = 2000
+SAMPLE_PER_CLASS = 4000
 #: Added to each count.
 SMOOTHING = 1.0
 MIN_Z = 3.0
@@ -106,18 +107,23 @@ def features(texts: list[bytes], rolling: Rolling, place: np.ndarray) -> tuple[n
     return own >> 32, own & 0xFFFFFFFF
 
 
-def train(rows: DataFrame, per_class: int = SAMPLE_PER_CLASS) -> Model | None:
-    """``rows``: ``doc_id, text, toxic``, every labelled training document."""
-    n = {r["toxic"]: r["n"] for r in rows.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
+def train(texts: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS) -> Model | None:
+    """``texts``: ``doc_id, text``; ``labels``: ``doc_id, toxic``, one row per document that may be learned from."""
+    n = {r["toxic"]: r["n"] for r in labels.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     if not n.get(1) or not n.get(0):
         return None
-    best = ratios(rows, n[1], n[0]).sort_values(["z", "bucket"], ascending=[False, True])[:FEATURES]
+    draw = F.crc32(F.concat_ws(":", F.lit("toxic"), F.col("doc_id").cast("string")).cast("binary")) / F.lit(2.0**32)
+    share = F.when(F.col("toxic") == 1, F.lit(per_class / n[1])).otherwise(F.lit(per_class / n[0]))
+    # about 2 * per_class ids at most: a bounded broadcast
+    rows = staged(texts.join(F.broadcast(labels.where(draw < share)), "doc_id"), "toxic-sample")
+    drawn = {r["toxic"]: r["n"] for r in rows.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
+    if not drawn.get(1) or not drawn.get(0):
+        return None
+    best = ratios(rows, drawn[1], drawn[0]).sort_values(["z", "bucket"], ascending=[False, True])[:FEATURES]
     ratio, kept = best["ratio"].to_numpy(), best["bucket"].to_numpy()
     place = np.full(BUCKETS, -1, np.int32)
     place[kept] = np.arange(len(kept), dtype=np.int32)
     sent = rows.sparkSession.sparkContext.broadcast(place)
-    draw = F.crc32(F.concat_ws(":", F.lit("toxic"), F.col("doc_id").cast("string")).cast("binary")) / F.lit(2.0**32)
-    share = F.when(F.col("toxic") == 1, F.lit(per_class / n[1])).otherwise(F.lit(per_class / n[0]))
 
     def gather(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         rolling = Rolling(8)
@@ -129,18 +135,17 @@ def train(rows: DataFrame, per_class: int = SAMPLE_PER_CLASS) -> Model | None:
                                     "toxic": b["toxic"].iloc[part].to_numpy(),
                                     "cols": [c.astype(np.int32) for c in np.split(col, cuts)]})
 
-    sample = (rows.where(draw < share).mapInPandas(gather, "doc_id long, toxic int, cols array<int>")
-              .toPandas().sort_values("doc_id", kind="stable"))
-    if sample["toxic"].nunique() < 2:
-        return None
+    sample = rows.mapInPandas(gather, "doc_id long, toxic int, cols array<int>").toPandas().sort_values(
+        "doc_id", kind="stable")
+    drop_staged(rows)
     sizes = [len(c) for c in sample["cols"]]
     row = np.repeat(np.arange(len(sample)), sizes)
     col = np.concatenate([np.asarray(c, np.int64) for c in sample["cols"]]) if sum(sizes) else np.zeros(0, np.int64)
     y = sample["toxic"].to_numpy().astype(float)
     # the sample holds the labels at other rates than the training rows; the intercept goes back to theirs
     weight, intercept = fit_logistic(row, col, ratio[col], y, len(ratio))
-    rate, drawn = n[1] / (n[0] + n[1]), y.mean()
-    intercept += np.log(rate / (1 - rate)) - np.log(drawn / (1 - drawn))
+    rate, held = n[1] / (n[0] + n[1]), y.mean()
+    intercept += np.log(rate / (1 - rate)) - np.log(held / (1 - held))
     return Model(place, weight * ratio, intercept)
 
 
@@ -149,7 +154,7 @@ def score_documents(docs: DataFrame, labels: DataFrame, learn: Column, per_class
     known = (labels.where(learn & F.col("toxic").isNotNull()).groupBy("doc_id")
              .agg(F.max("toxic").cast("int").alias("toxic")))
     texts = docs.select("doc_id", "text")
-    model = docs.sparkSession.sparkContext.broadcast(train(texts.join(known, "doc_id"), per_class))
+    model = docs.sparkSession.sparkContext.broadcast(train(texts, known, per_class))
 
     def make():
         rolling, m = Rolling(8), model.value
