@@ -34,8 +34,8 @@ def _replay(rows):
         elif op == "delete":
             state.pop(k, None)
         else:
-            cur = dict(state[k][1]) if k in state else {}
-            cur.update(json.loads(body))
+            cur = json.loads(json.dumps(state[k][1])) if k in state else {}
+            _deep_merge(cur, json.loads(body))
             state[k] = (seq, cur)
     return state
 
@@ -78,7 +78,7 @@ def test_batch_order_free_without_partials(spark):
 def test_keyed_table_replay_is_noop(spark):
     rows = _random_feed(9, n=120)
     df = spark.createDataFrame(rows, SCHEMA)
-    t = KeyedTable(spark, buckets=4)
+    t = KeyedTable(spark)
     t.apply(df.filter(F.col("sequence") < 60))
     t.apply(df.filter(F.col("sequence") >= 60))
     once = _as_state(t.read())
@@ -136,7 +136,7 @@ def test_deep_merge_matches_recursive_replay(spark):
                 cur = json.loads(json.dumps(want[k][1])) if k in want else {}
                 _deep_merge(cur, json.loads(body))
                 want[k] = (seq, cur)
-        got = _as_state(apply_changes(spark.createDataFrame(rows, SCHEMA), deep=True))
+        got = _as_state(apply_changes(spark.createDataFrame(rows, SCHEMA)))
         assert got == want, seed
 
 
@@ -146,7 +146,95 @@ def test_deep_merge_on_target_in_batches(spark):
             (3, "partial_update", "i", "a", '{"m":{"x":{"n":1}},"t":{}}'),
             (4, "partial_update", "i", "a", '{"m":{"y":7}}')]
     df = spark.createDataFrame(rows, SCHEMA)
-    first = apply_changes(df.filter("sequence <= 2"), keep_tombstones=True, deep=True)
+    first = apply_changes(df.filter("sequence <= 2"), keep_tombstones=True)
     first = spark.createDataFrame(first.collect(), first.schema)
-    got = _as_state(apply_changes(df.filter("sequence > 2"), first, deep=True))
+    got = _as_state(apply_changes(df.filter("sequence > 2"), first))
     assert got == {("i", "a"): (4, {"m": {"x": {"n": 1}, "y": 7}, "t": {}})}
+
+
+def _files(path):
+    import os
+    return {os.path.join(d, f): os.stat(os.path.join(d, f)).st_mtime_ns
+            for d, _, names in os.walk(path.removeprefix("file:")) for f in names}
+
+
+def test_a_batch_leaves_existing_files_alone_and_retries_add_nothing(spark):
+    rows = _random_feed(21, n=200)
+    df = spark.createDataFrame(rows, SCHEMA)
+    t = KeyedTable(spark)
+    t.apply(df.filter("sequence < 160"), "b1")
+    before = _files(t.path)
+    t.apply(df.filter("sequence >= 160"), "b2")
+    after = _files(t.path)
+    assert {k: after[k] for k in before} == before
+    t.apply(df.filter("sequence >= 160"), "b2")                           # the same batch again
+    assert _files(t.path) == after
+    assert _as_state(t.read()) == _replay(rows)
+    assert _as_state(t.read(version=1)) == _replay([r for r in rows if r[0] < 160])
+
+
+def test_late_changes_give_the_state_of_one_run_in_order(spark):
+    rows = _random_feed(22, n=240)
+    df = spark.createDataFrame(rows, SCHEMA)
+    t = KeyedTable(spark)
+    for i in (2, 0, 3, 1):
+        t.apply(df.filter(F.col("sequence") % 4 == i))
+    assert _as_state(t.read()) == _replay(rows)
+    t.compact()
+    assert t.manifest()["batches"] == {}
+    assert _as_state(t.read()) == _replay(rows)
+
+
+def test_nothing_shows_before_the_manifest(spark, monkeypatch):
+    import pytest
+    from tributary.operators import apply as module
+    df = spark.createDataFrame([(1, "index", "i", "a", '{"x":1}'), (2, "index", "i", "a", '{"x":2}')], SCHEMA)
+    t = KeyedTable(spark)
+    t.apply(df.filter("sequence = 1"), "b1")
+
+    def broken(*a):
+        raise OSError("store away")
+    with monkeypatch.context() as m:
+        m.setattr(module.storage, "publish_text", broken)
+        with pytest.raises(OSError):
+            t.apply(df.filter("sequence = 2"), "b2")
+        with pytest.raises(OSError):
+            t.compact()
+    assert _as_state(t.read()) == {("i", "a"): (1, {"x": 1})}
+    t.apply(df.filter("sequence = 2"), "b2")
+    assert _as_state(t.read()) == {("i", "a"): (2, {"x": 2})}
+    with monkeypatch.context() as m:
+        m.setattr(module.storage, "names", broken)
+        with pytest.raises(OSError):                                      # an unreachable store is not an empty table
+            t.read()
+
+
+def test_writers_that_collide_both_get_in(spark):
+    df = spark.createDataFrame([(i, "index", "i", f"d{i}", '{"x":1}') for i in range(4)], SCHEMA)
+    a = KeyedTable(spark)
+    b = KeyedTable(spark, a.path)
+    a.apply(df.filter("sequence = 0"))
+    stale, first = b.manifest(), []
+
+    def late(m, real=b.manifest):                                         # b decides on an old version once
+        first.append(1)
+        return stale if len(first) == 1 else real()
+    a.apply(df.filter("sequence = 1"))
+    b.manifest = lambda version=None: late(version)
+    b.apply(df.filter("sequence = 2"), "late")
+    assert set(_as_state(a.read())) == {("i", "d0"), ("i", "d1"), ("i", "d2")}
+    a.compact()
+    a.apply(df.filter("sequence = 3"))
+    a.vacuum(keep=1)
+    assert len(_as_state(KeyedTable(spark, a.path).read())) == 4
+    assert len(a.versions()) == 1
+
+
+def test_text_of_numbers_and_characters_is_kept(spark):
+    rows = [(1, "index", "i", "a", '{"n":1.0,"big":12345678901234567890.10,"s":"é\\u0041 \\"q\\"","m":{"k":1e2,"l":[1.50,null]}}'),
+            (2, "partial_update", "i", "a", '{"m":{"z":-0.0}}'), (3, "partial_update", "i", "b", "not json"),
+            (4, "index", "i", "c", ' {"kept" : 1.0 } ')]
+    got = {r["doc_id"]: r["source"] for r in apply_changes(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert got["a"] == '{"big":12345678901234567890.10,"m":{"k":1e2,"l":[1.50,null],"z":-0.0},"n":1.0,"s":"éA \\"q\\""}'
+    assert got["b"] == "{}"
+    assert got["c"] == ' {"kept" : 1.0 } '

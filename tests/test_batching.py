@@ -36,23 +36,35 @@ def _greedy(sizes, max_bytes, max_count):
 
 def test_byte_batches_match_brute_force(spark):
     df, rows = _feed(spark)
-    got = bt.batch_by_bytes(df, max_bytes=2000, max_count=9, lane=bt.sequence_lane(2), bucket_width=1024)
-    got = {r["sequence"]: (r["lane"], r["group"], r["batch_no"], r["batch_pos"]) for r in got.collect()}
-    groups = {}
-    for s, index, doc, src in rows:
-        groups.setdefault((s % 2, s // 1024), []).append((s, len(src) + len(index) + len(doc) + 200))
-    for (lane, g), items in groups.items():
-        items.sort()
-        for (s, _), (b, p) in zip(items, _greedy([z for _, z in items], 2000, 9)):
-            assert got[s] == (lane, g, b, p)
-    # no batch exceeds the limit by more than its last change
-    sizes = {}
-    for s, index, doc, src in rows:
-        k = got[s][:3]
-        sizes.setdefault(k, []).append((got[s][3], len(src) + len(index) + len(doc) + 200))
-    for items in sizes.values():
-        items.sort()
-        assert sum(z for _, z in items[:-1]) < 2000
+    # every third change shares its sequence with another of its lane and tick
+    df = df.withColumn("sequence", F.when(F.col("sequence") % 3 == 0, F.floor(F.col("sequence") / 60) * 60)
+                       .otherwise(F.col("sequence")).cast("bigint"))
+    df = df.withColumn("timestamp", F.timestamp_seconds(F.floor(F.col("sequence") / 1200)))
+    rows = [tuple(r) for r in df.select("sequence", "index", "doc_id", "source").collect()]
+    for tick_ms, ticks in ((None, lambda s: None), (1000, lambda s: s // 1200)):
+        got = bt.batch_by_bytes(df, max_bytes=2000, max_count=9, lane=bt.sequence_lane(2), tick_ms=tick_ms,
+                                tie=("doc_id", "source")).collect()
+        assert len(got) == len(rows)
+        groups = {}
+        for s, index, doc, src in rows:
+            groups.setdefault((s % 2, ticks(s)), []).append((s, doc, src, len(src) + len(index) + len(doc) + 200))
+        want = []
+        for g, items in groups.items():
+            items.sort()
+            want += [(*g, s, doc, src, b, p) for (s, doc, src, _), (b, p) in zip(items, _greedy([i[3] for i in items], 2000, 9))]
+        key = lambda r: tuple(str(x) for x in r)
+        assert sorted([(r["lane"], r["tick"], r["sequence"], r["doc_id"], r["source"], r["batch_no"], r["batch_pos"])
+                       for r in got], key=key) == sorted(want, key=key)
+
+
+def test_flush_points_by_bytes_and_count():
+    import numpy as np
+    rnd = random.Random(1)
+    for _ in range(50):
+        sizes = [rnd.choice([0, 1, 5, 50, 500]) for _ in range(rnd.randrange(0, 60))]
+        for limit, count in ((100, 7), (1, None), (10**9, 4), (300, None)):
+            want = [i for i, (b, p) in enumerate(_greedy(sizes, limit, count or 10**9)) if p == 0]
+            assert bt.flush_points(np.array(sizes, np.int64), limit, count).tolist() == want
 
 
 def test_tick_batches(spark):

@@ -48,7 +48,8 @@ def decode(df: DataFrame, payload: str = "payload", keep: tuple = (), strict_bod
     """
     e = F.from_json(col(payload), ENVELOPE_SCHEMA,
                     {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"})
-    parsed = df.select(*keep, col(payload).alias("payload"), e.alias("_e"))
+    # exploding the one parsed value keeps filters above the parse: each payload is parsed once
+    parsed = df.select(*keep, col(payload).alias("payload"), F.explode(F.array(e)).alias("_e"))
     keep = tuple(parsed.columns[:len(keep)])
     m, ev = F.col("_e.metadata"), F.col("_e.event")
     ts = m["timestamp"].try_cast("timestamp")

@@ -6,32 +6,31 @@ applied change), ``deleted`` (tombstone) and ``source`` (JSON body).
 Semantics, decided by sequence (never by arrival order):
 
 * ``index`` / ``update`` replace the whole document, ``delete`` removes it;
-* ``partial_update`` merges its top-level fields onto the document current at
-  that point (or onto an empty one: upsert);
-* a change at or below the sequence already applied is stale and ignored, so
-  applying a batch twice, or batches out of order, gives the same state.
-
-Plan shape (no per-key collection of changes, skew-safe): one scan and one
-aggregation with map-side partial aggregation over (key, field), where each
-change contributes a key-level entry (last full write, last partial) and a
-partial update one entry per top-level field (latest value per field); then
-joins between these key-unique results and the target.  A hot key costs one
-pre-aggregated row per task and field.
+* ``partial_update`` merges its objects recursively into the document current
+  at that point (or into an empty one: upsert);
+* a change at or below the sequence of a folded document is stale and ignored.
+
+``KeyedTable`` appends batches as they are and folds them when read, so late
+and repeated changes give the same state as one run in order until a
+compaction folds them for good.
 """
 
 from __future__ import annotations
 
+import json
+import uuid
 from typing import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tributary.session import materialize, scratch_path
+from tributary.operators.deep_merge import build_document, flatten_leaves
+from tributary.session import scratch_path, ship_package
+from tributary.sources import storage
 
 KEY = ("index", "doc_id")
-FULL_WRITES = ("index", "update")
 STATE_COLUMNS = ("sequence", "deleted", "source")
-MAX_PRUNE_VALUES = 100_000
+MIN_SEQ = -(2 ** 63)
 
 
 def latest_per_key(changes: DataFrame, key: Sequence[str] = KEY, seq: str = "sequence",
@@ -45,92 +44,61 @@ def latest_per_key(changes: DataFrame, key: Sequence[str] = KEY, seq: str = "seq
     return g.select(*key, "_last.sequence", "_last.operation", "_last.source")
 
 
-def _sorted_json(m: Column) -> Column:
-    keys = F.array_sort(F.map_keys(m))
-    return F.to_json(F.map_from_arrays(keys, F.transform(keys, lambda k: F.element_at(m, k))))
-
-
 def apply_changes(changes: DataFrame, target: DataFrame | None = None, key: Sequence[str] = KEY,
-                  seq: str = "sequence", keep_tombstones: bool = False, deep: bool = False) -> DataFrame:
+                  seq: str = "sequence", keep_tombstones: bool = False) -> DataFrame:
     """Fold ``changes`` onto ``target`` (both keyed by ``key``).
 
     ``target`` has ``key + (sequence, deleted, source)``; ``None`` = empty.
     Returns the new state of every key in either input (tombstones kept only
-    with ``keep_tombstones``).  Partial updates merge top-level fields, or
-    with ``deep=True`` merge nested objects recursively (``deep_merge``).
+    with ``keep_tombstones``).
+
+    First only sequences are aggregated: per key the last full write and the
+    last partial update.  Joining them back leaves the changes that matter,
+    the base document and the partial updates after it; a body without later
+    partial updates passes as it is, the others meet leaf by leaf.
     """
+    ship_package(changes.sparkSession)
     key = list(key)
-    op, s = F.col("operation"), F.col(seq)
-    c = changes.select(*key, s.alias("_seq"), op.alias("_op"), F.col("source").alias("_src"))
-    is_partial = F.col("_op") == "partial_update"
-    # one pass over the changes for both grains: every change yields a key-level
-    # entry (field NULL) and a partial update also one entry per top-level field
-    fields = F.map_entries(F.try_parse_json("_src").try_cast("map<string,variant>"))
-    entries = F.concat(
-        F.array(F.struct(F.lit(None).cast("string").alias("field"), F.lit(None).cast("variant").alias("value"))),
-        F.when(is_partial, F.transform(F.coalesce(fields, F.array()),
-                                       lambda e: F.struct(e["key"].alias("field"), e["value"].alias("value"))))
-        .otherwise(F.array()))
-    x = c.select(*key, "_seq", "_op", "_src", F.explode(entries).alias("e")).select(
-        *key, "_seq", "_op", "_src", "e.field", "e.value")
-    on_key = F.col("field").isNull()
-    g = x.groupBy(*key, "field").agg(
-        F.max_by(F.struct(F.col("_seq").alias("seq"), F.col("_op").alias("op"), F.col("_src").alias("src")),
-                 F.when(on_key & ~is_partial, F.col("_seq"))).alias("reset"),
-        F.max(F.when(on_key & is_partial, F.col("_seq"))).alias("last_partial"),
-        F.max_by("value", F.when(~on_key, F.col("_seq"))).alias("value"),
-        F.max(F.when(~on_key, F.col("_seq"))).alias("f_seq"))
-    per_key = g.filter(on_key).select(*key, "reset", "last_partial")
-    per_field = g.filter(~on_key).select(*key, "field", "value", "f_seq")
-
+    c = changes.select(*key, F.col(seq).alias("_seq"), F.col("operation").alias("_op"), F.col("source").alias("_src"))
+    partial = F.col("_op") == "partial_update"
+    marks = c.groupBy(*key).agg(F.max(F.when(~partial, F.col("_seq"))).alias("_full"),
+                                F.max(F.when(partial, F.col("_seq"))).alias("_part"))
     if target is not None:
-        t = target.select(*key, F.col("sequence").alias("t_seq"), F.col("deleted").alias("t_deleted"),
-                          F.col("source").alias("t_src"))
-        per_key = per_key.join(t, key, "full_outer")
-        t_seq = F.col("t_seq")
-    else:
-        t_seq = F.lit(None).cast("bigint")
-        per_key = per_key.select("*", F.lit(None).cast("boolean").alias("t_deleted"),
-                                 F.lit(None).cast("string").alias("t_src"))
-    r_seq = F.col("reset.seq")
-    reset_wins = r_seq.isNotNull() & (t_seq.isNull() | (r_seq > t_seq))
-    base = per_key.select(
-        *key,
-        F.when(reset_wins, r_seq).otherwise(t_seq).alias("base_seq"),
-        F.when(reset_wins, F.col("reset.op") == "delete").otherwise(F.col("t_deleted")).alias("base_deleted"),
-        F.when(reset_wins, F.col("reset.src")).otherwise(F.col("t_src")).alias("base_src"),
-        "last_partial")
-    base_floor = F.coalesce(F.col("base_seq"), F.lit(-(2 ** 63)))
-
-    # partially updated fields newer than the base
-    newer = per_field.join(base.select(*key, "base_seq"), key, "inner").filter(
-        F.col("f_seq") > F.coalesce(F.col("base_seq"), F.lit(-(2 ** 63))))
-    overrides = newer.groupBy(*key).agg(
-        F.map_from_entries(F.collect_list(F.struct("field", "value"))).alias("over"))
-
-    partial_after = F.col("last_partial").isNotNull() & (F.col("last_partial") > base_floor)
-    has_base_doc = F.col("base_seq").isNotNull() & ~F.coalesce(F.col("base_deleted"), F.lit(False))
-    exists = has_base_doc | partial_after
-    if deep:
-        from tributary.operators.deep_merge import deep_documents
-        partials = c.filter(is_partial).select(*key, "_seq", "_src")
-        docs = deep_documents(base.select(*key, "base_seq", F.when(has_base_doc, F.col("base_src")).alias("base_src")),
-                              partials, key)
-        j = base.join(docs, key, "left")
-        source = (F.when(~exists, F.lit(None).cast("string"))
-                  .when(F.col("deep_src").isNull(), F.when(has_base_doc, F.col("base_src")).otherwise(F.lit("{}")))
-                  .otherwise(F.col("deep_src")))
+        held = target.select(*key, F.col("sequence").alias("_held"), F.col("deleted").alias("_gone"),
+                             F.col("source").alias("_body"))
+        marks = marks.join(held.select(*key, "_held"), key, "full_outer")
     else:
-        j = base.join(overrides, key, "left")
-        base_map = F.when(has_base_doc, F.try_parse_json("base_src").try_cast("map<string,variant>"))
-        base_map = F.coalesce(base_map, F.create_map().cast("map<string,variant>"))
-        over = F.col("over")
-        merged = F.map_concat(F.map_filter(base_map, lambda k, _v: ~F.array_contains(F.map_keys(over), k)), over)
-        source = (F.when(~exists, F.lit(None).cast("string"))
-                  .when(over.isNull(), F.when(has_base_doc, F.col("base_src")).otherwise(F.lit("{}")))
-                  .otherwise(_sorted_json(merged)))
-    new_seq = F.greatest(F.col("base_seq"), F.when(partial_after, F.col("last_partial")))
-    out = j.select(*key, new_seq.alias("sequence"), (~exists).alias("deleted"), source.alias("source"))
+        held, marks = None, marks.withColumn("_held", F.lit(None).cast("bigint"))
+    fresh = F.col("_full").isNotNull() & (F.col("_held").isNull() | (F.col("_full") > F.col("_held")))
+    base = F.when(fresh, F.col("_full")).otherwise(F.col("_held"))
+    marks = marks.select(*key, base.alias("_base"), fresh.alias("_fresh"),
+                         F.coalesce(F.col("_part") > F.coalesce(base, F.lit(MIN_SEQ)), F.lit(False)).alias("_merges"))
+    live = c.join(marks, key).filter(
+        F.when(partial, F.col("_seq") > F.coalesce(F.col("_base"), F.lit(MIN_SEQ)))
+        .otherwise(F.col("_fresh") & (F.col("_seq") == F.col("_base"))))
+    rows = live.select(*key, "_seq", "_merges", (F.col("_op") == "delete").alias("_gone"), F.col("_src").alias("_body"))
+    if held is not None:
+        kept = held.join(marks, key).filter(~F.col("_fresh"))
+        rows = rows.unionByName(kept.select(*key, F.col("_held").alias("_seq"), "_merges", "_gone", "_body"))
+
+    none = F.lit(None)
+    whole = F.array(F.struct(none.cast("array<string>").alias("parts"), F.col("_body").alias("value"),
+                             F.lit(False).alias("is_obj")))
+    # a deleted base only leaves the empty root to the partial updates after it
+    parts = flatten_leaves(F.when(F.col("_merges") & ~F.col("_gone"), F.col("_body")))
+    x = rows.select(*key, "_seq", "_gone", F.explode(F.when(F.col("_merges"), parts).otherwise(whole)).alias("e"))
+    per_path = x.groupBy(*key, F.col("e.parts").alias("parts")).agg(
+        F.max_by(F.struct(F.col("e.value").alias("value"), F.col("e.is_obj").alias("is_obj"), "_gone"), "_seq").alias("last"),
+        F.max("_seq").alias("seq"), F.max(F.when(~F.col("e.is_obj"), F.col("_seq"))).alias("leaf_seq"))
+    merged = F.col("parts").isNotNull()
+    docs = per_path.groupBy(*key).agg(
+        F.max("seq").alias("sequence"),
+        F.max(F.when(~merged, F.struct(F.col("last._gone").alias("gone"), F.col("last.value").alias("value")))).alias("whole"),
+        F.collect_list(F.when(merged, F.struct("parts", F.col("last.value").alias("value"),
+                                               F.col("last.is_obj").alias("is_obj"), "seq", "leaf_seq"))).alias("leaves"))
+    gone = F.coalesce(F.col("whole.gone"), F.lit(False))
+    out = docs.select(*key, "sequence", gone.alias("deleted"),
+                      F.when(~gone, F.coalesce(F.col("whole.value"), build_document("leaves"))).alias("source"))
     return out if keep_tombstones else out.filter(~F.col("deleted"))
 
 
@@ -152,74 +120,108 @@ def reconcile(target: DataFrame, expected: DataFrame, key: Sequence[str] = KEY)
     return j.select(*key, cat.alias("category"))
 
 
-def bucket_of(doc_id: str = "doc_id", buckets: int = 16) -> Column:
-    return F.pmod(F.xxhash64(F.col(doc_id)), F.lit(buckets)).cast("int")
+class TableConflict(RuntimeError):
+    """Other writers published versions faster than this one could."""
 
 
 class KeyedTable:
-    """K6: a document table on shared storage, partitioned by ``index`` and a
-    hash bucket of ``doc_id``.  ``apply(batch)`` rewrites only the touched
-    partitions (dynamic partition overwrite) and keeps tombstones, so a replay
-    of any batch is a no-op.
+    """K6: a document table on shared storage as a log of change batches over a compacted base.
+
+    ``apply`` writes the batch's changes as one new folder and then publishes a
+    manifest that names it: existing files are never touched, readers see the
+    version before or after, and a failure in between leaves the version
+    before.  ``read`` folds the listed batches onto the base.  ``compact`` folds
+    batches into a new base.  Two writers that publish the same version number
+    collide on the manifest's name; the later one publishes the next.
+
+    A batch id already listed is not applied again.  After a compaction its
+    changes are stale by sequence; so is a change that arrives later than a
+    compaction that included newer changes of its document.
     """
 
-    def __init__(self, spark, path: str | None = None, buckets: int = 16, key: Sequence[str] = KEY,
-                 deep: bool = False):
-        self.spark, self.buckets, self.key, self.deep = spark, buckets, list(key), deep
-        self.path = path or scratch_path(spark, "tables")
-
-    SCHEMA = "index string, doc_id string, sequence bigint, deleted boolean, source string, bucket int"
-
-    def _empty(self) -> DataFrame:
-        return self.spark.createDataFrame([], self.SCHEMA)
+    CHANGES = "index string, doc_id string, sequence bigint, operation string, source string"
+    STATE = "index string, doc_id string, sequence bigint, deleted boolean, source string"
 
-    def exists(self) -> bool:
-        if getattr(self, "_written", False):
-            return True
-        try:
-            self.spark.read.parquet(self.path).schema
-            self._written = True
-        except Exception:  # noqa: BLE001 - not written yet
-            return False
-        return True
-
-    def read(self, include_tombstones: bool = False) -> DataFrame:
-        # the known schema: no footer reads to infer it on every apply
-        df = self.spark.read.schema(self.SCHEMA).parquet(self.path) if self.exists() else self._empty()
-        return df if include_tombstones else df.filter(~F.col("deleted"))
-
-    def _touched(self, batch: DataFrame) -> DataFrame | None:
-        """Current rows of the partitions the batch touches.
+    def __init__(self, spark, path: str | None = None, key: Sequence[str] = KEY):
+        self.spark, self.key = spark, list(key)
+        self.path = path or scratch_path(spark, "tables")
 
-        The touched partition values are bounded by the table's partition count
-        (index names x buckets), so they are read to the driver and become
-        static partition filters; the semi join keeps the exact pairs.
+    def versions(self) -> list[int]:
+        return [int(n.removesuffix(".json")) for n in storage.names(self.spark, f"{self.path}/manifests")
+                if n.endswith(".json")]
+
+    def manifest(self, version: int | None = None) -> dict:
+        """The named or the latest version: ``base`` folder (or None) and ``batches``, id to folder."""
+        known = self.versions()
+        if version is None and not known:
+            return {"version": 0, "base": None, "batches": {}}
+        version = known[-1] if version is None else version
+        return json.loads(storage.read_text(self.spark, f"{self.path}/manifests/{version:020d}.json"))
+
+    def _publish(self, change, attempts: int = 20) -> dict:
+        """Publish ``change(latest manifest)`` as the next version; None from it = nothing to do."""
+        for _ in range(attempts):
+            now = self.manifest()
+            new = change(now)
+            if new is None:
+                return now
+            new = {**new, "version": now["version"] + 1}
+            if storage.publish_text(self.spark, f"{self.path}/manifests/{new['version']:020d}.json", json.dumps(new)):
+                return new
+        raise TableConflict(self.path)
+
+    def apply(self, batch: DataFrame, batch_id: str | None = None) -> None:
+        """Append a batch of changes; a batch id that is already in does nothing."""
+        batch_id = str(batch_id if batch_id is not None else uuid.uuid4().hex)
+        if batch_id in self.manifest()["batches"]:
+            return
+        folder = f"batch-{batch_id}-{uuid.uuid4().hex[:8]}"
+        (batch.select(*[f.split()[0] for f in self.CHANGES.split(", ")])
+         .write.parquet(f"{self.path}/{folder}"))
+        self._publish(lambda m: None if batch_id in m["batches"] else
+                      {**m, "batches": {**m["batches"], batch_id: folder}})
+
+    def _state(self, m: dict, keep_tombstones: bool) -> DataFrame:
+        base = None
+        if m["base"]:
+            base = self.spark.read.schema(self.STATE).parquet(f"{self.path}/{m['base']}")
+        if not m["batches"]:
+            out = base if base is not None else self.spark.createDataFrame([], self.STATE)
+            return out if keep_tombstones else out.filter(~F.col("deleted"))
+        changes = self.spark.read.schema(self.CHANGES).parquet(
+            *[f"{self.path}/{folder}" for folder in m["batches"].values()])
+        return apply_changes(changes, base, self.key, keep_tombstones=keep_tombstones)
+
+    def read(self, include_tombstones: bool = False, version: int | None = None) -> DataFrame:
+        return self._state(self.manifest(version), include_tombstones)
+
+    def compact(self) -> None:
+        """Fold the listed batches into a new base; batches published meanwhile stay listed."""
+        m = self.manifest()
+        if not m["batches"]:
+            return
+        folder = f"base-{uuid.uuid4().hex}"
+        self._state(m, keep_tombstones=True).write.parquet(f"{self.path}/{folder}")
+        folded = set(m["batches"])
+
+        def swap(now: dict) -> dict | None:
+            if now["base"] != m["base"]:          # another compaction was first
+                return None
+            return {"base": folder, "batches": {k: v for k, v in now["batches"].items() if k not in folded}}
+        self._publish(swap)
+
+    def vacuum(self, keep: int = 2) -> None:
+        """Delete folders and manifests that none of the last ``keep`` versions names.
+
+        Run it when no batch is being written: a folder counts only once its manifest is out.
         """
-        if not self.exists():
-            return None
-        touched = batch.select("index", "bucket").distinct()
-        current = self.read(include_tombstones=True)
-        vals = touched.limit(MAX_PRUNE_VALUES + 1).collect()
-        if len(vals) <= MAX_PRUNE_VALUES:
-            current = current.filter(F.col("index").isin(sorted({r["index"] for r in vals}))
-                                     & F.col("bucket").isin(sorted({r["bucket"] for r in vals})))
-        return current.join(touched, ["index", "bucket"], "left_semi")
-
-    def apply(self, batch: DataFrame) -> None:
-        b = batch.withColumn("bucket", bucket_of("doc_id", self.buckets))
-        current = self._touched(b)
-        new = apply_changes(b.drop("bucket"), None if current is None else current.drop("bucket"),
-                            self.key, keep_tombstones=True, deep=self.deep)
-        new = new.withColumn("bucket", bucket_of("doc_id", self.buckets))
-        if current is not None:
-            # staged in the shared folder: cuts the read/overwrite cycle on the table
-            # and keeps the result when an executor is lost during the final write
-            new = materialize(new, "stage/keyed")
-        # every (index, bucket) partition goes to one writer task -> one file each;
-        # a hot index is spread over its buckets, and every key is one row here.
-        # An explicit count (the cluster-sized shuffle setting) keeps the writers
-        # parallel instead of being coalesced into a few tasks.
-        n = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
-        (new.repartition(n, "index", "bucket").write.mode("overwrite")
-         .option("partitionOverwriteMode", "dynamic").partitionBy("index", "bucket").parquet(self.path))
-        self._written = True
+        known = self.versions()
+        used = {"manifests"}
+        for v in known[-keep:]:
+            m = self.manifest(v)
+            used |= {m["base"], *m["batches"].values()}
+        for v in known[:-keep]:
+            storage.delete(self.spark, f"{self.path}/manifests/{v:020d}.json")
+        for name in storage.names(self.spark, self.path):
+            if name not in used:
+                storage.delete(self.spark, f"{self.path}/{name}")

@@ -1,16 +1,15 @@
 """Packing changes into bounded write batches.
 
 A batch belongs to a lane (parallel writer) and, when ticks are used, to a
-flush tick of ``tick_ms`` (event time).  Work is split into buckets of
-``bucket_width`` consecutive sequence numbers, which bounds every task however
-large the input or however hot one document is:
+flush tick of ``tick_ms`` (event time).
 
 * count batches (W1) number rows exactly within a (lane, tick) group, in
-  parallel: rows are numbered inside sequence buckets and shifted by the
-  running count of earlier buckets (no single-task window);
-* byte batches (W2) are a greedy fold (flush right after the row that
-  reaches the limit), sequential only inside one group, run as a grouped
-  pandas function;
+  parallel: rows are numbered inside buckets of ``bucket_width`` sequence
+  numbers and shifted by the running count of earlier buckets (no single-task
+  window);
+* byte batches (W2) flush right after the row that reaches a limit.  Where a
+  batch ends depends on where it began, so a lane's flush interval is one
+  group; the tick bounds it, as it bounds a writer's buffer;
 * tick batches (W3) are plain event-time windows.
 """
 
@@ -24,13 +23,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tributary.functions.envelope import envelope_size
+from tributary.session import ship_package
 
 # Default batch limits and flush tick.
 DEFAULT_BATCH_SIZE = 1000
 DEFAULT_BATCH_BYTES = 5 * 1024 * 1024
 DEFAULT_TICK_MS = 100
 DEFAULT_BUCKET_WIDTH = 1 << 20
-SMALL_TABLE_ROWS = 1_000_000
 
 
 def key_lane(lanes: int, key: Sequence[str] = ("index", "doc_id")) -> Column:
@@ -75,8 +74,6 @@ def batch_by_count(df: DataFrame, size: int = DEFAULT_BATCH_SIZE, lane: Column |
     counts = d.groupBy(*grp, "_bucket").agg(F.count(F.lit(1)).alias("_n"))
     run = Window.partitionBy(*grp).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(*grp, "_bucket", F.coalesce(F.sum("_n").over(run), F.lit(0)).alias("_off"))
-    if offsets.count() <= SMALL_TABLE_ROWS:
-        offsets = F.broadcast(offsets)
     w = Window.partitionBy(*grp, "_bucket").orderBy(*_ordered(seq, tie))
     local = d.withColumn("_r", F.row_number().over(w) - 1)
     on = [local["lane"] == offsets["lane"], local["tick"].eqNullSafe(offsets["tick"]),
@@ -87,55 +84,60 @@ def batch_by_count(df: DataFrame, size: int = DEFAULT_BATCH_SIZE, lane: Column |
             .drop("_p", "_r", "_bucket"))
 
 
-def greedy_batches(sizes: np.ndarray, max_bytes: int, max_count: int | None) -> tuple[np.ndarray, np.ndarray]:
-    """Plain greedy packing: flush right after the row that reaches a limit."""
-    n = len(sizes)
-    batch = np.empty(n, dtype=np.int64)
-    pos = np.empty(n, dtype=np.int32)
-    b, acc, cnt = 0, 0, 0
-    cap = max_count if max_count else n + 1
-    for i in range(n):
-        batch[i], pos[i] = b, cnt
-        acc += int(sizes[i])
-        cnt += 1
-        if acc >= max_bytes or cnt >= cap:
-            b, acc, cnt = b + 1, 0, 0
-    return batch, pos
+def flush_points(sizes: np.ndarray, max_bytes: int, max_count: int | None) -> np.ndarray:
+    """First rows of the batches: each ends with the row whose running size or count reaches a limit."""
+    total = np.cumsum(sizes)
+    first, starts = 0, []
+    while first < len(sizes):
+        starts.append(first)
+        before = int(total[first - 1]) if first else 0
+        end = int(np.searchsorted(total, before + max_bytes))
+        if max_count:
+            end = min(end, first + max_count - 1)
+        first = end + 1
+    return np.array(starts, np.int64)
 
 
 def batch_by_bytes(df: DataFrame, max_bytes: int = DEFAULT_BATCH_BYTES, max_count: int | None = DEFAULT_BATCH_SIZE,
-                   lane: Column | None = None, tick_ms: int | None = None, ts: str = "timestamp",
+                   lane: Column | None = None, tick_ms: int | None = DEFAULT_TICK_MS, ts: str = "timestamp",
                    seq: str = "sequence", size: Column | None = None,
-                   bucket_width: int = DEFAULT_BUCKET_WIDTH) -> DataFrame:
+                   tie: Sequence[str] = ("index", "doc_id")) -> DataFrame:
     """Flush right after the change that makes the batch reach ``max_bytes``
-    (or ``max_count`` changes).  A batch may exceed the byte limit by one change.
+    (or ``max_count`` changes), and at every tick.  A batch may exceed the byte
+    limit by one change.
 
-    Group = (lane, tick, sequence bucket): a tick and a bucket edge both flush,
-    so no group outgrows ``bucket_width`` sequence numbers.  Only ``seq``, the
-    group and the size go through Python; the rest of the row stays in the JVM
-    and is joined back (the input must be de-duplicated, T7).
+    Adds ``lane``, ``tick``, ``batch_no`` and ``batch_pos``.  Rows of a (lane, tick) are
+    numbered in order of sequence and ``tie`` (equal sequences are normal: each
+    index has its own); only the number and the size go through Python, and one
+    row per batch comes back.
     """
-    from tributary.session import ship_package
     ship_package(df.sparkSession)
-    lane = F.lit(0) if lane is None else lane
     size = envelope_size() if size is None else size
     tick = tick_of(ts, tick_ms) if tick_ms is not None else F.lit(None).cast("bigint")
-    d = (df.withColumn("lane", lane.cast("int")).withColumn("tick", tick)
-         .withColumn("group", F.floor(F.col(seq) / F.lit(bucket_width)).cast("bigint")))
-    slim = d.select("lane", "tick", "group", F.col(seq).alias("_seq"), size.cast("bigint").alias("_size"))
-
-    def pack(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("_seq", kind="stable")
-        b, p = greedy_batches(pdf["_size"].to_numpy(), max_bytes, max_count)
-        return pd.DataFrame({"lane": pdf["lane"].to_numpy(), "tick": pdf["tick"].to_numpy(),
-                             "group": pdf["group"].to_numpy(), "_seq": pdf["_seq"].to_numpy(),
-                             "batch_no": b, "batch_pos": p})
-
-    packed = slim.groupBy("lane", "tick", "group").applyInPandas(
-        pack, "lane int, tick bigint, group bigint, _seq bigint, batch_no bigint, batch_pos int")
-    on = [d["lane"] == packed["lane"], d["tick"].eqNullSafe(packed["tick"]), d["group"] == packed["group"],
-          d[seq] == packed["_seq"]]
-    return d.join(packed, on, "inner").select(d["*"], packed["batch_no"], packed["batch_pos"])
+    grp = ["lane", "tick"]
+    d = df.withColumn("lane", (F.lit(0) if lane is None else lane).cast("int")).withColumn("tick", tick)
+    w = Window.partitionBy(*grp).orderBy(*_ordered(seq, tie))
+    d = d.withColumn("_row", F.row_number().over(w).cast("bigint") - 1)
+
+    def first_rows(pdf):
+        pdf = pdf.sort_values("_row")
+        starts = flush_points(pdf["_size"].to_numpy(np.int64), max_bytes, max_count)
+        return pd.DataFrame({"_lane": pdf["lane"].iloc[0], "_tick": pdf["tick"].iloc[0], "_first": starts})
+
+    # a group within both limits is one batch; only the others are walked
+    slim = d.select(*grp, "_row", size.cast("bigint").alias("_size"))
+    whole = Window.partitionBy(*grp)
+    over = F.sum("_size").over(whole) >= max_bytes
+    if max_count:
+        over = over | (F.count(F.lit(1)).over(whole) > max_count)
+    starts = (slim.withColumn("_over", over).filter("_over").groupBy(*grp)
+              .applyInPandas(first_rows, "_lane int, _tick bigint, _first bigint"))
+    on = (F.col("lane") == F.col("_lane")) & F.col("tick").eqNullSafe(F.col("_tick")) & (F.col("_row") == F.col("_first"))
+    upto = Window.partitionBy(*grp).orderBy("_row").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return (d.join(starts, on, "left")
+            .withColumn("batch_no", F.greatest(F.count("_first").over(upto) - 1, F.lit(0)))
+            .withColumn("batch_pos", (F.col("_row") - F.coalesce(F.max("_first").over(upto), F.lit(0))).cast("int"))
+            .drop("_lane", "_tick", "_first", "_row"))
 
 
 def batch_by_tick(df: DataFrame, tick_ms: int = DEFAULT_TICK_MS, ts: str = "timestamp") -> DataFrame:

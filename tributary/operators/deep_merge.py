@@ -1,4 +1,4 @@
-"""Deep merge of partial updates (W5 for nested objects).
+"""Recursive merge of partial updates.
 
 A partial update merges objects recursively: a field whose old and new values
 are both objects is merged key by key; any other new value (scalar, array,
@@ -12,22 +12,17 @@ with sequence s survives when
   would have turned P back into an object).
 
 An empty object ``{}`` is a leaf that creates an object but never removes
-what is under it.  The full write (or the current target document) that a
-key's partials build on contributes its leaves at its own sequence.
-
-All of it is aggregation over (key, path) plus a fan-out to path prefixes
-(bounded by document depth): no per-key collection of changes, so a hot
-document costs pre-aggregated rows.  Python only flattens one body and
-rebuilds one document per row, Arrow-batched.
+what is under it; the root is such a leaf of every change.  Assignments are
+pre-aggregated per path, so what meets for one document is bounded by its
+distinct paths, not by its changes.  Values stay JSON text throughout: numbers
+keep their spelling and characters their form.
 """
 
 from __future__ import annotations
 
 import json
-from typing import Sequence
 
 import pandas as pd
-from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -35,99 +30,78 @@ LEAF_TYPE = T.ArrayType(T.StructType([
     T.StructField("parts", T.ArrayType(T.StringType())),
     T.StructField("value", T.StringType()),
     T.StructField("is_obj", T.BooleanType())]))
-MIN_SEQ = -(2 ** 63)
 
 
-def _flatten(doc, prefix, out):
-    for k, v in doc.items():
-        p = prefix + [k]
-        if isinstance(v, dict) and v:
-            _flatten(v, p, out)
-        else:
-            out.append({"parts": p, "value": json.dumps(v, separators=(",", ":")),
-                        "is_obj": isinstance(v, dict)})
+class _Number(str):
+    """A JSON number as it was written."""
+
+
+def parse(text: str):
+    return json.loads(text, parse_int=_Number, parse_float=_Number, parse_constant=_Number)
+
+
+def dump(value) -> str:
+    """Compact JSON with sorted keys; numbers as they were written."""
+    if isinstance(value, _Number):
+        return str(value)
+    if isinstance(value, dict):
+        return "{" + ",".join(f"{dump(k)}:{dump(value[k])}" for k in sorted(value)) + "}"
+    if isinstance(value, list):
+        return "[" + ",".join(map(dump, value)) + "]"
+    return json.dumps(value, ensure_ascii=False)
+
+
+def leaves_of(text) -> list[dict]:
+    """Leaf assignments of one body; a body that isn't an object assigns nothing but the root."""
+    out = [{"parts": [], "value": "{}", "is_obj": True}]
+    try:
+        doc = parse(text) if isinstance(text, str) else None
+        stack = [([], doc)] if isinstance(doc, dict) else []
+        while stack:
+            at, obj = stack.pop()
+            for k, v in obj.items():
+                if isinstance(v, dict) and v:
+                    stack.append(([*at, k], v))
+                else:
+                    out.append({"parts": [*at, k], "value": dump(v), "is_obj": isinstance(v, dict)})
+    except (ValueError, RecursionError):
+        return out[:1]
+    return out
 
 
 @F.pandas_udf(LEAF_TYPE)
 def flatten_leaves(bodies: pd.Series) -> pd.Series:
-    """Body text -> leaf assignments (path parts, JSON value, empty-object flag)."""
-    res = []
-    for b in bodies:
-        out: list = []
-        if isinstance(b, str):
-            try:
-                d = json.loads(b)
-            except ValueError:
-                d = None
-            if isinstance(d, dict):
-                _flatten(d, [], out)
-        res.append(out)
-    return pd.Series(res)
+    return pd.Series([leaves_of(b) for b in bodies])
+
+
+def document_of(leaves) -> str:
+    """JSON text of the assignments (``parts, value, is_obj, seq, leaf_seq``) that survive each other."""
+    last = {tuple(x["parts"]): x for x in leaves}
+    under: dict = {}
+    for path, x in last.items():
+        for i in range(1, len(path)):
+            under[path[:i]] = max(under.get(path[:i], x["seq"]), x["seq"])
+    doc: dict = {}
+    for path in sorted(last, key=len):
+        x = last[path]
+        over = [last[path[:i]]["leaf_seq"] for i in range(1, len(path)) if path[:i] in last]
+        if any(s is not None and s >= x["seq"] for s in over):
+            continue
+        if not path or (not x["is_obj"] and under.get(path, x["seq"] - 1) >= x["seq"]):
+            continue
+        at = doc
+        for p in path[:-1]:
+            if not isinstance(at.get(p), dict):
+                at[p] = {}
+            at = at[p]
+        if not x["is_obj"]:
+            at[path[-1]] = parse(x["value"])
+        elif not isinstance(at.get(path[-1]), dict):
+            at[path[-1]] = {}
+    return dump(doc)
 
 
 @F.pandas_udf(T.StringType())
 def build_document(leaves: pd.Series) -> pd.Series:
-    """Surviving leaves of one document -> JSON text with sorted keys."""
-    res = []
-    for ls in leaves:
-        doc: dict = {}
-        items = [] if ls is None else sorted(((list(x["parts"]), x["value"], x["is_obj"]) for x in ls),
-                                             key=lambda t: len(t[0]))
-        for parts, value, is_obj in items:
-            cur = doc
-            for p in parts[:-1]:
-                nxt = cur.get(p)
-                if not isinstance(nxt, dict):
-                    nxt = {}
-                    cur[p] = nxt
-                cur = nxt
-            if is_obj:
-                if not isinstance(cur.get(parts[-1]), dict):
-                    cur[parts[-1]] = {}
-            else:
-                cur[parts[-1]] = json.loads(value)
-        res.append(json.dumps(doc, sort_keys=True, separators=(",", ":")))
-    return pd.Series(res)
-
-
-def deep_documents(base: DataFrame, partials: DataFrame, key: Sequence[str]) -> DataFrame:
-    """Merged body per key.
-
-    ``base``: ``key, base_seq, base_src`` (the document partials build on, NULL
-    when none); ``partials``: ``key, _seq, _src`` (partial updates).  Returns
-    ``key, deep_src`` for keys with at least one partial newer than the base.
-    """
-    from tributary.session import ship_package
-    ship_package(partials.sparkSession)
-    key = list(key)
-    floor = F.coalesce(F.col("base_seq"), F.lit(MIN_SEQ))
-    p = partials.join(base.select(*key, "base_seq"), key, "inner").filter(F.col("_seq") > floor)
-    pl = p.select(*key, "_seq", F.explode(flatten_leaves("_src")).alias("l"))
-    bl = (base.filter(F.col("base_src").isNotNull())
-          .join(p.select(*key).distinct(), key, "left_semi")
-          .select(*key, F.col("base_seq").alias("_seq"), F.explode(flatten_leaves("base_src")).alias("l")))
-    leaves = pl.unionByName(bl).select(*key, "_seq", "l.parts", "l.value", "l.is_obj")
-    # per (key, path): the latest assignment, and the latest non-object one
-    a = leaves.groupBy(*key, "parts").agg(
-        F.max_by(F.struct("value", "is_obj"), "_seq").alias("last"), F.max("_seq").alias("seq"),
-        F.max(F.when(~F.col("is_obj"), F.col("_seq"))).alias("leaf_seq"))
-    a = a.select(*key, "parts", "seq", "leaf_seq", F.col("last.value").alias("value"),
-                 F.col("last.is_obj").alias("is_obj"), F.size("parts").alias("depth"))
-    # every proper prefix of every assigned path
-    pre = a.filter(F.col("depth") > 1).select(
-        *key, "parts", "seq",
-        F.explode(F.transform(F.sequence(F.lit(1), F.col("depth") - 1), lambda i: F.slice("parts", 1, i))).alias("prefix"))
-    # later non-object write at a prefix cancels the subtree
-    over_prefix = (pre.join(a.select(*key, F.col("parts").alias("prefix"), F.col("leaf_seq").alias("pseq")),
-                            key + ["prefix"])
-                   .groupBy(*key, "parts").agg(F.max("pseq").alias("prefix_seq")))
-    # later write under a non-object value turns it back into an object
-    under = pre.groupBy(*key, F.col("prefix").alias("parts")).agg(F.max("seq").alias("under_seq"))
-    j = a.join(over_prefix, key + ["parts"], "left").join(under, key + ["parts"], "left")
-    alive = ((F.col("seq") > F.coalesce(F.col("prefix_seq"), F.lit(MIN_SEQ)))
-             & (F.col("is_obj") | (F.col("seq") > F.coalesce(F.col("under_seq"), F.lit(MIN_SEQ)))))
-    kept = j.filter(alive).select(*key, F.struct("parts", "value", "is_obj").alias("leaf"))
-    docs = kept.groupBy(*key).agg(F.collect_list("leaf").alias("leaves"))
-    touched = p.select(*key).distinct()
-    out = touched.join(docs, key, "left")
-    return out.select(*key, build_document(F.coalesce("leaves", F.array().cast(LEAF_TYPE))).alias("deep_src"))
+    return pd.Series([None if ls is None or not len(ls) else document_of(
+        [{**x, "leaf_seq": None if pd.isna(x["leaf_seq"]) else x["leaf_seq"]} for x in ls]) for ls in leaves], dtype=object)

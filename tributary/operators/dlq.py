@@ -18,6 +18,8 @@ from tributary.functions.errors import is_transient
 
 # Fixed value: default DLQ capacity.
 DEFAULT_MAX_SIZE = 100_000
+SCHEMA = ("sequence bigint, timestamp timestamp, operation string, index string, doc_id string, source string, "
+          "error string, error_kind string, failed_at timestamp, attempts int")
 ENVELOPE_COLUMNS = ("sequence", "timestamp", "operation", "index", "doc_id", "source")
 
 

@@ -1,17 +1,19 @@
-"""The three replication stages as batch jobs chained by tables.
-
-* watch (T9): changes past the per-index cursors -> envelopes -> published
-  log (``subject, payload``, partitioned by index) -> cursor commit (T4,
-  after the publish; an append-only commit table, so a crash between the two
-  only re-publishes, never loses);
-* gate (T10): published log -> decode (bad payloads to quarantine) -> filter
-  chain -> transform -> forwarded log under the downstream subject;
-* write (T11): forwarded log -> dedupe by message id -> bulk batches ->
-  keyed apply (only touched partitions rewritten) -> DLQ for changes the
-  store cannot take -> write metrics.
-
-Every stage reads what the previous one wrote to the shared folder, so each
-can be re-run alone after a failure; each write is atomic per job.
+"""The three replication stages, chained by tables in batches.
+
+* watch (T9): changes past the per-index cursors -> envelopes -> a batch of the
+  published log -> cursor commit (T4), taken from what was published;
+* gate (T10): every new batch of the log -> decode -> filter chain -> transform
+  -> one batch that holds forwarded messages, quarantined payloads (T6) and
+  the filtered ones' numbers, by outcome;
+* write (T11): every new gated batch -> dedupe by message id -> bulk batches by
+  count, bytes and tick -> keyed apply -> DLQ for changes the store cannot
+  take -> write results.
+
+A stage reads the batches of the stage before that it has not finished, and
+writes each in a folder named by the batch.  A batch that failed half way is
+written again in the same folder (the table skips a batch id it holds), so
+running a stage again adds nothing twice, and nothing is read from the start
+again.  All paths of a batch are bounded by ``SyncConfig.fetch``.
 """
 
 from __future__ import annotations
@@ -29,8 +31,13 @@ from tributary.operators import dlq as dq
 from tributary.operators import filters as flt
 from tributary.operators.apply import KeyedTable
 from tributary.operators.transform import apply_transform
-from tributary.session import materialize, scratch_path
+from tributary.session import materialize, release, scratch_path
 from tributary.sources import cursor as cur
+from tributary.sources import storage
+
+OUTCOMES = ("forwarded", "filtered", "quarantined")
+#: Optional envelope fields; a feed may have any of them.
+OPTIONAL = ("doc_type", "version", "primary_term", "correlation_id", "headers", "routing", "pipeline")
 
 
 @dataclass
@@ -41,101 +48,126 @@ class SyncConfig:
     chain: flt.FilterChain = field(default_factory=flt.FilterChain)
     transform: Callable[[DataFrame], DataFrame] | None = None
     downstream_prefix: str = "sync"
+    fetch: int | None = None                  # changes per batch; None = all there are
     batch_size: int = bt.DEFAULT_BATCH_SIZE
+    batch_bytes: int = bt.DEFAULT_BATCH_BYTES
+    tick_ms: int = bt.DEFAULT_TICK_MS
     lanes: int = 4
-    buckets: int = 16
-    deep_merge: bool = False      # merge nested objects of partial updates recursively
 
 
 @dataclass
 class SyncPaths:
     log: str
     cursors: str
-    forwarded: str
-    quarantine: str
+    gated: str
     dlq: str
+    results: str
     target: str
 
     @classmethod
     def fresh(cls, spark: SparkSession) -> "SyncPaths":
         root = scratch_path(spark, "sync")
-        return cls(*(f"{root}/{n}" for n in ("log", "cursors", "forwarded", "quarantine", "dlq", "target")))
+        return cls(*(f"{root}/{n}" for n in ("log", "cursors", "gated", "dlq", "results", "target")))
+
+
+def _batches(spark: SparkSession, path: str) -> list[str]:
+    """Finished batches of a stage, oldest first."""
+    return [n for n in storage.names(spark, path) if storage.done(spark, f"{path}/{n}")]
+
+
+def _write(df: DataFrame, path: str, batch: str, *partitions: str) -> DataFrame:
+    df.write.mode("overwrite").partitionBy(*partitions).parquet(f"{path}/{batch}")
+    return df.sparkSession.read.schema(df.schema).parquet(f"{path}/{batch}")
 
 
-def _read_or_empty(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    try:
-        return spark.read.parquet(path)
-    except Exception:  # noqa: BLE001 - nothing written yet
+#: What the stages write, so that batches without rows read like the others.
+SCHEMAS = {
+    "log": "subject string, payload string, sequence bigint, operation string, index string, batch string",
+    "cursors": "index string, cursor bigint, batch string",
+    "gated": "subject string, payload string, reason string, msg_id string, sequence bigint, outcome string, "
+             "index string, batch string",
+    "dlq": f"{dq.SCHEMA}, batch string",
+    "results": "lane int, tick bigint, batch_no bigint, success_count bigint, failure_count bigint, size_bytes bigint, "
+               "batch string",
+}
+
+
+def _read(spark: SparkSession, path: str) -> DataFrame:
+    """All finished batches of a stage."""
+    schema, batches = SCHEMAS[path.rsplit("/", 1)[-1]], _batches(spark, path)
+    if not batches:
         return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).option("basePath", path).parquet(*[f"{path}/{b}" for b in batches])
+
+
+def _read_batch(spark: SparkSession, path: str, batch: str) -> DataFrame:
+    schema = SCHEMAS[path.rsplit("/", 1)[-1]]
+    return spark.read.schema(schema).option("basePath", path).parquet(f"{path}/{batch}")
+
+
+def _cursors(spark: SparkSession, paths: "SyncPaths") -> DataFrame:
+    return _read(spark, paths.cursors).groupBy("index").agg(F.max("cursor").alias("cursor"))
+
+
+def _encode(df: DataFrame):
+    return codec.encode(**{c: c for c in OPTIONAL if c in df.columns})
 
 
 def watch(spark: SparkSession, feed: DataFrame, paths: SyncPaths, cfg: SyncConfig) -> DataFrame:
-    """Poll past the cursors, publish envelopes, then commit the cursors."""
-    cursors = _read_or_empty(spark, paths.cursors, "index string, cursor bigint").groupBy("index").agg(
-        F.max("cursor").alias("cursor"))
-    polled = cur.poll_per_index(feed, cursors, cfg.patterns or None, limit=None)
-    wrapped = polled.select("*", F.lit(cfg.source_id).alias("source_id"))
-    wrapped = wrapped.withColumn("msg_id", env.message_id())
-    out = wrapped.select(
-        env.subject(cfg.tenant).alias("subject"),
-        codec.encode(version="sequence").alias("payload"),
-        "index", "sequence", "operation")
-    out.write.mode("append").partitionBy("index").parquet(paths.log)          # K1
-    # T4, after the publish: only the rows past the old cursors are aggregated
-    # (the cursor range is pushed to the feed scan); readers take the max per index
-    committed = polled.groupBy("index").agg(F.max("sequence").alias("cursor"))
-    committed.write.mode("append").parquet(paths.cursors)
-    return spark.read.parquet(paths.log)
+    """Poll past the cursors, publish envelopes, then commit the cursors.  Returns the log."""
+    known = _batches(spark, paths.cursors)
+    polled = cur.poll_per_index(feed, _cursors(spark, paths), cfg.patterns or None, limit=cfg.fetch)
+    out = polled.withColumn("source_id", F.lit(cfg.source_id)).withColumn("msg_id", env.message_id())
+    batch = f"batch={len(known):08d}"
+    published = _write(out.select(env.subject(cfg.tenant).alias("subject"), _encode(out).alias("payload"),
+                                  "index", "sequence", "operation"), paths.log, batch, "index")           # K1
+    _write(published.groupBy("index").agg(F.max("sequence").alias("cursor")), paths.cursors, batch)        # T4
+    return _read(spark, paths.log)
 
 
 def gate_stage(spark: SparkSession, paths: SyncPaths, cfg: SyncConfig) -> DataFrame:
-    """Decode, quarantine, gate, transform, forward.  Returns the gate stats."""
-    # decoded once, used by two writes; a lost block is recomputed from the log
-    decoded = codec.decode(spark.read.parquet(paths.log)).persist()
-    codec.quarantine(decoded).write.mode("overwrite").parquet(paths.quarantine)   # T6
-    good = codec.valid(decoded)
-    gated = flt.gate(good, cfg.chain)
-    forwarded = apply_transform(gated.filter("passed").drop("decision", "passed", "rejected_by"), cfg.transform)
-    forwarded.select(
-        env.forward_subject(cfg.downstream_prefix).alias("subject"),
-        codec.encode(version="version", primary_term="primary_term").alias("payload"),
-        "msg_id", "sequence", "index",
-    ).write.mode("overwrite").partitionBy("index").parquet(paths.forwarded)      # K4
-    decoded.unpersist()
-    # counts read back from what was written: one aggregate over tagged scans
-    tagged = (spark.read.parquet(paths.log).select(F.lit("received").alias("t"))
-              .unionByName(spark.read.parquet(paths.quarantine).select(F.lit("quarantined").alias("t")))
-              .unionByName(spark.read.parquet(paths.forwarded).select(F.lit("forwarded").alias("t"))))
-    c = {k: F.count_if(F.col("t") == k) for k in ("received", "quarantined", "forwarded")}
-    return tagged.agg(c["received"].alias("received"), c["quarantined"].alias("quarantined"),
-                      (c["received"] - c["quarantined"] - c["forwarded"]).alias("filtered"),
-                      c["forwarded"].alias("forwarded"))
+    """Decode, quarantine, gate, transform, forward what is new.  Returns the counts so far."""
+    done = set(_batches(spark, paths.gated))
+    for batch in _batches(spark, paths.cursors):          # a batch counts once its cursors are committed
+        if batch in done:
+            continue
+        decoded = codec.decode(_read_batch(spark, paths.log, batch).select("payload"))
+        bad = F.col("reason").isNotNull()
+        gated = flt.gate(decoded, cfg.chain).withColumn(
+            "outcome", F.when(bad, "quarantined").when(F.col("passed"), "forwarded").otherwise("filtered"))
+        gated = gated.drop("decision", "passed", "rejected_by").withColumnRenamed("payload", "_wire")
+        gated = apply_transform(gated, cfg.transform)
+        forwarded = F.col("outcome") == "forwarded"
+        out = gated.select(
+            "outcome", F.when(forwarded, env.forward_subject(cfg.downstream_prefix)).alias("subject"),
+            F.when(forwarded, _encode(gated)).when(bad, F.col("_wire")).alias("payload"),
+            "reason", "msg_id", "sequence", "index")
+        _write(out, paths.gated, batch, "outcome", "index")                                               # K4, T6
+    c = {k: F.count_if(F.col("outcome") == k).alias(k) for k in ("quarantined", "filtered", "forwarded")}
+    return _read(spark, paths.gated).agg(F.count(F.lit(1)).alias("received"), *c.values())
 
 
 def write_stage(spark: SparkSession, paths: SyncPaths, cfg: SyncConfig) -> DataFrame:
-    """Dedupe, batch, apply, DLQ.  Returns per-batch write results."""
-    msgs = codec.valid(codec.decode(spark.read.parquet(paths.forwarded)))
-    # de-duplicated once and written to the shared folder: the
-    # batching reads it twice (bucket counts, positions); cuts the lineage
-    msgs = materialize(msgs.dropDuplicates(["msg_id"]), "stage/messages")          # T7
-    batched = bt.batch_by_count(msgs, cfg.batch_size, lane=bt.key_lane(cfg.lanes))
-    # a change the store cannot take: body required but missing or not JSON
-    bad = env.body_missing() | (F.col("source").isNotNull() & F.try_parse_json("source").isNull())
-    # three consumers (DLQ, apply, stats); a lost block is recomputed from the staged table
-    checked = batched.withColumn("_bad", bad).persist()
-    try:
+    """Dedupe, batch, apply, DLQ for what is new.  Returns all write results per bulk batch."""
+    done, table = set(_batches(spark, paths.results)), KeyedTable(spark, paths.target)
+    for batch in _batches(spark, paths.gated):
+        if batch in done:
+            continue
+        new = _read_batch(spark, paths.gated, batch).filter(F.col("outcome") == "forwarded").select("payload")
+        msgs = codec.valid(codec.decode(new)).dropDuplicates(["msg_id"])                                   # T7
+        batched = bt.batch_by_bytes(msgs, cfg.batch_bytes, cfg.batch_size, bt.key_lane(cfg.lanes), cfg.tick_ms)
+        # a change the store cannot take: body required but missing or not JSON
+        bad = env.body_missing() | (F.col("source").isNotNull() & F.try_parse_json("source").isNull())
+        checked = materialize(batched.withColumn("_bad", bad), "stage/checked")
         failed = checked.filter("_bad")
-        dq.append(dq.dlq_entries(failed, F.lit("document has no valid body"), F.lit("Serialization"),
-                                 F.col("timestamp")), paths.dlq)                # K11
-        table = KeyedTable(spark, paths.target, cfg.buckets, deep=cfg.deep_merge)
-        table.apply(checked.filter(~F.col("_bad")).select("sequence", "operation", "index", "doc_id", "source"))
-        stats = checked.groupBy("lane", "batch_no").agg(
+        _write(dq.dlq_entries(failed, F.lit("document has no valid body"), F.lit("Serialization"),
+                              F.col("timestamp")), paths.dlq, batch)                                       # K11
+        table.apply(checked.filter(~F.col("_bad")), batch)
+        _write(checked.groupBy("lane", "tick", "batch_no").agg(
             F.count_if(~F.col("_bad")).alias("success_count"), F.count_if("_bad").alias("failure_count"),
-            F.sum(env.envelope_size()).cast("bigint").alias("size_bytes"))
-        stats = materialize(stats, "stage/write_results")
-    finally:
-        checked.unpersist()
-    return stats
+            F.sum(env.envelope_size()).cast("bigint").alias("size_bytes")), paths.results, batch)
+        release(checked)
+    return _read(spark, paths.results)
 
 
 def sync(spark: SparkSession, feed: DataFrame, cfg: SyncConfig, paths: SyncPaths | None = None) -> KeyedTable:
@@ -144,36 +176,46 @@ def sync(spark: SparkSession, feed: DataFrame, cfg: SyncConfig, paths: SyncPaths
     watch(spark, feed, paths, cfg)
     gate_stage(spark, paths, cfg)
     write_stage(spark, paths, cfg)
-    return KeyedTable(spark, paths.target, cfg.buckets, deep=cfg.deep_merge)
+    return KeyedTable(spark, paths.target)
+
+
+def drain_dlq(spark: SparkSession, paths: SyncPaths, succeeds: Callable[[], object] | None = None) -> DataFrame:
+    """Apply what succeeds when tried again; the DLQ keeps the rest, with one more attempt.
+
+    Returns the entries left.  The table is written first, under an id of the
+    batches drained, so a run that fails in between does nothing twice.
+    """
+    batches = _batches(spark, paths.dlq)
+    if not batches:
+        return _read(spark, paths.dlq)
+    retried, again = dq.replay(_read(spark, paths.dlq).drop("batch"), succeeds)
+    KeyedTable(spark, paths.target).apply(retried, f"dlq-{batches[-1]}-{len(batches)}")
+    left = materialize(again, "stage/dlq")
+    for b in batches[:-1]:
+        storage.delete(spark, f"{paths.dlq}/{b}")
+    kept = _write(left, paths.dlq, batches[-1])
+    release(left)
+    return kept
 
 
 def sync_fused(spark: SparkSession, feed: DataFrame, cfg: SyncConfig, paths: SyncPaths | None = None) -> KeyedTable:
-    """T12 as one plan: poll -> gate -> transform -> keyed apply, then the cursor commit.
-
-    Nothing leaves the JVM between the stages, so the envelope encode / decode
-    round trip of the chained form (an identity on valid envelopes) is not
-    needed, and Catalyst plans the filters into the feed scan.  Changes the
-    store cannot take go to the DLQ; the cursors are committed last, so a
-    failure before that re-runs the poll and the apply ignores what it already
-    holds (stale by sequence).
+    """A shorter form of T12 without a published log: poll -> gate -> transform -> keyed apply -> cursors.
+
+    It skips the envelope, quarantine, bulk batches and write results, so it is an
+    option for a feed and a table on the same cluster, not the measure of T12.
     """
     paths = paths or SyncPaths.fresh(spark)
-    cursors = _read_or_empty(spark, paths.cursors, "index string, cursor bigint").groupBy("index").agg(
-        F.max("cursor").alias("cursor"))
-    polled = cur.poll_per_index(feed, cursors, cfg.patterns or None, limit=None)
-    passed = apply_transform(polled.filter(cfg.chain.passes()), cfg.transform)
+    known = _batches(spark, paths.cursors)
+    polled = materialize(cur.poll_per_index(feed, _cursors(spark, paths), cfg.patterns or None, limit=cfg.fetch),
+                         "stage/polled")
     bad = env.body_missing() | (F.col("source").isNotNull() & F.try_parse_json("source").isNull())
-    # one poll = one bounded micro-batch; the gated, checked rows are persisted for
-    # the DLQ and the apply (gate and body check run once); the cursor commit
-    # re-reads only the two columns it needs
-    checked = passed.withColumn("_bad", bad).persist()
-    try:
-        dq.append(dq.dlq_entries(checked.filter("_bad"), F.lit("document has no valid body"),
-                                 F.lit("Serialization"), F.col("timestamp")), paths.dlq)      # K11
-        table = KeyedTable(spark, paths.target, cfg.buckets, deep=cfg.deep_merge)
-        table.apply(checked.filter(~F.col("_bad")).select("sequence", "operation", "index", "doc_id", "source"))
-        # every polled row counts for the cursor, filtered ones included
-        polled.groupBy("index").agg(F.max("sequence").alias("cursor")).write.mode("append").parquet(paths.cursors)
-    finally:
-        checked.unpersist()
+    checked = apply_transform(polled.filter(cfg.chain.passes()), cfg.transform).withColumn("_bad", bad)
+    batch = f"batch={len(known):08d}"
+    _write(dq.dlq_entries(checked.filter("_bad"), F.lit("document has no valid body"), F.lit("Serialization"),
+                          F.col("timestamp")), paths.dlq, batch)                                           # K11
+    table = KeyedTable(spark, paths.target)
+    table.apply(checked.filter(~F.col("_bad")), batch)
+    # every polled row counts for the cursor, filtered ones included
+    _write(polled.groupBy("index").agg(F.max("sequence").alias("cursor")), paths.cursors, batch)
+    release(polled)
     return table

@@ -52,13 +52,14 @@ def shared_dir(spark: SparkSession) -> str:
     """Root of the cluster-shared scratch folder.
 
     Read from the session (``spark.checkpoint.dir`` or an already set RDD
-    checkpoint dir); only when neither exists, make a local one and register it.
+    checkpoint dir).  Where neither is set, a local session gets a folder of its
+    own; on a cluster that is an error, since executors share no local folder.
     """
     sc = spark.sparkContext
-    root = sc.getConf().get("spark.checkpoint.dir", None)
-    if not root:
-        root = sc.getCheckpointDir()
+    root = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not root:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="tributary-ckpt-")
         sc.setCheckpointDir(root)
     return root.rstrip("/")
@@ -69,28 +70,27 @@ def scratch_path(spark: SparkSession, kind: str) -> str:
     return f"{shared_dir(spark)}/{kind}/{uuid.uuid4().hex}"
 
 
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme for local-only helpers (tests)."""
-    return path[5:] if path.startswith("file:") else path
-
-
-def ensure_local_dir(path: str) -> str:
-    p = local_path(path)
-    if "://" not in path:
-        os.makedirs(p, exist_ok=True)
-    return path
-
-
 def materialize(df, kind: str = "stage"):
     """Write ``df`` as a parquet table under the shared folder and read it back.
 
     Cuts the lineage (a lost executor never forces recomputation past this
-    point), lets several consumers share one computation, and breaks any
-    read-then-overwrite cycle on a table.  Columnar write, vectorised read.
+    point) and lets several consumers share one computation.  ``release`` drops
+    the copy once nothing reads it any more.
     """
     path = scratch_path(df.sparkSession, kind)
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
+    df.write.parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._materialized = path
+    return out
+
+
+def release(*frames) -> None:
+    """Delete the copies that ``materialize`` wrote."""
+    from tributary.sources import storage
+    for df in frames:
+        path = getattr(df, "_materialized", None)
+        if path:
+            storage.delete(df.sparkSession, path)
 
 
 _SHIPPED: set = set()
@@ -100,8 +100,7 @@ def ship_package(spark: SparkSession) -> None:
     """Make ``tributary`` importable on the executors' Python workers.
 
     Grouped pandas functions and pandas UDFs are pickled by reference to this
-    package; a zip of it is added once per application with ``addPyFile``
-    (written under the shared folder when that is a local path).
+    package; a zip of it under the shared folder is added once per application.
     """
     import io
     import zipfile
@@ -120,12 +119,11 @@ def ship_package(spark: SparkSession) -> None:
                 if f.endswith(".py"):
                     full = os.path.join(dirpath, f)
                     z.write(full, os.path.relpath(full, base))
-    root = shared_dir(spark)
-    folder = local_path(root) if "://" not in root or root.startswith("file:") else tempfile.mkdtemp()
-    folder = os.path.join(folder, "pyfiles", uuid.uuid4().hex)
-    os.makedirs(folder, exist_ok=True)
-    path = os.path.join(folder, "tributary.zip")
-    with open(path, "wb") as fh:
-        fh.write(buf.getvalue())
+    # through Spark's file system, so the shared folder may be in any store
+    path = f"{shared_dir(spark)}/pyfiles/{uuid.uuid4().hex}/tributary.zip"
+    target = sc._jvm.org.apache.hadoop.fs.Path(path)
+    out = target.getFileSystem(sc._jsc.hadoopConfiguration()).create(target)
+    out.write(bytearray(buf.getvalue()))
+    out.close()
     sc.addPyFile(path)
     _SHIPPED.add(app)

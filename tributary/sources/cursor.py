@@ -4,11 +4,14 @@ A scan is ``filter(sequence > cursor) -> orderBy -> limit``: the range reaches
 the parquet scan as ``GreaterThan`` (row groups skipped by statistics) and the
 sort + limit runs as ``TakeOrderedAndProject`` (top-k per task, no full sort).
 Cursors live per ``(source_id, index)`` in a small table; a poll joins the
-change table with it (broadcast only after its size is checked).
+change table with it, and adaptive execution broadcasts it when its size in
+bytes allows.  A limit never cuts rows that share a sequence: a poll grows to
+the whole tie, so the cursor that follows it passes over nothing.
 """
 
 from __future__ import annotations
 
+from functools import reduce
 from typing import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -18,8 +21,6 @@ from tributary.operators.filters import glob_match
 
 # Fixed value: default fetch size of a poll.
 DEFAULT_FETCH_SIZE = 1000
-# Broadcast a cursor / key table only below this many rows (checked, not assumed).
-BROADCAST_ROW_LIMIT = 1_000_000
 
 START_CURSOR = -1  # before the first sequence, so sequence 0 is read (the original started at 0)
 
@@ -35,37 +36,32 @@ def index_match(patterns: Sequence[str] | None, index: str = "index") -> Column:
     return out
 
 
+def _upto(rows: DataFrame, limit: int | None, seq: str) -> DataFrame:
+    """The first ``limit`` rows by sequence, and every other row of the last one's sequence."""
+    if limit is None:
+        return rows
+    last = rows.select(seq).orderBy(seq).limit(limit).select(F.max(seq)).scalar()
+    return rows.filter(F.col(seq) <= last)
+
+
 def scan(df: DataFrame, cursor: int | Column = START_CURSOR, limit: int | None = DEFAULT_FETCH_SIZE,
-         patterns: Sequence[str] | None = None, seq: str = "sequence",
-         tie_breakers: Sequence[str] = ("index", "doc_id"), extend_ties: bool = True) -> DataFrame:
-    """Rows past the cursor in sequence order, at most ``limit`` of them.
+         patterns: Sequence[str] | None = None, seq: str = "sequence") -> DataFrame:
+    """Rows past the cursor in sequence order, about ``limit`` of them.
 
-    With ``extend_ties`` the result grows to the whole group of rows sharing
-    the last sequence, so a cursor advanced to the max never loses a tie cut
-    by the limit.  ``cursor`` may be any value (seek backwards included).
+    The result grows to the whole group of rows sharing the last sequence, so a
+    cursor advanced to the maximum never loses a tie cut by the limit.
+    ``cursor`` may be any value (seek backwards included).
     """
     c = cursor if isinstance(cursor, Column) else F.lit(cursor)
-    rows = df.filter(index_match(patterns) & (F.col(seq) > c))
-    order = [F.col(seq)] + [F.col(t) for t in tie_breakers]
-    if limit is None:
-        return rows
-    top = rows.orderBy(*order).limit(limit)
-    if not extend_ties:
-        return top
-    last = top.select(F.max(seq)).scalar()
-    return rows.filter(F.col(seq) <= last)
+    return _upto(df.filter(index_match(patterns) & (F.col(seq) > c)), limit, seq)
 
 
 def poll_union(df: DataFrame, patterns: Sequence[str], cursor: int | Column = START_CURSOR,
                limit: int | None = DEFAULT_FETCH_SIZE, seq: str = "sequence") -> DataFrame:
     """S3: one scan per pattern from the same cursor, appended (a row matching two
     patterns appears twice)."""
-    parts = [scan(df, cursor, limit, [p], seq, extend_ties=False).withColumn("pattern", F.lit(p))
-             for p in patterns]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    parts = [scan(df, cursor, limit, [p], seq).withColumn("pattern", F.lit(p)) for p in patterns]
+    return reduce(DataFrame.unionByName, parts)
 
 
 def next_cursor(polled: DataFrame, seq: str = "sequence", by: Sequence[str] = ()) -> DataFrame:
@@ -74,11 +70,6 @@ def next_cursor(polled: DataFrame, seq: str = "sequence", by: Sequence[str] = ()
     return polled.groupBy(*by).agg(agg) if by else polled.agg(agg)
 
 
-def broadcast_if_small(small: DataFrame, limit_rows: int = BROADCAST_ROW_LIMIT) -> DataFrame:
-    """Broadcast a side only when its row count is checked to be small."""
-    return F.broadcast(small) if small.count() <= limit_rows else small
-
-
 def poll_per_index(df: DataFrame, cursors: DataFrame, patterns: Sequence[str] | None = None,
                    limit: int | None = DEFAULT_FETCH_SIZE, seq: str = "sequence",
                    keys: Sequence[str] = ("index",)) -> DataFrame:
@@ -86,12 +77,9 @@ def poll_per_index(df: DataFrame, cursors: DataFrame, patterns: Sequence[str] |
 
     Keys without a cursor row start before the first sequence.
     """
-    cur = broadcast_if_small(cursors.select(*keys, F.col("cursor")))
-    rows = df.filter(index_match(patterns)).join(cur, list(keys), "left")
+    rows = df.filter(index_match(patterns)).join(cursors.select(*keys, F.col("cursor")), list(keys), "left")
     rows = rows.filter(F.col(seq) > F.coalesce(F.col("cursor"), F.lit(START_CURSOR))).drop("cursor")
-    if limit is None:
-        return rows
-    return rows.orderBy(F.col(seq), *[F.col(k) for k in keys], F.col("doc_id")).limit(limit)
+    return _upto(rows, limit, seq)
 
 
 def point_lookup(df: DataFrame, index: str, doc_id: str) -> DataFrame:
@@ -100,8 +88,8 @@ def point_lookup(df: DataFrame, index: str, doc_id: str) -> DataFrame:
 
 
 def multi_get(df: DataFrame, keys: DataFrame, on: Sequence[str] = ("index", "doc_id")) -> DataFrame:
-    """Many lookups at once as a semi join; the key set is broadcast when small."""
-    return df.join(broadcast_if_small(keys.select(*on).distinct()), list(on), "left_semi")
+    """Many lookups at once as a semi join."""
+    return df.join(keys.select(*on), list(on), "left_semi")
 
 
 def retention(df: DataFrame, hours: int = 24, ts: str = "timestamp") -> DataFrame:

@@ -82,40 +82,41 @@ def windowed_counts(stream: DataFrame, window: str, by: tuple = ("index",), ts:
     return g.select(F.col("w.start").cast("timestamp_ntz").alias("window_start"), *by, "n")
 
 
+def _write_batch(df: DataFrame, path: str, batch_id: int, *partitions: str) -> None:
+    """Write one micro-batch in a folder of its own; a retry of the same id replaces it."""
+    df.write.mode("overwrite").partitionBy(*partitions).parquet(f"{path}/batch_id={batch_id}")
+
+
 def publish_batch(log_path: str, counts_path: str | None = None, tenant: str = "default"):
-    """K2 / K5: one micro-batch = one atomic append per sink, tagged with its batch id.
+    """K2 / K5: one micro-batch = one folder per sink, named by its batch id.
 
-    The batch is persisted once and written to every sink (fan-out); a retried
-    batch id is skipped by readers that keep the max per id.
+    A retried id replaces its folders, so it never counts twice.  The counts are
+    read from what was published.
     """
     def _sink(batch: DataFrame, batch_id: int) -> None:
-        b = batch.withColumn("subject", env.subject(tenant)).withColumn("batch_id", F.lit(batch_id)).persist()
-        try:
-            b.write.mode("append").partitionBy("index").parquet(log_path)
-            if counts_path:
-                (b.groupBy("batch_id", "index").agg(F.count(F.lit(1)).alias("published"))
-                 .write.mode("append").parquet(counts_path))
-        finally:
-            b.unpersist()
+        _write_batch(batch.withColumn("subject", env.subject(tenant)), log_path, batch_id, "index")
+        if counts_path:
+            published = batch.sparkSession.read.parquet(f"{log_path}/batch_id={batch_id}")
+            _write_batch(published.groupBy("index").agg(F.count(F.lit(1)).alias("published")), counts_path, batch_id)
     return _sink
 
 
 def gate_with_reloaded_spec(spec_reader: Callable[[], dict], out_path: str):
-    """the filter spec is read again at the start of every micro-batch."""
+    """the filter spec is read again at the start of every micro-batch of a running stream."""
     from tributary.operators import filters as flt
 
     def _sink(batch: DataFrame, batch_id: int) -> None:
         spec = spec_reader()
         chain = flt.chain_from_spec(spec)
-        (batch.filter(chain.passes()).withColumn("spec_version", F.lit(spec.get("version", 0)))
-         .withColumn("batch_id", F.lit(batch_id)).write.mode("append").parquet(out_path))
+        _write_batch(batch.filter(chain.passes()).withColumn("spec_version", F.lit(spec.get("version", 0))),
+                     out_path, batch_id)
     return _sink
 
 
 def append_updates(path: str):
-    """Sink for update-mode aggregates: append changed rows tagged with the batch id."""
+    """Sink for update-mode aggregates: the changed rows of a batch, in the batch's folder."""
     def _sink(batch: DataFrame, batch_id: int) -> None:
-        batch.withColumn("batch_id", F.lit(batch_id)).write.mode("append").parquet(path)
+        _write_batch(batch, path, batch_id)
     return _sink
 
 

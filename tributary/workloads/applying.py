@@ -66,8 +66,8 @@ def w5_partial_fold(spark, sf_dir):
     return typed_state(apply_changes(changes(spark, sf_dir)))
 
 
-def _mid(c) -> int:
-    return (c.agg(F.max("sequence")).first()[0] or 0) // 2
+def _mid(c):
+    return F.floor(F.coalesce(c.agg(F.max("sequence")).scalar(), F.lit(0)) / 2)
 
 
 @register("j2_apply_merge", _FOLD_SQL)
@@ -97,41 +97,81 @@ def j5_reconcile(spark, sf_dir):
 
 @register("k6_bulk_apply", _FOLD_SQL)
 def k6_bulk_apply(spark, sf_dir):
+    """Four batches by sequence range, the second also late and again, with a compaction between."""
     c = changes(spark, sf_dir)
-    top = (c.agg(F.max("sequence")).first()[0] or 0) + 1
-    step = top // 4 + 1
-    table = KeyedTable(spark, buckets=8)
-    bounds = [(i * step, (i + 1) * step) for i in range(4)]
-    # the third batch is delivered twice: replaying a batch changes nothing
-    for lo, hi in bounds[:3] + [bounds[1]] + bounds[3:]:
-        table.apply(c.filter((F.col("sequence") >= lo) & (F.col("sequence") < hi)))
+    top = F.coalesce(c.agg(F.max("sequence")).scalar(), F.lit(0))
+    part = F.floor(F.col("sequence") * 4 / (top + 1))
+    table = KeyedTable(spark)
+    table.apply(c.filter(part == 0), "q0")
+    table.apply(c.filter(part == 1), "q1")
+    table.compact()
+    for batch in ("q3", "q1", "q2", "q3"):
+        table.apply(c.filter(part == int(batch[1])), batch)
     return typed_state(table.read())
 
 
-_THIN_COMMITS = """SELECT concat('feed-', CAST(sequence % 3 AS VARCHAR)) AS source_id, sequence FROM changes
-  WHERE operation <> 'delete' AND starts_with(index, 'app-')"""
-
-
-@register("w7_checkpoint_thin", f"""
-WITH RECURSIVE c AS ({_THIN_COMMITS}),
-n AS (SELECT c1.source_id, c1.sequence,
-        (SELECT min(c2.sequence) FROM c c2 WHERE c2.source_id = c1.source_id AND c2.sequence >= c1.sequence + 10) AS nxt
-      FROM c c1),
-r AS (SELECT source_id, min(sequence) AS sequence FROM c WHERE sequence >= 10 GROUP BY source_id
-      UNION ALL
-      SELECT n.source_id, n.nxt FROM r JOIN n ON n.source_id = r.source_id AND n.sequence = r.sequence
-      WHERE n.nxt IS NOT NULL)
-SELECT source_id, sequence FROM r""")
-def w7_checkpoint_thin(spark, sf_dir):
-    from tributary.operators.thinning import thin_checkpoints
-    c = changes(spark, sf_dir).filter((F.col("operation") != "delete") & F.col("index").startswith("app-"))
-    commits = c.select(F.concat(F.lit("feed-"), (F.col("sequence") % 3).cast("string")).alias("source_id"),
-                       "sequence")
-    return thin_checkpoints(commits, threshold=10, start=0, bucket_width=256)
-
-
-@register("w5_partial_fold_deep", _FOLD_SQL)
+#: Partial updates that carry only some of the nested keys of the document they meet.
+NESTED_SQL = """
+SELECT sequence, operation, index, doc_id, CASE
+  WHEN operation = 'delete' THEN NULL
+  WHEN operation = 'partial_update' AND sequence % 20 = 8
+    THEN concat('{"meta":{"p', CAST(sequence % 3 AS VARCHAR), '":1.0},"note":"é"}')
+  WHEN operation = 'partial_update' THEN concat('{"meta":{"uid":', CAST(sequence AS VARCHAR), '}}')
+  ELSE concat('{"meta":{"uid":1,"keep":{"a":1.50}},"full":', CAST(sequence AS VARCHAR), '}') END AS source
+FROM changes"""
+
+
+def nested_changes(spark, sf_dir):
+    seq = F.col("sequence")
+    body = (F.when(F.col("operation") == "delete", F.lit(None).cast("string"))
+            .when((F.col("operation") == "partial_update") & (seq % 20 == 8),
+                  F.concat(F.lit('{"meta":{"p'), (seq % 3).cast("string"), F.lit('":1.0},"note":"é"}')))
+            .when(F.col("operation") == "partial_update", F.concat(F.lit('{"meta":{"uid":'), seq.cast("string"), F.lit("}}")))
+            .otherwise(F.concat(F.lit('{"meta":{"uid":1,"keep":{"a":1.50}},"full":'), seq.cast("string"), F.lit("}"))))
+    return changes(spark, sf_dir).select("sequence", "operation", "index", "doc_id", body.alias("source"))
+
+
+_NESTED = (
+    ("nested", NESTED_SQL),
+    ("marks", """
+  SELECT index, doc_id, max(sequence) FILTER (WHERE operation <> 'partial_update') AS base,
+         arg_max(operation, sequence) FILTER (WHERE operation <> 'partial_update') AS base_op, max(sequence) AS sequence
+  FROM nested GROUP BY index, doc_id"""),
+    ("parts", """
+  SELECT n.index, n.doc_id, n.sequence, n.sequence % 20 = 8 AS noted, n.sequence % 3 AS p
+  FROM nested n JOIN marks m USING (index, doc_id)
+  WHERE n.operation = 'partial_update' AND n.sequence > coalesce(m.base, -1)"""),
+    ("last_parts", """
+  SELECT index, doc_id, bool_or(noted) AS noted, max(sequence) FILTER (WHERE NOT noted) AS uid,
+         coalesce(bool_or(noted AND p = 0), FALSE) AS p0, coalesce(bool_or(noted AND p = 1), FALSE) AS p1,
+         coalesce(bool_or(noted AND p = 2), FALSE) AS p2
+  FROM parts GROUP BY index, doc_id"""))
+
+_NESTED_FOLD_SQL = """
+SELECT m.index, m.doc_id, m.sequence, CASE
+    WHEN l.index IS NULL THEN concat('{"meta":{"uid":1,"keep":{"a":1.50}},"full":', CAST(m.base AS VARCHAR), '}')
+    ELSE concat('{', CASE WHEN m.base_op IN ('index', 'update') THEN concat('"full":', CAST(m.base AS VARCHAR), ',') ELSE '' END,
+      '"meta":{', array_to_string(list_filter([
+        CASE WHEN m.base_op IN ('index', 'update') THEN '"keep":{"a":1.50}' END,
+        CASE WHEN l.p0 THEN '"p0":1.0' END, CASE WHEN l.p1 THEN '"p1":1.0' END, CASE WHEN l.p2 THEN '"p2":1.0' END,
+        CASE WHEN l.uid IS NOT NULL THEN concat('"uid":', CAST(l.uid AS VARCHAR))
+             WHEN m.base_op IN ('index', 'update') THEN '"uid":1' END], lambda x: x IS NOT NULL), ','), '}',
+      CASE WHEN l.noted THEN ',"note":"é"' ELSE '' END, '}') END AS source
+FROM marks m LEFT JOIN last_parts l USING (index, doc_id)
+WHERE l.index IS NOT NULL OR m.base_op IN ('index', 'update')"""
+
+
+@register("w5_partial_fold_deep", _NESTED_FOLD_SQL, ctes=_NESTED)
 def w5_partial_fold_deep(spark, sf_dir):
-    """W5 with nested objects merged recursively (equal to the top-level fold on this feed,
-    whose nested objects always carry the same keys)."""
-    return typed_state(apply_changes(changes(spark, sf_dir), deep=True))
+    """W5 on partial updates of nested keys: the body text itself."""
+    return apply_changes(nested_changes(spark, sf_dir)).select("index", "doc_id", "sequence", "source")
+
+
+@register("j2_late_partials", _NESTED_FOLD_SQL, ctes=_NESTED)
+def j2_late_partials(spark, sf_dir):
+    """J2 with batches out of order: the odd sequences first, then the even ones."""
+    c = nested_changes(spark, sf_dir)
+    table = KeyedTable(spark)
+    table.apply(c.filter(F.col("sequence") % 2 == 1), "odd")
+    table.apply(c.filter(F.col("sequence") % 2 == 0), "even")
+    return table.read().select("index", "doc_id", "sequence", "source")

@@ -16,9 +16,9 @@ from tributary.workloads.registry import register
 _COLS = ("sequence", "index", "doc_id", "operation")
 
 
-def _max_seq(df) -> int:
-    """Load a cursor position (a single scalar, like reading a checkpoint)."""
-    return df.agg(F.max("sequence")).first()[0] or 0
+def _max_seq(df):
+    """A cursor position, as a scalar of the same plan."""
+    return F.coalesce(df.agg(F.max("sequence")).scalar(), F.lit(0))
 
 
 @register("s1_cursor_scan", """
@@ -27,7 +27,7 @@ WHERE starts_with(index, 'app-') AND sequence > (SELECT max(sequence) // 3 FROM
 ORDER BY sequence LIMIT 1000""")
 def s1_cursor_scan(spark, sf_dir):
     c = changes(spark, sf_dir)
-    return cur.scan(c, _max_seq(c) // 3, 1000, ["app-*"]).select(*_COLS)
+    return cur.scan(c, F.floor(_max_seq(c) / 3), 1000, ["app-*"]).select(*_COLS)
 
 
 @register("t5_seek", """
@@ -36,7 +36,7 @@ WHERE sequence > (SELECT max(sequence) // 4 FROM changes)
 ORDER BY sequence LIMIT 200""")
 def t5_seek(spark, sf_dir):
     c = changes(spark, sf_dir)
-    return cur.scan(c, _max_seq(c) // 4, 200).select(*_COLS)
+    return cur.scan(c, F.floor(_max_seq(c) / 4), 200).select(*_COLS)
 
 
 _CUR_SQL = "SELECT index, max(sequence) // 2 AS cursor FROM changes GROUP BY index"
@@ -77,7 +77,58 @@ SELECT * FROM (SELECT sequence, index, doc_id, operation, '*-click' AS pattern F
   ORDER BY sequence, index, doc_id LIMIT 300) b""")
 def s3_poll_union(spark, sf_dir):
     c = changes(spark, sf_dir)
-    return cur.poll_union(c, ["app-*", "*-click"], _max_seq(c) // 2, 300).select(*_COLS, "pattern")
+    return cur.poll_union(c, ["app-*", "*-click"], F.floor(_max_seq(c) / 2), 300).select(*_COLS, "pattern")
+
+
+#: The feed with three changes to a sequence number, so limits fall inside ties.
+_TIED = "(SELECT sequence // 3 AS sequence, index, doc_id, operation FROM changes)"
+
+
+def _tied(spark, sf_dir):
+    return changes(spark, sf_dir).withColumn("sequence", F.floor(F.col("sequence") / 3).cast("bigint"))
+
+
+_TIED_POLL_SQL = f"""
+SELECT t.* FROM {_TIED} t LEFT JOIN (SELECT index, max(sequence) // 2 AS cursor FROM {_TIED} c GROUP BY index) k USING (index)
+WHERE starts_with(t.index, 'app-') AND t.sequence > coalesce(k.cursor, -1)"""
+
+
+@register("s2_poll_ties", f"""
+SELECT * FROM ({_TIED_POLL_SQL}) p
+WHERE sequence <= (SELECT max(sequence) FROM (SELECT sequence FROM ({_TIED_POLL_SQL}) q ORDER BY sequence LIMIT 100))""")
+def s2_poll_ties(spark, sf_dir):
+    """S2 where the limit falls inside a tie: the poll grows to the whole tie."""
+    c = _tied(spark, sf_dir)
+    cursors = c.groupBy("index").agg(F.floor(F.max("sequence") / 2).cast("bigint").alias("cursor"))
+    return cur.poll_per_index(c, cursors, ["app-*"], 100).select(*_COLS)
+
+
+@register("s3_union_ties", f"""
+SELECT * FROM {_TIED} a WHERE starts_with(index, 'app-') AND sequence <= (SELECT max(sequence) FROM (
+  SELECT sequence FROM {_TIED} b WHERE starts_with(index, 'app-') ORDER BY sequence LIMIT 100))
+UNION ALL
+SELECT * FROM {_TIED} a WHERE ends_with(index, '-click') AND sequence <= (SELECT max(sequence) FROM (
+  SELECT sequence FROM {_TIED} b WHERE ends_with(index, '-click') ORDER BY sequence LIMIT 100))""")
+def s3_union_ties(spark, sf_dir):
+    return cur.poll_union(_tied(spark, sf_dir), ["app-*", "*-click"], limit=100).select(*_COLS)
+
+
+@register("a1_poll_until_empty", f"""
+SELECT CAST(count(*) AS BIGINT) AS delivered, CAST(0 AS BIGINT) AS left_over FROM {_TIED} t
+WHERE sequence <= (SELECT max(sequence) FROM (SELECT sequence FROM (
+  SELECT sequence FROM {_TIED} u WHERE sequence > (SELECT max(sequence) FROM (SELECT sequence FROM {_TIED} v ORDER BY sequence LIMIT 100))
+  ORDER BY sequence LIMIT 100)))""")
+def a1_poll_until_empty(spark, sf_dir):
+    """A1 with S1: two polls in a row, the second from the first one's cursor, pass over no row."""
+    c = _tied(spark, sf_dir)
+    first = cur.scan(c, limit=100)
+    at = cur.next_cursor(first).scalar()
+    second = cur.scan(c, at, 100)
+    end = cur.next_cursor(second).scalar()
+    got = first.unionByName(second)
+    n = got.agg(F.count(F.lit(1)).alias("delivered"))
+    upto = c.filter(F.col("sequence") <= end).agg(F.count(F.lit(1)).alias("n"))
+    return n.withColumn("left_over", upto.scalar() - F.col("delivered"))
 
 
 @register("s8_subject_subscribe", """
@@ -161,8 +212,8 @@ def u2_large_include_list(spark, sf_dir):
     ev = read_table(spark, sf_dir, "events")
     exclude = ev.filter((F.col("event_type") == "error") & (F.col("value") > 400)).select(
         F.concat(F.lit("u"), F.col("user_id").cast("string")).alias("doc_id")).distinct()
-    kept = c.join(cur.broadcast_if_small(include), "doc_id", "left_semi")
-    kept = kept.join(cur.broadcast_if_small(exclude), "doc_id", "left_anti")
+    kept = c.join(include, "doc_id", "left_semi")
+    kept = kept.join(exclude, "doc_id", "left_anti")
     return kept.groupBy("index").agg(F.count(F.lit(1)).alias("n"))
 
 

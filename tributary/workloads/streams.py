@@ -7,7 +7,7 @@ import json
 
 from pyspark.sql import functions as F
 
-from tributary.fixtures import wire_from_changes
+from tributary.fixtures import changes, wire_from_changes
 from tributary.functions import codec
 from tributary.functions import envelope as env
 from tributary.session import scratch_path
@@ -113,23 +113,30 @@ _SPEC_B = {"version": 2, "mode": "all", "filters": [{"type": "index", "include_p
 
 
 @register("f25_swap_filters", """
-SELECT sequence, 1 AS spec_version FROM changes WHERE operation <> 'delete'
-UNION ALL SELECT sequence, 2 FROM changes WHERE starts_with(index, 'temp_')""")
+SELECT sequence, 1 AS spec_version FROM changes WHERE sequence % 2 = 0 AND operation <> 'delete'
+UNION ALL SELECT sequence, 2 FROM changes WHERE sequence % 2 = 1 AND starts_with(index, 'temp_')""")
 def f25_swap_filters(spark, sf_dir):
-    out = scratch_path(spark, "streams/f25")
-    spec_path = scratch_path(spark, "specs/f25")
-    state = {"spec": _SPEC_A}
+    """One running stream; the spec table gets a new version while its first micro-batch is done."""
+    src, out, specs = (scratch_path(spark, f"streams/f25{n}") for n in ("src", "out", "specs"))
+    c = changes(spark, sf_dir)
+    for rest in (0, 1):                       # two sets of files, one per micro-batch, in this order
+        c.filter(F.col("sequence") % 2 == rest).repartition(4).write.mode("append").parquet(src)
 
     def write_spec(spec):
-        spark.createDataFrame([(json.dumps(spec),)], "spec string").write.mode("overwrite").text(spec_path)
+        spark.createDataFrame([(spec["version"], json.dumps(spec))], "version int, spec string").write.mode(
+            "append").parquet(specs)
 
     def read_spec():
-        return json.loads(spark.read.text(spec_path).first()[0])
+        return json.loads(spark.read.parquet(specs).orderBy(F.col("version").desc()).first()["spec"])
 
-    s = feeds.changes_stream(spark, sf_dir)
-    for spec in (_SPEC_A, _SPEC_B):
-        state["spec"] = spec
-        write_spec(spec)
-        # a new query per spec here; a long-running query picks the new spec up at its next batch
-        feeds.run(s, foreach_batch=feeds.gate_with_reloaded_spec(read_spec, out), name="f25")
+    gate = feeds.gate_with_reloaded_spec(read_spec, out)
+
+    def swap_after_first(batch, batch_id):
+        gate(batch, batch_id)
+        if batch_id == 0:
+            write_spec(_SPEC_B)
+
+    write_spec(_SPEC_A)
+    stream = spark.readStream.schema(c.schema).option("maxFilesPerTrigger", 4).parquet(src)
+    feeds.run(stream, foreach_batch=swap_after_first, name="f25")
     return spark.read.parquet(out).select("sequence", F.col("spec_version").cast("int").alias("spec_version"))

@@ -46,27 +46,28 @@ def w1_batch_count_tick(spark, sf_dir):
 
 _W2_SQL = f"""
 WITH RECURSIVE s AS (
-  SELECT sequence, CAST(sequence % 4 AS INTEGER) AS lane, sequence // 4096 AS grp, {_SIZE_SQL} AS size,
-    row_number() OVER (PARTITION BY sequence % 4, sequence // 4096 ORDER BY sequence) AS rn
+  SELECT sequence, CAST(sequence % 4 AS INTEGER) AS lane, epoch_us(timestamp) // 86400000000 AS tick, {_SIZE_SQL} AS size,
+    row_number() OVER (PARTITION BY sequence % 4, epoch_us(timestamp) // 86400000000 ORDER BY sequence) AS rn
   FROM changes),
 r AS (
-  SELECT lane, grp, rn, sequence, CAST(0 AS BIGINT) AS batch_no, CAST(0 AS BIGINT) AS batch_pos,
+  SELECT lane, tick, rn, sequence, CAST(0 AS BIGINT) AS batch_no, CAST(0 AS BIGINT) AS batch_pos,
          CAST(size AS BIGINT) AS acc, CAST(1 AS BIGINT) AS cnt FROM s WHERE rn = 1
   UNION ALL
-  SELECT s.lane, s.grp, s.rn, s.sequence,
-    CASE WHEN r.acc >= 4096 OR r.cnt >= 1000 THEN r.batch_no + 1 ELSE r.batch_no END,
-    CASE WHEN r.acc >= 4096 OR r.cnt >= 1000 THEN 0 ELSE r.cnt END,
-    CASE WHEN r.acc >= 4096 OR r.cnt >= 1000 THEN s.size ELSE r.acc + s.size END,
-    CASE WHEN r.acc >= 4096 OR r.cnt >= 1000 THEN 1 ELSE r.cnt + 1 END
-  FROM r JOIN s ON s.lane = r.lane AND s.grp = r.grp AND s.rn = r.rn + 1)
-SELECT sequence, lane, grp AS "group", batch_no, CAST(batch_pos AS INTEGER) AS batch_pos FROM r"""
+  SELECT s.lane, s.tick, s.rn, s.sequence,
+    CASE WHEN r.acc >= 4096 OR r.cnt >= 9 THEN r.batch_no + 1 ELSE r.batch_no END,
+    CASE WHEN r.acc >= 4096 OR r.cnt >= 9 THEN 0 ELSE r.cnt END,
+    CASE WHEN r.acc >= 4096 OR r.cnt >= 9 THEN s.size ELSE r.acc + s.size END,
+    CASE WHEN r.acc >= 4096 OR r.cnt >= 9 THEN 1 ELSE r.cnt + 1 END
+  FROM r JOIN s ON s.lane = r.lane AND s.tick = r.tick AND s.rn = r.rn + 1)
+SELECT sequence, lane, tick, batch_no, CAST(batch_pos AS INTEGER) AS batch_pos FROM r"""
 
 
 @register("w2_batch_bytes", _W2_SQL)
 def w2_batch_bytes(spark, sf_dir):
-    b = bt.batch_by_bytes(changes(spark, sf_dir), max_bytes=4096, max_count=1000,
-                          lane=bt.sequence_lane(LANES), bucket_width=BUCKET)
-    return b.select("sequence", "lane", "group", "batch_no", "batch_pos")
+    """W2 with a flush at midnight: the groups are a lane's days."""
+    b = bt.batch_by_bytes(changes(spark, sf_dir), max_bytes=4096, max_count=9,
+                          lane=bt.sequence_lane(LANES), tick_ms=86_400_000)
+    return b.select("sequence", "lane", "tick", "batch_no", "batch_pos")
 
 
 @register("w3_batch_tick", f"""
