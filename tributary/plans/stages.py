@@ -182,14 +182,14 @@ def sync(spark: SparkSession, feed: DataFrame, cfg: SyncConfig, paths: SyncPaths
 def drain_dlq(spark: SparkSession, paths: SyncPaths, succeeds: Callable[[], object] | None = None) -> DataFrame:
     """Apply what succeeds when tried again; the DLQ keeps the rest, with one more attempt.
 
-    Returns the entries left.  The table is written first, under an id of the
-    batches drained, so a run that fails in between does nothing twice.
+    Returns the entries left.  The table is written first: a run that fails in
+    between applies the same changes again, which changes nothing.
     """
     batches = _batches(spark, paths.dlq)
     if not batches:
         return _read(spark, paths.dlq)
     retried, again = dq.replay(_read(spark, paths.dlq).drop("batch"), succeeds)
-    KeyedTable(spark, paths.target).apply(retried, f"dlq-{batches[-1]}-{len(batches)}")
+    KeyedTable(spark, paths.target).apply(retried)
     left = materialize(again, "stage/dlq")
     for b in batches[:-1]:
         storage.delete(spark, f"{paths.dlq}/{b}")

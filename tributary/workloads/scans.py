@@ -180,7 +180,7 @@ SELECT CAST(count(*) AS BIGINT) AS pending FROM changes
 WHERE sequence > (SELECT max(sequence) * 9 // 10 FROM changes)""")
 def a17_pending_global(spark, sf_dir):
     c = changes(spark, sf_dir)
-    return pending(c, _max_seq(c) * 9 // 10)
+    return pending(c, F.floor(_max_seq(c) * 9 / 10))
 
 
 @register("k3_retention_24h", """
@@ -259,4 +259,4 @@ WHERE starts_with(index, 'app-') AND sequence > (SELECT max(sequence) // 2 FROM
 def x3_change_source(spark, sf_dir):
     from tributary.sources.feed import ChangeSource
     src = ChangeSource(lambda s: changes(s, sf_dir), patterns=["app-*"])
-    return src.pending(spark, _max_seq(changes(spark, sf_dir)) // 2)
+    return src.pending(spark, F.floor(_max_seq(changes(spark, sf_dir)) / 2))

@@ -162,3 +162,17 @@ def t11_write_results(spark, sf_dir):
     tried = held.select(F.lit(False).alias("failed"), *ENVELOPE).unionByName(
         stages._read(spark, paths.dlq).select(F.lit(True).alias("failed"), *ENVELOPE))
     return tried.groupBy("failed", "index").agg(F.count(F.lit(1)).alias("n"), F.sum(env.envelope_size()).cast("bigint").alias("size_bytes"))
+
+
+@register("o4_dlq_drain", f"""
+SELECT CAST(3 AS INTEGER) AS attempts, CAST(count(*) AS BIGINT) AS n FROM full_feed
+WHERE {_PASSING} AND sequence % 50 = 6 AND sequence % 4 <> 2 HAVING count(*) > 0""", ctes=(("full_feed", FULL_SQL),))
+def o4_dlq_drain(spark, sf_dir):
+    """Two drains; what succeeds leaves the DLQ for the table, the rest counts its attempts."""
+    paths, cfg = stages.SyncPaths.fresh(spark), _full_cfg()
+    stages.watch(spark, full_changes(spark, sf_dir), paths, cfg)
+    stages.gate_stage(spark, paths, cfg)
+    stages.write_stage(spark, paths, cfg)
+    for _ in range(2):
+        left = stages.drain_dlq(spark, paths, lambda: F.col("sequence") % 4 == 2)
+    return left.groupBy("attempts").agg(F.count(F.lit(1)).alias("n"))
