@@ -85,6 +85,18 @@ def test_each_payload_is_parsed_once(spark):
     assert len(re.findall("from_json", plan)) == 1
 
 
+def test_each_body_is_parsed_once_and_other_filters_come_first(spark):
+    chain = flt.FilterChain([flt.FieldFilter("k", "greater_than", 3), flt.FieldFilter("type", "equals", "click"),
+                             flt.OperationFilter(exclude=("delete",)), flt.FieldFilter("meta.uid", "exists")])
+    feed = materialize(changes(spark, SF_SMALL), "t/feed")
+    for df in (flt.gate(feed, chain), flt.apply_chain(feed, chain)):
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        assert len(re.findall("parse_json|parseJson", plan)) == 1
+    plan = flt.apply_chain(feed, chain)._jdf.queryExecution().executedPlan().toString()
+    assert "delete" in plan.split("Generate explode")[1]                  # below the parse, at the scan
+    assert flt.apply_chain(feed, chain).count() == feed.filter(chain.passes()).count() > 0
+
+
 def test_published_log_prunes_by_subject(spark):
     feed, paths, cfg = changes(spark, SF_SMALL), stages.SyncPaths.fresh(spark), _cfg()
     log = stages.watch(spark, feed, paths, cfg)

@@ -19,19 +19,22 @@ again.  All paths of a batch are bounded by ``SyncConfig.fetch``.
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from functools import reduce
 from typing import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tributary.functions import codec
 from tributary.functions import envelope as env
+from tributary.functions import errors as err
 from tributary.operators import batching as bt
 from tributary.operators import dlq as dq
 from tributary.operators import filters as flt
 from tributary.operators.apply import KeyedTable
 from tributary.operators.transform import apply_transform
 from tributary.session import materialize, release, scratch_path
+from tributary.sinks import bulk
 from tributary.sources import cursor as cur
 from tributary.sources import storage
 
@@ -53,6 +56,9 @@ class SyncConfig:
     batch_bytes: int = bt.DEFAULT_BATCH_BYTES
     tick_ms: int = bt.DEFAULT_TICK_MS
     lanes: int = 4
+    # sends bulk requests to a store: (lane, tick, batch_no, body) -> the same keys and the response bodies
+    send: Callable[[DataFrame], DataFrame] | None = None
+    max_attempts: int = err.MAX_ATTEMPTS
 
 
 @dataclass
@@ -147,8 +153,46 @@ def gate_stage(spark: SparkSession, paths: SyncPaths, cfg: SyncConfig) -> DataFr
     return _read(spark, paths.gated).agg(F.count(F.lit(1)).alias("received"), *c.values())
 
 
+BULK = ("lane", "tick", "batch_no")
+
+
+def _checked(batched: DataFrame) -> DataFrame:
+    """Outcome of each change where no store is asked: a body is required but missing or not JSON."""
+    bad = env.body_missing() | (F.col("source").isNotNull() & F.try_parse_json("source").isNull())
+    return batched.withColumns({
+        "outcome": F.when(bad, "fail").otherwise("success"), "attempts": F.lit(1),
+        "error": F.when(bad, "document has no valid body"), "error_kind": F.when(bad, "Serialization")})
+
+
+def _sent(batched: DataFrame, cfg: SyncConfig) -> list[DataFrame]:
+    """Outcome of each change by the store's answers.
+
+    Requests are sent batch by batch, answers matched by position (J1), and what
+    the store could not take just now (P17) goes out again, up to
+    ``max_attempts`` times.
+    """
+    order = Window.partitionBy(*BULK).orderBy("batch_pos")
+    settled, todo = [], batched
+    for attempt in range(1, cfg.max_attempts + 1):
+        todo = todo.withColumn("_pos", F.row_number().over(order) - 1)
+        items = bulk.parse_response(cfg.send(bulk.batch_bodies(todo, by=BULK, pos="_pos")), keep=BULK).select(
+            *[F.col(c).alias(f"_{c}") for c in BULK], "item_no", "status", "error_type", "error_reason")
+        match = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in BULK] + [F.col("_pos") == F.col("item_no")]
+        answered = todo.join(items, match, "left").withColumns({
+            # a request without an answer is tried again like a failing store
+            "outcome": err.request_class(F.coalesce("status", F.lit(503)), F.lit(attempt), cfg.max_attempts),
+            "attempts": F.lit(attempt), "error": F.coalesce("error_reason", F.lit("no answer")),
+            "error_kind": F.coalesce("error_type", F.lit("Timeout"))})
+        settled.append(materialize(answered.select(*batched.columns, "outcome", "attempts", "error", "error_kind"),
+                                   "stage/sent"))
+        todo = settled[-1].filter(F.col("outcome") == "retry").select(*batched.columns)
+        if not todo.limit(1).count():
+            break
+    return settled
+
+
 def write_stage(spark: SparkSession, paths: SyncPaths, cfg: SyncConfig) -> DataFrame:
-    """Dedupe, batch, apply, DLQ for what is new.  Returns all write results per bulk batch."""
+    """Dedupe, batch, send, apply, DLQ for what is new.  Returns all write results per bulk batch."""
     done, table = set(_batches(spark, paths.results)), KeyedTable(spark, paths.target)
     for batch in _batches(spark, paths.gated):
         if batch in done:
@@ -156,17 +200,21 @@ def write_stage(spark: SparkSession, paths: SyncPaths, cfg: SyncConfig) -> DataF
         new = _read_batch(spark, paths.gated, batch).filter(F.col("outcome") == "forwarded").select("payload")
         msgs = codec.valid(codec.decode(new)).dropDuplicates(["msg_id"])                                   # T7
         batched = bt.batch_by_bytes(msgs, cfg.batch_bytes, cfg.batch_size, bt.key_lane(cfg.lanes), cfg.tick_ms)
-        # a change the store cannot take: body required but missing or not JSON
-        bad = env.body_missing() | (F.col("source").isNotNull() & F.try_parse_json("source").isNull())
-        checked = materialize(batched.withColumn("_bad", bad), "stage/checked")
-        failed = checked.filter("_bad")
-        _write(dq.dlq_entries(failed, F.lit("document has no valid body"), F.lit("Serialization"),
-                              F.col("timestamp")), paths.dlq, batch)                                       # K11
-        table.apply(checked.filter(~F.col("_bad")), batch)
-        _write(checked.groupBy("lane", "tick", "batch_no").agg(
-            F.count_if(~F.col("_bad")).alias("success_count"), F.count_if("_bad").alias("failure_count"),
+        if cfg.send is None:
+            copies = [materialize(_checked(batched), "stage/checked")]
+        else:
+            first = materialize(batched, "stage/batched")
+            copies = [*_sent(first, cfg), first]
+        settled = reduce(DataFrame.unionByName, copies if cfg.send is None else copies[:-1]).filter(
+            F.col("outcome") != "retry")
+        ok = F.col("outcome") == "success"
+        _write(dq.dlq_entries(settled.filter(~ok), F.col("error"), F.col("error_kind"), F.col("timestamp"),
+                              F.col("attempts")), paths.dlq, batch)                                        # K11
+        table.apply(settled.filter(ok), batch)
+        _write(settled.groupBy(*BULK).agg(
+            F.count_if(ok).alias("success_count"), F.count_if(~ok).alias("failure_count"),
             F.sum(env.envelope_size()).cast("bigint").alias("size_bytes")), paths.results, batch)
-        release(checked)
+        release(*copies)
     return _read(spark, paths.results)
 
 

@@ -11,6 +11,7 @@ from tributary.operators import filters as flt
 from tributary.operators.apply import KeyedTable
 from tributary.operators.metrics import changes_total
 from tributary.plans import stages
+from tributary.sinks.bulk import response_item
 from tributary.workloads.applying import _state_sql, typed_state
 from tributary.workloads.registry import register
 
@@ -176,3 +177,45 @@ def o4_dlq_drain(spark, sf_dir):
     for _ in range(2):
         left = stages.drain_dlq(spark, paths, lambda: F.col("sequence") % 4 == 2)
     return left.groupBy("attempts").agg(F.count(F.lit(1)).alias("n"))
+
+
+def _store():
+    """A store's answers to bulk requests: refuses some documents, and is away for others the first time."""
+    calls = []
+
+    def send(requests):
+        calls.append(1)
+        lines = requests.select("lane", "tick", "batch_no", F.posexplode(F.split("body", "\n")).alias("p", "line"))
+        asked = lines.withColumn("m", F.from_json("line", "map<string, struct<_index: string, _id: string>>")).withColumn(
+            "action", F.map_keys("m")[0]).filter(F.col("action").isin("index", "update", "delete") & F.map_values("m")[0]["_id"].isNotNull())
+        target = F.map_values("m")[0]
+        number = F.expr("try_cast(substr(map_values(m)[0]._id, 2) as bigint)")
+        status = (F.when(number % 11 == 3, 400).when((number % 7 == 2) & F.lit(len(calls) == 1), 503)
+                  .when(number % 13 == 5, 503).otherwise(200))
+        kind = F.when(status == 400, "mapper_parsing_exception").when(status == 503, "timeout_exception")
+        item = response_item(F.col("action"), target["_index"], target["_id"], status, kind, F.when(status >= 300, "refused"))
+        g = asked.groupBy("lane", "tick", "batch_no").agg(F.array_sort(F.collect_list(F.struct("p", item.alias("i")))).alias("xs"))
+        body = F.concat(F.lit('{"took":1,"errors":true,"items":['), F.array_join(F.transform("xs", lambda x: x["i"]), ","), F.lit("]}"))
+        return g.select("lane", "tick", "batch_no", body.alias("body"))
+    return send
+
+
+@register("t11_store_answers", """
+SELECT CASE WHEN n % 11 = 3 THEN 'mapper_parsing_exception' WHEN n % 13 = 5 THEN 'timeout_exception' END AS error_kind,
+  CAST(CASE WHEN n % 11 = 3 THEN 1 WHEN n % 13 = 5 THEN 3 END AS INTEGER) AS attempts, index, CAST(count(*) AS BIGINT) AS n
+FROM (SELECT *, TRY_CAST(substr(doc_id, 2) AS BIGINT) AS n FROM changes WHERE NOT starts_with(index, 'temp_')) c
+GROUP BY ALL""")
+def t11_store_answers(spark, sf_dir):
+    """T11 by a store's answers: matched by position, 5xx sent again, 4xx to the DLQ at once."""
+    paths = stages.SyncPaths.fresh(spark)
+    cfg = _cfg()
+    cfg.send, cfg.tick_ms, cfg.batch_size = _store(), 60_000, 50
+    stages.watch(spark, changes(spark, sf_dir), paths, cfg)
+    stages.gate_stage(spark, paths, cfg)
+    stages.write_stage(spark, paths, cfg)
+    table = KeyedTable(spark, paths.target)
+    held = spark.read.schema(table.CHANGES).parquet(*[f"{paths.target}/{b}" for b in table.manifest()["batches"].values()])
+    none = F.lit(None)
+    told = stages._read(spark, paths.dlq).select("error_kind", "attempts", "index").unionByName(
+        held.select(none.cast("string").alias("error_kind"), none.cast("int").alias("attempts"), "index"))
+    return told.groupBy("error_kind", "attempts", "index").agg(F.count(F.lit(1)).alias("n"))
