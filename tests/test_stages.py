@@ -106,6 +106,23 @@ def test_published_log_prunes_by_subject(spark):
     assert {r["index"] for r in log.filter(sub.index_hint()).select("index").distinct().collect()} <= {"temp_view"}
 
 
+def test_expired_days_go_and_reads_prune(spark):
+    from datetime import datetime, timedelta
+    from tributary.session import scratch_path
+    from tributary.sources import retention
+    newest = datetime(2031, 5, 10, 12)
+    rows = [(i, newest - timedelta(hours=6 * i)) for i in range(40)]
+    path = scratch_path(spark, "t/retained")
+    retention.append(spark.createDataFrame(rows, "x int, timestamp timestamp"), path)
+    kept = retention.read(spark, path, newest, 50)
+    want = [i for i in range(40) if 6 * i < 50]
+    assert sorted(r["x"] for r in kept.collect()) == want
+    assert "day" in kept._jdf.queryExecution().executedPlan().toString().split("PartitionFilters: [")[1].split("]")[0]
+    assert len(retention.drop_expired(spark, path, newest, 50)) == 8
+    assert min(storage.names(spark, path)) == "day=2031-05-08"
+    assert sorted(r["x"] for r in retention.read(spark, path, newest, 50).collect()) == want
+
+
 def test_copies_are_dropped_and_a_cluster_needs_a_shared_folder(spark):
     df = materialize(spark.range(5).toDF("x"), "t/copy")
     assert df.count() == 5

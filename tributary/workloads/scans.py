@@ -10,7 +10,9 @@ from tributary.functions import envelope as env
 from tributary.operators import filters as flt
 from tributary.operators.apply import latest_per_key
 from tributary.operators.metrics import pending, published
+from tributary.session import scratch_path
 from tributary.sources import cursor as cur
+from tributary.sources import retention
 from tributary.workloads.registry import register
 
 _COLS = ("sequence", "index", "doc_id", "operation")
@@ -191,6 +193,21 @@ def k3_retention_24h(spark, sf_dir):
     return kept.groupBy("index").agg(F.count(F.lit(1)).alias("n"), F.min("timestamp").alias("oldest"))
 
 
+@register("k3_retention_days", """
+SELECT index, CAST(count(*) AS BIGINT) AS n, min(timestamp) AS oldest FROM changes
+WHERE timestamp > (SELECT max(timestamp) FROM changes) - INTERVAL 240 HOUR GROUP BY index""")
+def k3_retention_days(spark, sf_dir):
+    """K3 on disk: a log by days; expired days are dropped, reads prune the rest."""
+    path, feed = scratch_path(spark, "retained"), changes(spark, sf_dir)
+    retention.append(feed, path)
+    newest = feed.agg(F.max("timestamp")).first()[0]
+    if newest is None:
+        return feed.groupBy("index").agg(F.count(F.lit(1)).alias("n"), F.min("timestamp").alias("oldest"))
+    retention.drop_expired(spark, path, newest, 240)
+    return retention.read(spark, path, newest, 240).groupBy("index").agg(
+        F.count(F.lit(1)).alias("n"), F.min("timestamp").alias("oldest"))
+
+
 @register("k4_forward_subject", """
 SELECT concat('downstream.', replace(index, '-', '_')) AS subject, CAST(count(*) AS BIGINT) AS published
 FROM changes WHERE operation IN ('index', 'update', 'partial_update') GROUP BY 1""")
