@@ -28,6 +28,7 @@ import heapq
 import io
 import json
 import re
+import struct
 import sys
 import unicodedata
 import uuid
@@ -49,7 +50,9 @@ LEXICON_WORDS = 200_000
 #: Distinct pieces a counting task holds before it hands on its counts.
 COUNT_PIECES = 400_000
 #: Pieces of text whose ids a Python worker keeps at hand, twice over.
-MEMO_PIECES = 300_000
+MEMO_PIECES = 400_000
+#: Ends a piece's ids among those of others.
+MARK = b"\xff\xff\xff\xff"
 
 
 @functools.cache
@@ -127,24 +130,9 @@ class Vocabulary:
             text = unicodedata.normalize("NFC", text).replace("Σ", "σ")
         return text.lower()
 
-    def words_of(self, pieces: list[str]) -> list[list[str]]:
-        """The words of each piece, from one pass over all of them."""
-        odd = [i for i, p in enumerate(pieces) if "<|" in p]
-        plain = pieces
-        if odd:
-            plain = list(pieces)
-            for i in odd:
-                plain[i] = ""
-        out, own = [], []
-        for w in self._word_or_end.findall(self._lower("\n".join(plain) + "\n")):
-            if w == "\n":
-                out.append(own)
-                own = []
-            else:
-                own.append(w)
-        for i in odd:
-            out[i] = self.words(pieces[i])
-        return out
+    def words_of(self, pieces: list[str]) -> list[str]:
+        """The words of pieces without special tokens, a line feed after each piece's own."""
+        return self._word_or_end.findall(self._lower("\n".join(pieces) + "\n")) if pieces else []
 
     def merge(self, word: str) -> list[int]:
         """The ids of one word by exact merging."""
@@ -275,12 +263,13 @@ class Lexicon:
         flat = memoryview(np.ascontiguousarray(self.ids).view(np.uint8))
         return [bytes(flat[4 * a:4 * b]) for a, b in zip(self.ends[numbers].tolist(), self.ends[numbers + 1].tolist())]
 
-    def numbers(self, words: list[bytes]) -> np.ndarray:
-        """The number of each word, or -1 where it isn't in the lexicon."""
+    def numbers(self, words: list[str]) -> np.ndarray:
+        """The number of each word (without line feeds), or -1 where it isn't in the lexicon."""
         n = len(words)
-        size = np.array([len(w) for w in words], np.int64)
-        flat = np.frombuffer(b"".join(words), np.uint8)
-        start = np.cumsum(size) - size
+        flat = np.frombuffer(("\n".join(words) + "\n").encode("utf-8", "replace"), np.uint8)
+        ends = np.flatnonzero(flat == 10)[:n]
+        start = np.concatenate([[0], ends[:-1] + 1]).astype(np.int64)[:n]
+        size = ends - start
         state, out = np.zeros(n, np.int64), np.zeros(n, np.int64)
         alive = np.flatnonzero(size > 0) if len(self.keys) else np.zeros(0, np.int64)
         result = np.full(n, -1, np.int64)
@@ -324,19 +313,33 @@ class Encoder:
                 fresh.append(p)
             else:
                 self.memo[p] = ids
-        split = self.vocab.words_of(fresh) if fresh else []
-        words = list(set().union(*split)) if split else []
-        at = self.lexicon.numbers([w.encode("utf-8", "replace") for w in words]) if self.lexicon else np.full(len(words), -1)
-        at[[i for i, w in enumerate(words) if w in self.vocab.special]] = -1
-        known = dict.fromkeys(words)
-        if self.lexicon:
-            held = np.flatnonzero(at >= 0)
-            known.update(zip([words[i] for i in held.tolist()], self.lexicon.bytes_of(at[held]), strict=True))
-        for w, k in zip(words, at.tolist(), strict=True):
-            if k < 0:
-                known[w] = np.array(self.vocab.merge(w), "<u4").tobytes()
-        for p, own in zip(fresh, split, strict=True):
-            self.memo[p] = b"".join(map(known.__getitem__, own))
+        odd = [p for p in fresh if "<|" in p]
+        if odd:
+            fresh = [p for p in fresh if "<|" not in p]
+        flat = self.vocab.words_of(fresh)
+        known = self.ids_of(list(set(flat).union(*map(self.vocab.words, odd)) - {"\n"}))
+        for p in odd:
+            self.memo[p] = b"".join(map(known.__getitem__, self.vocab.words(p)))
+        # ids leave the upper bytes of each integer empty, so the mark can't appear among them
+        known["\n"] = MARK
+        self.memo.update(zip(fresh, b"".join(map(known.__getitem__, flat)).split(MARK)))
+
+    def ids_of(self, words: list[str]) -> dict[str, bytes]:
+        """The ids of each word: from the automaton, else by merging."""
+        plain = [w for w in words if w not in self.vocab.special]
+        known = {w: self._bytes(self.vocab.merge(w)) for w in words if w in self.vocab.special}
+        at = self.lexicon.numbers(plain) if self.lexicon else np.full(len(plain), -1)
+        held, rest = np.flatnonzero(at >= 0), np.flatnonzero(at < 0)
+        if len(held):
+            known.update(zip([plain[i] for i in held.tolist()], self.lexicon.bytes_of(at[held]), strict=True))
+        merge = self.vocab.merge
+        for i in rest.tolist():
+            known[plain[i]] = self._bytes(merge(plain[i]))
+        return known
+
+    @staticmethod
+    def _bytes(ids: list[int]) -> bytes:
+        return struct.pack(f"<{len(ids)}I", *ids)
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Each text's ids, as little-endian unsigned 32-bit integers."""
@@ -375,9 +378,16 @@ def frequent_words(docs: DataFrame, vocab, limit: int = LEXICON_WORDS) -> list[s
         c = Counter()
 
         def counted() -> pd.DataFrame:
-            words = {}
-            for own, n in zip(v.words_of(list(c)), c.values(), strict=True):
-                for w in own:
+            words, pieces = Counter(), [p for p in c if "<|" not in p]
+            for p in c.keys() - set(pieces):
+                for w in v.words(p):
+                    words[w] += c[p]
+            own = iter([c[p] for p in pieces])
+            n = next(own, 0)
+            for w in v.words_of(pieces):
+                if w == "\n":
+                    n = next(own, 0)
+                else:
                     words[w] = words.get(w, 0) + n
             c.clear()
             return pd.DataFrame({"word": list(words), "n": list(words.values())})
