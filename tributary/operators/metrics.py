@@ -66,22 +66,32 @@ def rejections_by_filter(gated: DataFrame) -> DataFrame:
 
 
 def latency_histogram(df: DataFrame, seconds: Column, by: Sequence[str] = (),
-                      buckets: Sequence[float] = LATENCY_BUCKETS, exact: bool = False) -> DataFrame:
-    """Count, sum, cumulative ``le`` buckets and p50 / p99 per group.
+                      buckets: Sequence[float] = LATENCY_BUCKETS, quantiles: Sequence[float] = (0.5, 0.99)) -> DataFrame:
+    """Count, sum, cumulative ``le`` buckets and quantiles (``p50``, ``p99``) per group.
 
-    Buckets are one pass of ``count_if``; ``exact=False`` uses
-    ``percentile_approx`` (bounded memory), ``exact=True`` the exact percentile.
+    One pass of ``count_if`` per bucket; a quantile is interpolated within the
+    bucket that holds its rank (above the last bucket: its bound), so a group
+    costs a row of counters however many values it has.
     """
-    v = seconds
-    pct = (F.percentile(v, F.lit(0.5)), F.percentile(v, F.lit(0.99))) if exact else \
-        (F.percentile_approx(v, 0.5), F.percentile_approx(v, 0.99))
-    aggs = [_n().alias("count"), F.sum(v).alias("sum"), pct[0].alias("p50"), pct[1].alias("p99")]
-    aggs += [F.count_if(v <= F.lit(b)).alias(f"le_{i}") for i, b in enumerate(buckets)]
+    names = [f"le_{i}" for i in range(len(buckets))]
+    aggs = [_n().alias("count"), F.sum(seconds).alias("sum")]
+    aggs += [F.count_if(seconds <= F.lit(b)).alias(n) for n, b in zip(names, buckets)]
     wide = df.groupBy(*by).agg(*aggs) if by else df.agg(*aggs)
-    stack = F.explode(F.array(*[F.struct(F.lit(float(b)).alias("le"), F.col(f"le_{i}").alias("bucket_count"))
-                                for i, b in enumerate(buckets)]))
-    return wide.select(*by, "count", "sum", "p50", "p99", stack.alias("b")) \
-        .select(*by, "count", "sum", "p50", "p99", "b.le", "b.bucket_count")
+
+    def at(q: float) -> Column:
+        rank, out = F.col("count") * F.lit(q), F.lit(float(buckets[-1]))
+        for i in reversed(range(len(buckets))):
+            low, below = (float(buckets[i - 1]), F.col(names[i - 1])) if i else (0.0, F.lit(0))
+            inside = F.lit(low) + (F.lit(float(buckets[i])) - low) * (rank - below) / (F.col(names[i]) - below)
+            out = F.when(F.col(names[i]) >= rank, inside).otherwise(out)
+        return out.alias(f"p{round(q * 100)}")
+
+    stack = F.explode(F.array(*[F.struct(F.lit(float(b)).alias("le"), F.col(n).alias("bucket_count"))
+                                for n, b in zip(names, buckets)]))
+    own = [*by, "count", "sum"]
+    tops = [f"p{round(q * 100)}" for q in quantiles]
+    return wide.select(*own, *[at(q) for q in quantiles], *names).select(*own, *tops, stack.alias("b")).select(
+        *own, *tops, "b.le", "b.bucket_count")
 
 
 def docs_indexed_failed(attempts: DataFrame, component: str, status: str = "status") -> DataFrame:

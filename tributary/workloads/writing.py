@@ -296,16 +296,28 @@ def a3_errors_total(spark, sf_dir):
     return mx.errors_total(attempts(spark, sf_dir), "writer")
 
 
-@register("a7_latency_buckets", """
-SELECT index, CAST(count(*) AS BIGINT) AS count, round(sum(duration_ms / 1000.0), 6) AS sum,
-  round(quantile_cont(duration_ms / 1000.0, 0.5), 6) AS p50, round(quantile_cont(duration_ms / 1000.0, 0.99), 6) AS p99,
-  b.le, CAST(count(*) FILTER (WHERE duration_ms / 1000.0 <= b.le) AS BIGINT) AS bucket_count
-FROM attempts, (SELECT CAST(x AS DOUBLE) AS le FROM (VALUES (0.005), (0.01), (0.025), (0.05), (0.1), (0.25),
-                (0.5), (1.0), (2.5), (5.0), (10.0)) v(x)) b
-GROUP BY index, b.le""")
+def _quantile_sql(q: float) -> str:
+    """A quantile interpolated within its bucket, over columns ``le_0 ...`` and ``n``."""
+    cases = []
+    for i, high in enumerate(mx.LATENCY_BUCKETS):
+        low, below = (mx.LATENCY_BUCKETS[i - 1], f"le_{i - 1}") if i else (0.0, "0")
+        cases.append(f"WHEN le_{i} >= n * {q}::DOUBLE THEN {low}::DOUBLE + ({high}::DOUBLE - {low}::DOUBLE) "
+                     f"* (n * {q}::DOUBLE - {below}) / (le_{i} - {below})")
+    return f"round(CASE {' '.join(cases)} ELSE {mx.LATENCY_BUCKETS[-1]}::DOUBLE END, 6)"
+
+
+_LE_SQL = ", ".join(f"count(*) FILTER (WHERE duration_ms / 1000.0 <= {b}) AS le_{i}" for i, b in enumerate(mx.LATENCY_BUCKETS))
+_LE_ROWS = ", ".join(f"({b}::DOUBLE, {i})" for i, b in enumerate(mx.LATENCY_BUCKETS))
+_LE_PICK = "CASE i " + " ".join(f"WHEN {i} THEN le_{i}" for i in range(len(mx.LATENCY_BUCKETS))) + " END"
+
+
+@register("a7_latency_buckets", f"""
+SELECT index, CAST(n AS BIGINT) AS count, round(total, 6) AS sum, {_quantile_sql(0.5)} AS p50, {_quantile_sql(0.99)} AS p99,
+  le, CAST({_LE_PICK} AS BIGINT) AS bucket_count
+FROM (SELECT index, count(*) AS n, sum(duration_ms / 1000.0) AS total, {_LE_SQL} FROM attempts GROUP BY index) w,
+     (VALUES {_LE_ROWS}) b(le, i)""")
 def a7_latency_buckets(spark, sf_dir):
-    a = attempts(spark, sf_dir)
-    h = mx.latency_histogram(a, F.col("duration_ms") / 1000.0, by=("index",), exact=True)
+    h = mx.latency_histogram(attempts(spark, sf_dir), F.col("duration_ms") / 1000.0, by=("index",))
     return h.select("index", "count", F.round("sum", 6).alias("sum"), F.round("p50", 6).alias("p50"),
                     F.round("p99", 6).alias("p99"), "le", "bucket_count")
 
