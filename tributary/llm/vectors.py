@@ -36,7 +36,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tributary.llm.common import staged
+from tributary.llm.common import drop_staged, staged
 from tributary.llm.graph import components
 
 #: Vectors a cell should have, and pivots a label gets at most.
@@ -178,6 +178,7 @@ def near_duplicates(table: DataFrame, threshold: float = 0.98, vector: str = "em
             .agg(F.min("vec_id").alias("id"), F.count_distinct("vec_id").alias("weight")))
     reps = staged(same.select("label", F.size("vector").alias("dim"), "id", "weight", "vector"), "vectors")
     cells = staged(_cells(reps, radius), "vector-cells")
+    drop_staged(reps)
     key = ["label", "dim", "cell"]
     sizes = cells.groupBy(*key).agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
     placed = (cells.join(sizes, key)
@@ -189,6 +190,7 @@ def near_duplicates(table: DataFrame, threshold: float = 0.98, vector: str = "em
         return _join_block(b, threshold, k[3] == k[4], k[3])
 
     parts = staged(placed.groupBy(*key, "first", "second").applyInPandas(join, "id long, n long, root long"), "vector-links")
+    drop_staged(cells)
     counts = parts.groupBy("id").agg(F.sum("n").alias("n"))
     found = components(parts.select(F.col("id").alias("a"), F.col("root").alias("b")))
     group = good.join(same.withColumnRenamed("id", "rep"), ["label", "vector"]).select("vec_id", "rep", "weight")
