@@ -43,7 +43,7 @@ from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tributary.llm.common import add_columns, drop_staged, staged
+from tributary.llm.common import add_columns, bounded, drop_staged, staged
 from tributary.session import shared_dir
 
 LEXICON_WORDS = 200_000
@@ -428,7 +428,7 @@ def share_file(spark, data: bytes) -> str:
 
 def build(docs: DataFrame, vocab_path: str, lexicon_words: int = LEXICON_WORDS):
     """Broadcast vocabulary and the name of the lexicon file for ``docs``."""
-    spark = docs.sparkSession
+    spark = bounded(docs)
     vocab = read_vocabulary(vocab_path)
     sent = spark.sparkContext.broadcast(vocab)
     words = frequent_words(docs, sent, lexicon_words)

@@ -14,6 +14,9 @@ from tributary.session import scratch_path
 
 #: The words of a text: maximal runs without ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
+#: Size of the batches that texts go to Python workers in.
+ARROW_BYTES = 8 << 20
+_ARROW_KEY, _ARROW_DEFAULT = "spark.sql.execution.arrow.maxBytesPerBatch", str(64 << 20)
 #: A task handles at most about so many text bytes at a time.
 BATCH_BYTES = 4 << 20
 
@@ -23,6 +26,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def bounded(df: DataFrame) -> SparkSession:
+    """The session of ``df``, with Arrow batches of at most ``ARROW_BYTES`` unless it names its own size.
+
+    Texts reach Python workers in such batches, so a worker's memory doesn't grow
+    with the length of texts.
+    """
+    spark = df.sparkSession
+    if spark.conf.get(_ARROW_KEY).rstrip("b") == _ARROW_DEFAULT:
+        spark.conf.set(_ARROW_KEY, str(ARROW_BYTES))
+    return spark
+
+
 def staged(df: DataFrame, kind: str) -> DataFrame:
     """Write ``df`` in the shared folder and read it back (``drop_staged`` removes it).
 
@@ -82,6 +97,7 @@ def add_columns(df: DataFrame, text: str, new: str, make, keep: list[str], more:
     a dict of the columns that ``new`` declares.  At most ``limit`` text bytes (or one
     text) go at a time.  Columns of ``keep`` that ``new`` names are replaced.
     """
+    bounded(df)
     fresh = StructType.fromDDL(new)
     keep = [c for c in keep if c not in fresh.names]
     own = df.select(*[F.col(f"`{c}`") for c in keep], F.col(text).alias("_text"), *[F.col(c).alias(f"_{c}") for c in more])

@@ -33,7 +33,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tributary.llm.common import add_columns, encoded, held_out
+from tributary.llm.common import add_columns, bounded, encoded, held_out
 
 ORDER = 3
 SAMPLE_PER_LANG = 600
@@ -182,7 +182,7 @@ def train(docs: DataFrame, per_lang: int = SAMPLE_PER_LANG) -> Trees | None:
 def identify(docs: DataFrame, learn: Column, keep: list[str] = ("doc_id",),
              per_lang: int = SAMPLE_PER_LANG) -> DataFrame:
     """``keep`` columns with ``lang_pred`` and ``score``; rows where ``learn`` holds may train."""
-    spark = docs.sparkSession
+    spark = bounded(docs)
     trees = train(docs.where(learn).select("doc_id", "lang", "text"), per_lang)
     model = spark.sparkContext.broadcast(trees)
 

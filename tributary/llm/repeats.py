@@ -38,7 +38,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tributary.llm.common import Rolling, add_columns, encoded, staged, text_slices, whole_groups
+from tributary.llm.common import Rolling, add_columns, bounded, encoded, staged, text_slices, whole_groups
 
 LENGTH = 200
 #: Bytes of an anchor's string.
@@ -114,7 +114,7 @@ WHOLE, OPEN, HELPER = 0, 1, 2
 
 def find_repeats(texts: DataFrame, length: int = LENGTH) -> DataFrame:
     """``(key, first, last)``: runs of repeated windows of ``texts`` (``key``, unique, and ``text``)."""
-    spark = texts.sparkSession
+    spark = bounded(texts)
     spread = int(spark.conf.get("spark.sql.shuffle.partitions"))
 
     def anchored(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -25,7 +25,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tributary.llm.common import Rolling, add_columns, drop_staged, encoded, held_out, staged, text_slices
+from tributary.llm.common import Rolling, add_columns, bounded, drop_staged, encoded, held_out, staged, text_slices
 from tributary.llm.linear import fit_logistic, sigmoid
 
 SIZES = (4, 5)
@@ -153,6 +153,7 @@ def score_documents(docs: DataFrame, labels: DataFrame, learn: Column, per_class
     """``(doc_id, score, predicted)`` of every document; ``learn`` tells which labels may be learned."""
     known = (labels.where(learn & F.col("toxic").isNotNull()).groupBy("doc_id")
              .agg(F.max("toxic").cast("int").alias("toxic")))
+    bounded(docs)
     texts = docs.select("doc_id", "text")
     model = docs.sparkSession.sparkContext.broadcast(train(texts, known, per_class))
 
