@@ -13,7 +13,6 @@ from typing import Callable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tributary.functions.envelope import col
 
 Transform = Callable[[DataFrame], DataFrame]
 
