@@ -1,9 +1,10 @@
 """Operator 6: BPE encoding and decoding with a minimal acyclic transducer lexicon.
 
-The words of all documents are counted; the ``LEXICON_WORDS`` most frequent are
-encoded once by exact merges and compiled into a minimal acyclic automaton
-(equal suffixes share states).  Every arc carries how many words sort before
-it, so the sums along a path number the words, and the number gives the ids.
+The pieces of text between white space are counted over all documents; the
+words of the ``LEXICON_PIECES`` most frequent pieces are encoded once by exact
+merges and compiled into a minimal acyclic automaton (equal suffixes share
+states).  Every arc carries how many words sort before it, so the sums along a
+path number the words, and the number gives the ids.
 The automaton is one file of integers in the shared folder; Spark hands it to
 each executor, whose Python workers map it into memory together.  A batch's
 distinct words walk through it side by side; words it doesn't hold are merged
@@ -46,11 +47,11 @@ from pyspark.sql import functions as F
 from tributary.llm.common import add_columns, bounded, drop_staged, staged
 from tributary.session import shared_dir
 
-LEXICON_WORDS = 200_000
+LEXICON_PIECES = 300_000
 #: Distinct pieces a counting task holds before it hands on its counts.
 COUNT_PIECES = 400_000
 #: Pieces of text whose ids a Python worker keeps at hand, twice over.
-MEMO_PIECES = 400_000
+MEMO_PIECES = 200_000
 #: Ends a piece's ids among those of others.
 MARK = b"\xff\xff\xff\xff"
 
@@ -366,52 +367,39 @@ def _texts(b: pd.DataFrame) -> list[str]:
     return [t if isinstance(t, str) else "" for t in b["text"]]
 
 
-def frequent_words(docs: DataFrame, vocab, limit: int = LEXICON_WORDS) -> list[str]:
-    """The most frequent words over all documents, at most ``limit``.
+def frequent_words(docs: DataFrame, vocab, limit: int = LEXICON_PIECES) -> set[str]:
+    """The words of the most frequent pieces over all documents, at most ``limit`` pieces.
 
-    All words of a class of counts (16 classes to a doubling) are in or none, so
-    the driver gets one row per class and then the words themselves.
+    Pieces of text between white space are counted and only the frequent ones
+    taken apart.  All pieces of a class of counts (16 classes to a doubling) are
+    in or none, so the driver gets one row per class and then the pieces.
     """
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        v = vocab.value
+        v, c = vocab.value, Counter()
         v.prepare()
-        c = Counter()
-
-        def counted() -> pd.DataFrame:
-            words, pieces = Counter(), [p for p in c if "<|" not in p]
-            for p in c.keys() - set(pieces):
-                for w in v.words(p):
-                    words[w] += c[p]
-            own = iter([c[p] for p in pieces])
-            n = next(own, 0)
-            for w in v.words_of(pieces):
-                if w == "\n":
-                    n = next(own, 0)
-                else:
-                    words[w] = words.get(w, 0) + n
-            c.clear()
-            return pd.DataFrame({"word": list(words), "n": list(words.values())})
-
         for b in batches:
             for t in _texts(b):
                 c.update(v.pieces(t))
                 if len(c) > COUNT_PIECES:
-                    yield counted()
+                    yield pd.DataFrame({"piece": list(c.keys()), "n": list(c.values())})
+                    c.clear()
         if c:
-            yield counted()
+            yield pd.DataFrame({"piece": list(c.keys()), "n": list(c.values())})
 
-    counts = staged(docs.select("text").mapInPandas(count, "word string, n long").groupBy("word")
+    counts = staged(docs.select("text").mapInPandas(count, "piece string, n long").groupBy("piece")
                     .agg(F.sum("n").alias("n")).where("n > 1")
-                    .withColumn("class", F.floor(F.log2("n") * 16).cast("int")), "words")
+                    .withColumn("class", F.floor(F.log2("n") * 16).cast("int")), "pieces")
     room, lowest = limit, None
     for r in counts.groupBy("class").agg(F.count(F.lit(1)).alias("n")).orderBy(F.col("class").desc()).collect():
         room -= r["n"]
         if room < 0:
             break
         lowest = r["class"]
-    words = [] if lowest is None else [r["word"] for r in counts.where(F.col("class") >= lowest).select("word").collect()]
+    top = [] if lowest is None else [r["piece"] for r in counts.where(F.col("class") >= lowest).select("piece").collect()]
     drop_staged(counts)
-    return words
+    vocab.value.prepare()
+    return {w for p in top if "<|" in p for w in vocab.value.words(p)} | set(
+        vocab.value.words_of([p for p in top if "<|" not in p])) - {"\n"}
 
 
 def share_file(spark, data: bytes) -> str:
@@ -426,12 +414,12 @@ def share_file(spark, data: bytes) -> str:
     return name
 
 
-def build(docs: DataFrame, vocab_path: str, lexicon_words: int = LEXICON_WORDS):
+def build(docs: DataFrame, vocab_path: str, lexicon_pieces: int = LEXICON_PIECES):
     """Broadcast vocabulary and the name of the lexicon file for ``docs``."""
     spark = bounded(docs)
     vocab = read_vocabulary(vocab_path)
     sent = spark.sparkContext.broadcast(vocab)
-    words = frequent_words(docs, sent, lexicon_words)
+    words = frequent_words(docs, sent, lexicon_pieces)
     words = sorted({w.encode("utf-8", "replace") for w in words if w not in vocab.special})
     data = compile_lexicon(words, [vocab.merge(w.decode()) for w in words])
     buf = io.BytesIO()
@@ -439,23 +427,23 @@ def build(docs: DataFrame, vocab_path: str, lexicon_words: int = LEXICON_WORDS):
     return sent, share_file(spark, buf.getvalue())
 
 
-def encode_documents(docs: DataFrame, vocab_path: str, lexicon_words: int = LEXICON_WORDS) -> DataFrame:
+def encode_documents(docs: DataFrame, vocab_path: str, lexicon_pieces: int = LEXICON_PIECES) -> DataFrame:
     """``(doc_id, ids, decoded)``: the ids of each text and what they decode to."""
     def rows(ids, decoded):
         return {"ids": [np.frombuffer(x, "<i4") for x in ids], "decoded": decoded}
-    return _run(docs, vocab_path, lexicon_words, "ids array<int>, decoded string", rows)
+    return _run(docs, vocab_path, lexicon_pieces, "ids array<int>, decoded string", rows)
 
 
-def encode_digests(docs: DataFrame, vocab_path: str, lexicon_words: int = LEXICON_WORDS) -> DataFrame:
+def encode_digests(docs: DataFrame, vocab_path: str, lexicon_pieces: int = LEXICON_PIECES) -> DataFrame:
     """``(doc_id, n_tokens, ids_sha256, decoded_sha256)`` for every document."""
     def rows(ids, decoded):
         return {"n_tokens": [len(x) // 4 for x in ids], "ids_sha256": [hashlib.sha256(x).hexdigest() for x in ids],
                 "decoded_sha256": [hashlib.sha256(x.encode("utf-8", "replace")).hexdigest() for x in decoded]}
-    return _run(docs, vocab_path, lexicon_words, "n_tokens long, ids_sha256 string, decoded_sha256 string", rows)
+    return _run(docs, vocab_path, lexicon_pieces, "n_tokens long, ids_sha256 string, decoded_sha256 string", rows)
 
 
-def _run(docs: DataFrame, vocab_path: str, lexicon_words: int, new: str, rows) -> DataFrame:
-    vocab, name = build(docs, vocab_path, lexicon_words)
+def _run(docs: DataFrame, vocab_path: str, lexicon_pieces: int, new: str, rows) -> DataFrame:
+    vocab, name = build(docs, vocab_path, lexicon_pieces)
 
     def make():
         enc = Encoder(vocab.value, Lexicon(np.load(SparkFiles.get(name), mmap_mode="r")))

@@ -15,10 +15,10 @@ from tributary.session import scratch_path
 #: The words of a text: maximal runs without ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
 #: Size of the batches that texts go to Python workers in.
-ARROW_BYTES = 8 << 20
+ARROW_BYTES = 4 << 20
 _ARROW_KEY, _ARROW_DEFAULT = "spark.sql.execution.arrow.maxBytesPerBatch", str(64 << 20)
 #: A task handles at most about so many text bytes at a time.
-BATCH_BYTES = 4 << 20
+BATCH_BYTES = 2 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -202,7 +202,7 @@ def identify(docs: DataFrame, learn: Column, keep: list[str] = ("doc_id",),
             return {"lang_pred": lang, "score": score}
         return predict
 
-    return add_columns(docs, "text", "lang_pred string, score double", make, list(keep), limit=1 << 20)
+    return add_columns(docs, "text", "lang_pred string, score double", make, list(keep), limit=1 << 19)
 
 
 def predict_languages(docs: DataFrame) -> DataFrame:

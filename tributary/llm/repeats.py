@@ -43,8 +43,8 @@ from tributary.llm.common import Rolling, add_columns, bounded, encoded, staged,
 LENGTH = 200
 #: Bytes of an anchor's string.
 GRAM = 64
-#: Text bytes hashed at a time.
-BATCH = 1 << 19
+#: Text bytes hashed at a time (numbers take some hundred times as much).
+BATCH = 1 << 18
 #: Windows that travel together once a block is undecided.
 SLICE = 34
 

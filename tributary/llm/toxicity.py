@@ -58,7 +58,7 @@ def buckets(texts: list[bytes], rolling: Rolling) -> tuple[np.ndarray, np.ndarra
 
 
 def _parts(batch: pd.DataFrame):
-    for part, data in text_slices(batch, 1 << 20):
+    for part, data in text_slices(batch, 1 << 19):
         yield part, [t.lower() for t in data]
 
 
@@ -165,7 +165,7 @@ def score_documents(docs: DataFrame, labels: DataFrame, learn: Column, per_class
             return {"score": p, "predicted": (p >= TOXIC_AT).astype(np.int32)}
         return score
 
-    return add_columns(texts, "text", "score double, predicted int", make, ["doc_id"], limit=1 << 20)
+    return add_columns(texts, "text", "score double, predicted int", make, ["doc_id"], limit=1 << 19)
 
 
 def score_toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
