@@ -36,7 +36,8 @@ from tributary.llm.linear import fit_logistic, sigmoid
 FEATURES = ("log words", "distinct share", "top word share", "repeated pair share", "word length", "no letter words",
             "symbols", "digits", "capitals", "line repeats", "bars", "shouts", "first word share", "capital words")
 SAMPLE = 6000
-KEEP_AT = 0.5
+#: A document is kept unless its posterior says it is rather bad.
+KEEP_AT = 0.3
 #: Bounds of a level's strength, in documents.
 STRENGTH = (1.0, 1e4)
 
