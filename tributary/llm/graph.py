@@ -13,28 +13,28 @@ def components(links: DataFrame) -> DataFrame:
 
     A round hangs every node's larger neighbours on its smallest one, then every
     node and its smaller neighbours on the smallest of those; links only ever
-    move to smaller ends, and when a round changes nothing each component is a
-    star around its smallest id.  Rounds grow with the logarithm of a
-    component's size.  Minima are pre-aggregated before their shuffle, and the
-    join that spreads them is one that Spark splits where a node has many links.
+    move to smaller ends.  It is over when every component is a star around its
+    smallest id, which links made by local unions often are from the start.
+    Rounds grow with the logarithm of a component's size.  Minima are
+    pre-aggregated before their shuffle, and the join that spreads them is one
+    that Spark splits where a node has many links.
     """
     now = staged(links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(),
                  "links")
-    print_now = _print(now)
-    while True:
+    while not _stars(now):
         nxt = staged(_small_star(_large_star(now)), "links")
-        print_next = _print(nxt)
         drop_staged(now)
         now = nxt
-        if print_next == print_now:
-            break
-        print_now = print_next
     return now.select(F.col("a").alias("id"), F.col("b").alias("component")).unionByName(
         now.select(F.col("b").alias("id"), F.col("b").alias("component")).distinct())
 
 
-def _print(links: DataFrame):
-    return links.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("a", "b")), F.sum(F.xxhash64("a", "b") % 1000003)).first()
+def _stars(links: DataFrame) -> bool:
+    """Whether no node hangs on two others, or on one while others hang on it (links are distinct, ``a > b``)."""
+    ends = links.select(F.col("a").alias("id"), F.lit(1).alias("up"), F.lit(0).alias("down")).unionByName(
+        links.select(F.col("b").alias("id"), F.lit(0).alias("up"), F.lit(1).alias("down")))
+    tangled = ends.groupBy("id").agg(F.sum("up").alias("up"), F.max("down").alias("down")).where("up > 1 or (up > 0 and down > 0)")
+    return not tangled.limit(1).count()
 
 
 def _large_star(links: DataFrame) -> DataFrame:
@@ -43,7 +43,7 @@ def _large_star(links: DataFrame) -> DataFrame:
     # a node without smaller neighbours is its own minimum: its links stay as they are
     return (both.where("b > a").join(low, "a", "left")
             .select(F.col("b").alias("a"), F.coalesce("low", "a").alias("b"))
-            .unionByName(low.select("a", F.col("low").alias("b"))).distinct())
+            .unionByName(low.select("a", F.col("low").alias("b"))))
 
 
 def _small_star(links: DataFrame) -> DataFrame:
