@@ -70,6 +70,36 @@ def test_batches_cut_anywhere(spark, monkeypatch):
     check(spark, sample(3, 60))
 
 
+def test_a_passage_in_every_document_never_fills_a_frame(spark, monkeypatch):
+    """A little over 200 bytes that all documents share, each with other text around: judged in parts of limited size."""
+    rng = random.Random(7)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(6))
+    passage = " ".join(word() for _ in range(31))
+    texts = [" ".join([word() for _ in range(20)] + [passage] + [word() for _ in range(20)]) for _ in range(400)]
+    texts += [texts[0][:300], texts[1][90:], passage[5:210] + word() * 20]
+    whole = repeats._compare
+
+    def limited(rows):
+        key = [c for c in ("rank", "place", "core", "salt") if c in rows]
+        assert rows.groupby(key).size().max() <= 100, "a frame holds too many slices of one core"
+        return whole(rows)
+
+    monkeypatch.setattr(repeats, "_compare", limited)
+    monkeypatch.setattr(repeats, "CROWD", 40, raising=False)
+    check(spark, texts)
+
+
+@pytest.mark.parametrize("rows", [1, 3, 50])
+def test_crowded_ranks_agree_however_batches_are_cut(spark, monkeypatch, rows):
+    monkeypatch.setattr(repeats, "CROWD", 2, raising=False)
+    kept = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+    try:
+        check(spark, sample(11, 60))
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", kept)
+
+
 def test_rows_that_share_an_id_or_have_none(spark):
     texts = sample(4, 50)
     check(spark, texts, [i // 2 if i % 9 else None for i in range(len(texts))])

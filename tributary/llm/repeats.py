@@ -20,7 +20,11 @@ renumbering is needed), and the positions are thinned out without losing any:
    unique ones drop out, and among the others windows compare by their bytes.
 
 Copies within a map task are decided there, so a text that makes up a third of
-the corpus is sent about once per task.  Runs of windows, never positions, travel.
+the corpus is sent about once per task.  Runs of windows, never positions, travel;
+but where more than ``CROWD`` undecided blocks share an anchor (a passage in
+documents that differ around it), their slices are dealt in salted parts, each
+part settles its own copies and sends one row per distinct window, and Spark
+counts those by their hash.  No frame grows with the number of such blocks.
 
 Defined cases: a null text is empty; texts shorter than ``LENGTH`` lose nothing;
 rows that repeat a document remove each other; ids must be unique for documents
@@ -38,7 +42,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tributary.llm.common import Rolling, add_columns, bounded, encoded, staged, text_slices, whole_groups
+from tributary.llm.common import Rolling, add_columns, bounded, encoded, mix, staged, text_slices, whole_groups
 
 LENGTH = 200
 #: Bytes of an anchor's string.
@@ -47,6 +51,8 @@ GRAM = 64
 BATCH = 1 << 18
 #: Windows that travel together once a block is undecided.
 SLICE = 34
+#: Slices of one place and core that are compared in one frame; more are dealt in parts of about so many.
+CROWD = 1 << 14
 
 
 class Anchors:
@@ -110,6 +116,10 @@ def _signed(x: np.ndarray) -> np.ndarray:
 
 #: What becomes of a block: repeated as a whole, undecided, or sent along for the undecided.
 WHOLE, OPEN, HELPER = 0, 1, 2
+#: A row about a rank: ``key`` undecided and sent blocks have it, more than ``CROWD``.
+CROWDED = 3
+#: What a row of a comparison is: a run of repeated windows, a window that asks the other parts, one that only answers.
+RUN, ASKS, ANSWERS = 0, 1, 2
 
 
 def find_repeats(texts: DataFrame, length: int = LENGTH) -> DataFrame:
@@ -144,31 +154,67 @@ def find_repeats(texts: DataFrame, length: int = LENGTH) -> DataFrame:
                                     "state": np.where(lead, np.where(twice, 1, 0), 2).astype(np.int8)})
 
     def decide(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        """Rows in order of rank and whole hash: ``state`` 2 is decided, 1 has a copy in its task, 0 is alone there."""
-        for rows in whole_groups(batches, ["rank"]):
-            done = rows["state"].to_numpy() == 2
+        """Rows in order of rank and whole hash: ``state`` 2 is decided, 1 has a copy in its task, 0 is alone there.
+
+        A rank's rows may fill many batches; of those before only counts and at most ``CROWD`` rows are kept.
+        """
+        columns = ["key", "first", "size", "ahead", "rank"]
+        at, waits, count, waiting = 0, False, 0, []          # of the rank the last batch ended in
+        for rows, lo, hi in _with_neighbours(batches):
             rank, whole, state = (rows[c].to_numpy() for c in ("rank", "whole", "state"))
-            new = np.concatenate([[True], (rank[1:] != rank[:-1]) | (whole[1:] != whole[:-1]) | done[1:] | done[:-1]])
-            size = np.diff(np.concatenate([np.flatnonzero(new), [len(new)]]))
-            several = np.repeat(size > 1, size) | (state >= 1)
-            # of the blocks with one anchor rank: is any undecided, and is it not alone?
-            top = np.concatenate([[True], (rank[1:] != rank[:-1]) | done[1:] | done[:-1]])
-            group = np.cumsum(top) - 1
-            kinds = np.bincount(group, new.astype(float))
-            waits = np.bincount(group, (~several).astype(float)) > 0
-            ask = (kinds > 1) & waits
-            out = rows[["key", "first", "size", "ahead", "rank"]]
+            free = state < 2
+            link = (rank[1:] == rank[:-1]) & free[1:] & free[:-1]
+            same = link & (whole[1:] == whole[:-1])
+            before, after = (np.concatenate(x)[lo:hi] for x in (([False], link), (link, [False])))
+            copy_before, copy_after = (np.concatenate(x)[lo:hi] for x in (([False], same), (same, [False])))
+            out, free = rows[columns].iloc[lo:hi], free[lo:hi]
+            several = copy_before | copy_after | (state[lo:hi] >= 1)
+            # group 0 is the rank of the rows before; a rank waits if a block of it is undecided
+            group = np.cumsum(~before)
+            n = int(group[-1]) + 1
+            wait = np.bincount(group, ~several, n) > 0
+            wait[0] |= waits
+            opened = ~several & (before | after)
+            helps = several & free & ~copy_before
+            asks = opened | (helps & wait[group])
+            counts = np.bincount(group, asks, n).astype(np.int64)
+            counts[0] += count
+            if wait[0] and waiting:
+                counts[0] += sum(map(len, waiting))
+                yield from (x.assign(state=np.int8(HELPER)) for x in waiting)
+            if n > 1 or wait[0]:
+                waiting = []
             yield out[several].assign(state=np.int8(WHOLE))
-            yield out[~several & ask[group]].assign(state=np.int8(OPEN))
-            yield out[several & new & ask[group]].assign(state=np.int8(HELPER))
+            yield out[opened].assign(state=np.int8(OPEN))
+            yield out[helps & wait[group]].assign(state=np.int8(HELPER))
+            ranks = np.full(n, at, np.int64)
+            ranks[group] = rank[lo:hi]
+            yield _crowded(ranks[:-1], counts[:-1])
+            late = helps & ~wait[group] & (group == n - 1)
+            if late.any():
+                waiting.append(out[late])
+            at, waits, count = ranks[-1], bool(wait[-1]), int(counts[-1])
+            if sum(map(len, waiting)) > CROWD:               # sent though nobody may ask: they only answer
+                count += sum(map(len, waiting))
+                yield from (x.assign(state=np.int8(HELPER)) for x in waiting)
+                waiting, waits = [], True
+        yield _crowded(np.array([at]), np.array([count]))
+
+    def _crowded(ranks: np.ndarray, counts: np.ndarray) -> pd.DataFrame:
+        many = counts > CROWD
+        return pd.DataFrame({"key": counts[many], "first": np.int32(0), "size": np.int16(0), "ahead": np.int16(0),
+                             "rank": ranks[many], "state": np.int8(CROWDED)})
 
     kinds = "key long, first int, size short, ahead short, rank long, state byte"
     decided = staged(texts.mapInPandas(anchored, "rank long, whole long, key long, first int, size short, ahead short, state byte")
                      .repartition(spread, "rank").sortWithinPartitions("rank", "whole")
                      .mapInPandas(decide, kinds), "repeat-blocks")
     whole = decided.where(F.col("state") == WHOLE).select("key", "first", (F.col("first") + F.col("size")).alias("last"))
-    asked = (decided.where(F.col("state") != WHOLE).groupBy("key")
-             .agg(F.collect_list(F.struct("first", "size", "ahead", "rank", "state")).alias("blocks")))
+    # one row per CROWD blocks at most: a bounded broadcast
+    crowded = decided.where(F.col("state") == CROWDED).select("rank", F.ceil(F.col("key") / CROWD).alias("parts"))
+    asked = (decided.where(F.col("state").isin(OPEN, HELPER)).join(F.broadcast(crowded), "rank", "left")
+             .withColumn("salt", F.coalesce(F.pmod(F.xxhash64("key", "first"), "parts"), F.lit(-1)).cast("int"))
+             .groupBy("key").agg(F.collect_list(F.struct("first", "size", "ahead", "rank", "state", "salt")).alias("blocks")))
     margin = SLICE - 1
 
     def sliced(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -185,60 +231,101 @@ def find_repeats(texts: DataFrame, length: int = LENGTH) -> DataFrame:
                     # window w is anchor - w bytes before its anchor; slices are cut by that distance
                     for s in range((anchor - last) // SLICE, (anchor - first) // SLICE + 1):
                         a, z = anchor - (s + 1) * SLICE + 1, anchor - s * SLICE
-                        rows.append((max(a, first), min(z, last), a, s, x["rank"], x["state"]))
-                r = np.array(rows, np.int64).reshape(-1, 6)
+                        rows.append((max(a, first), min(z, last), a, s, x["rank"], x["state"], x["salt"]))
+                r = np.array(rows, np.int64).reshape(-1, 7)
                 cores = roll.of(prefix, r[:, 2] + margin, r[:, 2] + length)
                 padded = b"\0" * margin + text + b"\0" * margin
-                for (lo, hi, a, s, rank, state), core in zip(r.tolist(), _signed(cores).tolist(), strict=True):
-                    out.append((rank, s, core, key, lo, hi - lo, lo - a, state,
+                for (lo, hi, a, s, rank, state, salt), core in zip(r.tolist(), _signed(cores).tolist(), strict=True):
+                    out.append((rank, s, core, salt, key, lo, hi - lo, lo - a, state,
                                 padded[a + margin:a + 2 * margin], padded[a + length + margin:a + length + 2 * margin]))
             if out:
                 yield pd.DataFrame(out, columns=_SLICED)
 
     def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for rows in whole_groups(batches, ["rank", "place", "core"]):
+        for rows in whole_groups(batches, _PART):
             yield _compare(rows)
 
-    found = (asked.join(texts, "key").select("key", "text", "blocks")
-             .mapInPandas(sliced, "rank long, place int, core long, key long, first int, size int, skip int, state int, "
-                                  "left binary, right binary")
-             .repartition(spread, "rank", "place", "core").sortWithinPartitions("rank", "place", "core")
-             .mapInPandas(compare, "key long, first int, last int"))
-    return whole.unionByName(found)
-
-
-_SLICED = ["rank", "place", "core", "key", "first", "size", "skip", "state", "left", "right"]
+    found = staged(asked.join(texts, "key").select("key", "text", "blocks")
+                   .mapInPandas(sliced, "rank long, place int, core long, salt int, key long, first int, size int, skip int, "
+                                        "state int, left binary, right binary")
+                   .repartition(spread, *_PART).sortWithinPartitions(*_PART)
+                   .mapInPandas(compare, "key long, first int, last int, kind byte, code long"), "repeat-windows")
+    # a part sends a window once, so a code has as many rows as there are parts at most
+    across = (found.where(F.col("kind") != RUN).groupBy("code")
+              .agg(F.count(F.lit(1)).alias("n"),
+                   F.collect_list(F.when(F.col("kind") == ASKS, F.struct("key", "first", "last"))).alias("at"))
+              .where("n > 1").select(F.explode("at").alias("x")).select("x.*"))
+    return whole.unionByName(found.where(F.col("kind") == RUN).select("key", "first", "last")).unionByName(across)
+
+
+#: What slices that are compared in one frame have in common (``salt`` is -1 where a rank isn't crowded).
+_PART = ["rank", "place", "core", "salt"]
+_SLICED = [*_PART, "key", "first", "size", "skip", "state", "left", "right"]
+
+
+def _with_neighbours(batches):
+    """Batches that also hold the row before and the row after: (rows, first own one, end of the own ones)."""
+    kept, lo = None, 0
+    for b in batches:
+        if not len(b):
+            continue
+        rows = b if kept is None else pd.concat([kept, b], ignore_index=True)
+        kept = rows
+        if len(rows) - 1 > lo:
+            yield rows, lo, len(rows) - 1
+            kept, lo = rows.iloc[-2:], 1
+    if kept is not None:
+        yield kept, lo, len(kept)
 
 
 def _compare(rows: pd.DataFrame) -> pd.DataFrame:
-    """Among slices of one rank, place and core: the undecided ones' windows that equal another's at the same place."""
-    rank, place, core = (rows[c].to_numpy() for c in ("rank", "place", "core"))
-    new = np.concatenate([[True], (rank[1:] != rank[:-1]) | (place[1:] != place[:-1]) | (core[1:] != core[:-1])])
+    """Among slices of one rank, place and core: the undecided ones' windows that equal another's at the same place.
+
+    Of a part of a crowded rank also every distinct window, for the other parts.
+    """
+    rank, place, core, salt = (rows[c].to_numpy() for c in _PART)
+    new = np.concatenate([[True], (rank[1:] != rank[:-1]) | (place[1:] != place[:-1]) | (core[1:] != core[:-1])
+                          | (salt[1:] != salt[:-1])])
     group = np.cumsum(new) - 1
     is_open = rows["state"].to_numpy() == OPEN
-    ask = (np.bincount(group) > 1) & (np.bincount(group, is_open.astype(float)) > 0)
+    ask = (np.bincount(group) > 1) & (np.bincount(group, is_open.astype(float)) > 0) | (salt[new] >= 0)
     rows, group, is_open = rows[ask[group]], group[ask[group]], is_open[ask[group]]
     if not len(rows):
-        return pd.DataFrame({"key": np.zeros(0, np.int64), "first": np.zeros(0, np.int32), "last": np.zeros(0, np.int32)})
+        return _windows(np.zeros(0, np.int64), 0, 0, RUN, 0)
     first, size, skip, keys = (rows[c].to_numpy(np.int64) for c in ("first", "size", "skip", "key"))
+    rank, place, core, salt = (rows[c].to_numpy(np.int64) for c in _PART)
+    part = mix(mix(mix(rank.view(np.uint64)) + core.view(np.uint64)) + place.view(np.uint64))
     left = np.frombuffer(b"".join(rows["left"]), np.uint8).reshape(len(rows), -1)
     right = np.frombuffer(b"".join(rows["right"]), np.uint8).reshape(len(rows), -1)
     margin = left.shape[1]
     # window j of a slice holds the core, the last margin - j bytes before it and the first j after it
     before, after = _ranks(left[:, ::-1], 94), _ranks(right, 95)
-    hit = np.zeros((len(rows), margin + 1), bool)
+    hit, out = np.zeros((len(rows), margin + 1), bool), []
     for j in range(margin + 1):
         has = np.flatnonzero((skip <= j) & (j <= skip + size))
+        if not len(has):
+            continue
         code, own = before[has, margin - j] + after[has, j], group[has]
         order = np.lexsort((code, own))
         equal = (code[order][1:] == code[order][:-1]) & (own[order][1:] == own[order][:-1])
-        hit[has[order], j] = np.concatenate([[False], equal]) | np.concatenate([equal, [False]]) if len(has) else False
+        twice = np.concatenate([[False], equal]) | np.concatenate([equal, [False]])
+        hit[has[order], j] = twice
+        lead = np.concatenate([[True], ~equal]) & (salt[has[order]] >= 0)
+        if lead.any():
+            at = has[order][lead]
+            known = mix(mix(part[at] + np.uint64(j)) + code[order][lead]).view(np.int64)
+            window = first[at] - skip[at] + j
+            out.append(_windows(keys[at], window, window, np.where(is_open[at] & ~twice[lead], ASKS, ANSWERS), known))
     hit &= is_open[:, None]
     edge = np.diff(np.pad(hit, ((0, 0), (1, 1))).astype(np.int8), axis=1)
     r, a = np.nonzero(edge == 1)
     z = np.nonzero(edge == -1)[1] - 1
-    return pd.DataFrame({"key": keys[r], "first": (first[r] - skip[r] + a).astype(np.int32),
-                         "last": (first[r] - skip[r] + z).astype(np.int32)})
+    return pd.concat([_windows(keys[r], first[r] - skip[r] + a, first[r] - skip[r] + z, RUN, 0), *out], ignore_index=True)
+
+
+def _windows(key, first, last, kind, code) -> pd.DataFrame:
+    return pd.DataFrame({"key": key, "first": np.asarray(first, np.int32), "last": np.asarray(last, np.int32),
+                         "kind": np.asarray(kind, np.int8), "code": np.asarray(code, np.int64)}, index=range(len(key)))
 
 
 def _ranks(x: np.ndarray, seed: int) -> np.ndarray:
