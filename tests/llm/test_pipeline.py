@@ -1,4 +1,5 @@
 import random
+import zlib
 from collections import Counter
 
 import numpy as np
@@ -112,5 +113,14 @@ def test_whole_pipeline_agrees_with_plain_stages_at_five_words(spark):
     assert sorted((r["doc_id"], list(r["ids"])) for r in got) == want
 
 
+def test_all_documents_stay_where_no_language_can_be_learned(spark):
+    held = next(i for i in range(100) if zlib.crc32(str(i).encode()) % 4 == 2)
+    for df in (docs_frame(spark, [(i, t, None, s) for i, t, _, s in odd_rows()], extra=True),
+               docs_frame(spark, [(held, "the only labelled row is held out", "en", "a"), (held + 1, "no label here", None, "a")])):
+        out = stages.known_language(spark, df, SF)
+        assert out.columns == df.columns
+        assert sorted(map(str, out.collect())) == sorted(map(str, df.collect()))
+
+
 def test_plain_rules_agree_on_lengths():
     assert plain_repeats(["a" * 200, "b"])[0][:2] == (200, 0)

@@ -180,10 +180,11 @@ def train(docs: DataFrame, per_lang: int = SAMPLE_PER_LANG) -> Trees | None:
 
 
 def identify(docs: DataFrame, learn: Column, keep: list[str] = ("doc_id",),
-             per_lang: int = SAMPLE_PER_LANG) -> DataFrame:
-    """``keep`` columns with ``lang_pred`` and ``score``; rows where ``learn`` holds may train."""
+             per_lang: int = SAMPLE_PER_LANG, trees: Trees | None = None) -> DataFrame:
+    """``keep`` columns with ``lang_pred`` and ``score``; rows where ``learn`` holds may train, unless ``trees`` are given."""
     spark = bounded(docs)
-    trees = train(docs.where(learn).select("doc_id", "lang", "text"), per_lang)
+    if trees is None:
+        trees = train(docs.where(learn).select("doc_id", "lang", "text"), per_lang)
     model = spark.sparkContext.broadcast(trees)
 
     def make():

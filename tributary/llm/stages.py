@@ -5,16 +5,24 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tributary.llm import bpe, mixing, ngram_join, ppm, repeats
-from tributary.llm.common import held_out, shielded
+from tributary.llm.common import bounded, held_out, shielded
 
 #: Near copies in the stage: words of a shingle, and link at ``100 * intersection >= NEAR_THRESHOLD * union``.
 NEAR_WORDS, NEAR_THRESHOLD = 5, 80
 
 
 def known_language(spark, docs, sf_dir):
-    """Language ID: documents without a recognisable language go; the others keep all columns."""
+    """Language ID: documents without a recognisable language go; the others keep all columns.
+
+    Where no row has a language to learn from, nothing is recognisable and all documents stay.
+    """
     hidden, back = shielded(docs)
-    found = ppm.identify(hidden, ~held_out(F.col("doc_id"), 4, 2), keep=hidden.columns)
+    learn = ~held_out(F.col("doc_id"), 4, 2)
+    bounded(docs)
+    trees = ppm.train(hidden.where(learn).select("doc_id", "lang", "text"))
+    if trees is None:
+        return docs
+    found = ppm.identify(hidden, learn, keep=hidden.columns, trees=trees)
     return back(found.where(F.col("lang_pred") != ppm.UNKNOWN))
 
 
