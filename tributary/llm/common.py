@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -19,6 +22,8 @@ ARROW_BYTES = 4 << 20
 _ARROW_KEY, _ARROW_DEFAULT = "spark.sql.execution.arrow.maxBytesPerBatch", str(64 << 20)
 #: A task handles at most about so many text bytes at a time.
 BATCH_BYTES = 2 << 20
+#: Keys with at least 1 / HOT of all rows are joined by broadcast; there are at most HOT of them.
+HOT = 4096
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -60,6 +65,23 @@ def drop_staged(*frames: DataFrame) -> None:
             p.getFileSystem(conf).delete(p, True)
 
 
+def join_counted(left: DataFrame, right: DataFrame, key: list[str], n: str) -> DataFrame:
+    """Inner join with ``right``, which has one row per ``key`` and in ``n`` its number of rows in ``left``.
+
+    Nulls are equal.  Keys that hold at least 1 / HOT of the counted rows, at most HOT of
+    them, are broadcast; without them no key of the shuffle join is large.  Both sides
+    are read more than once, so stage what is dear to make.
+    """
+    total = right.agg(F.sum(n)).first()[0] or 0
+    names = {k: f"_key{i}" for i, k in enumerate(key)}
+    other = right.select(*[F.col(c).alias(names.get(c, c)) for c in right.columns if c != n], F.col(n).alias("_rows"))
+    match = reduce(and_, [F.col(k).eqNullSafe(F.col(v)) for k, v in names.items()])
+    hot, cold = other.where(F.col("_rows") * HOT >= total), other.where(F.col("_rows") * HOT < total)
+    met = left.join(F.broadcast(hot), match)
+    rest = left.join(F.broadcast(hot.select(*names.values())), match, "left_anti").join(cold, match)
+    return met.unionByName(rest).drop("_rows", *names.values())
+
+
 def held_out(doc_id: Column, modulus: int, remainder: int) -> Column:
     """True for rows kept from training: crc32 of the id's text, modulo ``modulus``."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % modulus == remainder, F.lit(False))

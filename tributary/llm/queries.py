@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tributary.llm import bpe, chat, mixing, ngram_join, ppm, quality, repeats, toxicity, vectors
+from tributary.llm import bpe, chat, codes, fill_middle, lines, mixing, ngram_join, ppm, quality, repeats, toxicity, vectors
 from tributary.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -165,3 +165,85 @@ def op9(spark, sf_dir):
 @query("op5_quality")
 def op5(spark, sf_dir):
     return quality.classify(*(table(spark, sf_dir, t) for t in ("documents", "pages", "labels")))
+
+
+#: Cut points by counting code points, and parts put together by substrings.
+FILL_SQL = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS t, len(coalesce(text, ''))::BIGINT AS n,
+         sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS h FROM documents),
+h AS (
+  SELECT doc_id, t, n, ('0x' || substr(h, 1, 8))::BIGINT % (n + 1) AS c1, ('0x' || substr(h, 9, 8))::BIGINT % (n + 1) AS c2,
+         ('0x' || substr(h, 17, 8))::BIGINT % 100 AS h3, ('0x' || substr(h, 25, 8))::BIGINT % 100 AS h4 FROM d),
+f AS (
+  SELECT doc_id, t, n, least(c1, c2) AS a, greatest(c1, c2) AS b,
+         CASE WHEN n = 0 OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 >= 90 THEN 'plain'
+              WHEN h4 < 20 THEN 'spm' ELSE 'psm' END AS form FROM h),
+p AS (SELECT *, substr(t, 1, a) AS x, substr(t, a + 1, b - a) AS y, substr(t, b + 1) AS z FROM f)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN a END AS prefix_chars, CASE WHEN form <> 'plain' THEN b - a END AS middle_chars,
+       sha256(CASE form WHEN 'psm' THEN '<P>' || x || '<S>' || z || '<M>' || y
+                        WHEN 'spm' THEN '<S>' || z || '<P>' || x || '<M>' || y ELSE t END) AS output_sha256,
+       sha256(t) AS restored_sha256
+FROM p
+"""
+
+
+@query("op11_fill_in_middle", FILL_SQL)
+def op11(spark, sf_dir):
+    return fill_middle.digests(table(spark, sf_dir, "documents"))
+
+
+LINES_SQL = r"""
+WITH d AS (SELECT doc_id, row_number() OVER () AS r, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
+l AS (SELECT doc_id, r, unnest(ls) AS line, generate_subscripts(ls, 1) AS pos FROM d),
+k AS (SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                          'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM l),
+m AS (SELECT key, min(doc_id) AS low FROM k WHERE len(key) >= 10 AND doc_id IS NOT NULL
+      GROUP BY key HAVING count(DISTINCT doc_id) >= 2),
+x AS (SELECT k.*, coalesce(k.doc_id <> m.low, FALSE) AS gone FROM k LEFT JOIN m ON m.key = k.key)
+SELECT doc_id, count(*)::BIGINT AS n_lines, count(*) FILTER (gone)::BIGINT AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '')) AS kept_sha256
+FROM x GROUP BY doc_id, r
+"""
+
+
+@query("op12_line_dedup", LINES_SQL)
+def op12(spark, sf_dir):
+    return lines.digests(table(spark, sf_dir, "documents"))
+
+
+def codes_sql() -> str:
+    """The same rounds by comparing every part with every entry."""
+    k, parts = codes.ENTRIES, codes.PARTS
+    best = "arg_min(c.entry, d * 256 + c.entry) AS entry, min(d)::BIGINT AS far"
+    gap = "list_inner_product(p.x, p.x) + list_inner_product(c.x, c.x) - 2 * list_inner_product(p.x, c.x)"
+    sql = f"""
+WITH v AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY vec_id NULLS LAST) AS r, vec_id, label, len(embedding) // {parts} AS w,
+         list_transform(embedding, lambda x: floor({codes.SCALE} * x::DOUBLE)) AS q
+  FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+p AS MATERIALIZED (SELECT r, part, q[part * w + 1 : (part + 1) * w] AS x FROM v, range({parts}) t(part)),
+c0 AS MATERIALIZED (SELECT part, r - 1 AS entry, x FROM p WHERE r <= {k})"""
+    for i in range(codes.ROUNDS + 1):
+        sql += f""",
+a{i} AS MATERIALIZED (
+  SELECT r, part, {best} FROM (SELECT p.r, p.part, c.entry AS entry, {gap} AS d FROM p JOIN c{i} c ON c.part = p.part) c
+  GROUP BY r, part)"""
+        if i < codes.ROUNDS:
+            sql += f""",
+s{i} AS (SELECT a.part, a.entry, unnest(p.x) AS x, generate_subscripts(p.x, 1) AS pos FROM a{i} a JOIN p ON p.r = a.r AND p.part = a.part),
+m{i} AS (SELECT part, entry, list(x ORDER BY pos) AS x FROM (
+  SELECT part, entry, pos, floor(sum(x) / count(*)) AS x FROM s{i} GROUP BY part, entry, pos) GROUP BY part, entry),
+c{i + 1} AS MATERIALIZED (SELECT c.part, c.entry, coalesce(m.x, c.x) AS x FROM c{i} c LEFT JOIN m{i} m ON m.part = c.part AND m.entry = c.entry)"""
+    n = codes.ROUNDS
+    return sql + f""",
+h AS (SELECT sha256(string_agg(array_to_string(list_transform(x, lambda e: e::BIGINT), ','), ',' ORDER BY part, entry)) AS sha FROM c{n}),
+e AS (SELECT r, string_agg(printf('%02x', entry), '' ORDER BY part) AS code, sum(far)::BIGINT AS error FROM a{n} GROUP BY r)
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error, sha AS codebooks_sha256
+FROM v JOIN e ON e.r = v.r, h
+"""
+
+
+@query("op13_vector_codes", codes_sql())
+def op13(spark, sf_dir):
+    return codes.code_table(table(spark, sf_dir, "embeddings"))
