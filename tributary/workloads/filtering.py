@@ -148,7 +148,7 @@ def f7_field_exists(spark, sf_dir):
     c = changes(spark, sf_dir)
     cols = {"has_flag": "flag", "has_uid": "meta.uid", "has_tag1": "meta.tags.1",
             "has_tag2": "meta.tags.2", "has_nope": "nope"}
-    return c.select("sequence", *[flt.FieldFilter(p, "exists").column().alias(n) for n, p in cols.items()])
+    return flt.results(c, {n: flt.FieldFilter(p, "exists") for n, p in cols.items()}, "sequence")
 
 
 @register("f8_field_eq", f"""
@@ -167,8 +167,7 @@ def f8_field_eq(spark, sf_dir):
     specs = {"eq_k": ("k", 42), "eq_k_float": ("k", 42.0), "eq_type": ("type", "click"),
              "eq_flag_null": ("flag", None), "eq_flag_true": ("flag", True), "eq_uid": ("meta.uid", 8),
              "eq_tags": ("meta.tags", ["click", "t1"]), "eq_k_text": ("k", "42")}
-    return c.select("sequence", *[flt.FieldFilter(p, "equals", v).column().alias(n)
-                                  for n, (p, v) in specs.items()])
+    return flt.results(c, {n: flt.FieldFilter(p, "equals", v) for n, (p, v) in specs.items()}, "sequence")
 
 
 @register("f9_field_ne", f"""
@@ -178,8 +177,8 @@ SELECT sequence,
 FROM changes""")
 def f9_field_ne(spark, sf_dir):
     c = changes(spark, sf_dir)
-    return c.select("sequence", flt.FieldFilter("type", "not_equals", "view").column().alias("ne_type"),
-                    flt.FieldFilter("flag", "not_equals", True).column().alias("ne_flag"))
+    return flt.results(c, {"ne_type": flt.FieldFilter("type", "not_equals", "view"),
+                           "ne_flag": flt.FieldFilter("flag", "not_equals", True)}, "sequence")
 
 
 def _str_pred(path: str, cond: str) -> str:
@@ -194,9 +193,9 @@ SELECT sequence,
 FROM changes""")
 def f10_field_contains(spark, sf_dir):
     c = changes(spark, sf_dir)
-    return c.select("sequence", flt.FieldFilter("type", "contains", "ck").column().alias("c_type"),
-                    flt.FieldFilter("k", "contains", "4").column().alias("c_number"),
-                    flt.FieldFilter("meta.tags.1", "contains", "t").column().alias("c_tag"))
+    return flt.results(c, {"c_type": flt.FieldFilter("type", "contains", "ck"),
+                           "c_number": flt.FieldFilter("k", "contains", "4"),
+                           "c_tag": flt.FieldFilter("meta.tags.1", "contains", "t")}, "sequence")
 
 
 @register("f11_field_matches", f"""
@@ -207,9 +206,9 @@ SELECT sequence,
 FROM changes""")
 def f11_field_matches(spark, sf_dir):
     c = changes(spark, sf_dir)
-    return c.select("sequence", flt.FieldFilter("type", "matches", "ic").column().alias("m_substring"),
-                    flt.FieldFilter("type", "matches", "^c").column().alias("m_caret_literal"),
-                    flt.FieldFilter("type", "matches", "^c.*k$", regex=True).column().alias("m_regex"))
+    return flt.results(c, {"m_substring": flt.FieldFilter("type", "matches", "ic"),
+                           "m_caret_literal": flt.FieldFilter("type", "matches", "^c"),
+                           "m_regex": flt.FieldFilter("type", "matches", "^c.*k$", regex=True)}, "sequence")
 
 
 def _num_pred(path: str, op: str, t: float) -> str:
@@ -223,10 +222,10 @@ SELECT sequence, {_num_pred('value', '>', 250.0)} AS gt_value,
 FROM changes""")
 def f12_field_gt(spark, sf_dir):
     c = changes(spark, sf_dir)
-    return c.select("sequence", flt.FieldFilter("value", "greater_than", 250.0).column().alias("gt_value"),
-                    flt.FieldFilter("k", "greater_than", 50.5).column().alias("gt_k"),
-                    flt.FieldFilter("type", "greater_than", 0.0).column().alias("gt_type"),
-                    flt.FieldFilter("flag", "greater_than", 0.0).column().alias("gt_flag"))
+    return flt.results(c, {"gt_value": flt.FieldFilter("value", "greater_than", 250.0),
+                           "gt_k": flt.FieldFilter("k", "greater_than", 50.5),
+                           "gt_type": flt.FieldFilter("type", "greater_than", 0.0),
+                           "gt_flag": flt.FieldFilter("flag", "greater_than", 0.0)}, "sequence")
 
 
 @register("f13_field_lt", f"""
@@ -234,8 +233,8 @@ SELECT sequence, {_num_pred('value', '<', 10.0)} AS lt_value, {_num_pred('meta.u
 FROM changes""")
 def f13_field_lt(spark, sf_dir):
     c = changes(spark, sf_dir)
-    return c.select("sequence", flt.FieldFilter("value", "less_than", 10.0).column().alias("lt_value"),
-                    flt.FieldFilter("meta.uid", "less_than", 20).column().alias("lt_uid"))
+    return flt.results(c, {"lt_value": flt.FieldFilter("value", "less_than", 10.0),
+                           "lt_uid": flt.FieldFilter("meta.uid", "less_than", 20)}, "sequence")
 
 
 @register("f14_field_in", f"""
@@ -246,9 +245,9 @@ SELECT sequence,
 FROM changes""")
 def f14_field_in(spark, sf_dir):
     c = changes(spark, sf_dir)
-    return c.select("sequence", flt.FieldFilter("type", "in", ["click", "view"]).column().alias("in_type"),
-                    flt.FieldFilter("k", "in", [1, 2, 3, 42]).column().alias("in_k"),
-                    flt.FieldFilter("flag", "in", [None, False]).column().alias("in_flag"))
+    return flt.results(c, {"in_type": flt.FieldFilter("type", "in", ["click", "view"]),
+                           "in_k": flt.FieldFilter("k", "in", [1, 2, 3, 42]),
+                           "in_flag": flt.FieldFilter("flag", "in", [None, False])}, "sequence")
 
 
 @register("f15_missing_abstain", f"""
@@ -261,11 +260,9 @@ SELECT operation, source IS NULL AS no_body,
 FROM changes GROUP BY operation, source IS NULL""")
 def f15_missing_abstain(spark, sf_dir):
     c = changes(spark, sf_dir)
-    return (c.select("operation", F.col("source").isNull().alias("no_body"),
-                     flt.FieldFilter("nope", "exists").column().alias("e"),
-                     flt.FieldFilter("nope", "equals", 1).column().alias("q"),
-                     flt.FieldFilter("flag", "exists").column().alias("fe"),
-                     flt.FieldFilter("flag", "greater_than", 0.0).column().alias("fg"))
+    return (flt.results(c, {"e": flt.FieldFilter("nope", "exists"), "q": flt.FieldFilter("nope", "equals", 1),
+                            "fe": flt.FieldFilter("flag", "exists"), "fg": flt.FieldFilter("flag", "greater_than", 0.0)},
+                        "operation", F.col("source").isNull().alias("no_body"))
             .groupBy("operation", "no_body")
             .agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("e")).alias("n_exists_pass"),
                  F.count_if(F.col("q").isNull()).alias("n_eq_abstain"),
@@ -297,7 +294,7 @@ SELECT sequence, a, b,
 FROM (SELECT sequence, {_A_SQL} AS a, {_B_SQL} AS b FROM changes) t""")
 def f16_tri_and(spark, sf_dir):
     c, a, b = _ab(spark, sf_dir)
-    t = c.select("sequence", a.column().alias("a"), b.column().alias("b"))
+    t = flt.results(c, {"a": a, "b": b}, "sequence")
     return t.select("sequence", "a", "b", flt.tri_and(F.col("a"), F.col("b")).alias("a_and_b"))
 
 
@@ -306,7 +303,7 @@ SELECT sequence, a, b, (a OR b) AS a_or_b
 FROM (SELECT sequence, {_A_SQL} AS a, {_B_SQL} AS b FROM changes) t""")
 def f17_tri_or(spark, sf_dir):
     c, a, b = _ab(spark, sf_dir)
-    t = c.select("sequence", a.column().alias("a"), b.column().alias("b"))
+    t = flt.results(c, {"a": a, "b": b}, "sequence")
     return t.select("sequence", "a", "b", flt.tri_or(F.col("a"), F.col("b")).alias("a_or_b"))
 
 
@@ -317,9 +314,9 @@ SELECT CAST(count_if(coalesce({_A_SQL}, true)) AS BIGINT) AS n_pass_a,
 FROM changes""")
 def f18_passes(spark, sf_dir):
     c, a, b = _ab(spark, sf_dir)
-    return c.agg(F.count_if(flt.passes(a.column())).alias("n_pass_a"),
-                 F.count_if(flt.passes(b.column())).alias("n_pass_b"),
-                 F.count(F.lit(1)).alias("n"))
+    return flt.results(c, {"a": a, "b": b}).agg(F.count_if(flt.passes(F.col("a"))).alias("n_pass_a"),
+                                                F.count_if(flt.passes(F.col("b"))).alias("n_pass_b"),
+                                                F.count(F.lit(1)).alias("n"))
 
 
 def _chain_filters():
@@ -348,9 +345,7 @@ SELECT sequence, d AS decision, coalesce(d, true) AS passed
 FROM (SELECT *, ({_I_SQL} OR {_O_SQL} OR {_A_SQL}) AS d FROM changes) t""")
 def f20_chain_any(spark, sf_dir):
     chain = flt.FilterChain(list(reversed(_chain_filters())), "any")
-    g = changes(spark, sf_dir).select("sequence", chain.decision().alias("decision"),
-                                      chain.passes().alias("passed"))
-    return g
+    return flt.gate(changes(spark, sf_dir), chain).select("sequence", "decision", "passed")
 
 
 @register("f21_chain_first", f"""
@@ -359,7 +354,7 @@ FROM (SELECT *, coalesce({_A_SQL}, {_B_SQL}, {_O_SQL}) AS d FROM changes) t""")
 def f21_chain_first(spark, sf_dir):
     c, a, b = _ab(spark, sf_dir)
     chain = flt.FilterChain([a, b, flt.writes_only()], "first")
-    return c.select("sequence", chain.decision().alias("decision"), chain.passes().alias("passed"))
+    return flt.gate(c, chain).select("sequence", "decision", "passed")
 
 
 @register("f22_empty_chain", """
@@ -400,7 +395,7 @@ SELECT sequence, (starts_with(index, 'app-') OR starts_with(index, 'temp_'))
 FROM changes""")
 def f23_spec_chain(spark, sf_dir):
     chain = flt.chain_from_spec(_SPEC)
-    return changes(spark, sf_dir).select("sequence", chain.decision().alias("decision"))
+    return flt.gate(changes(spark, sf_dir), chain).select("sequence", "decision")
 
 
 @register("f24_build_filters", """
