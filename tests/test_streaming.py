@@ -50,3 +50,14 @@ def test_stop_midway_and_restart_exactly_once(spark):
     got = spark.read.parquet(out)
     assert got.count() == c.count() >= partial
     assert got.select("sequence").distinct().count() == c.count()
+
+
+def test_a_retried_batch_counts_once(spark):
+    """The same micro-batch handed over again replaces what it wrote."""
+    out = scratch_path(spark, "t/s7")
+    sink = feeds.consume_batch(out, "sequence")
+    c = changes(spark, SF_SMALL)
+    for batch_id, rest in ((0, 0), (1, 1), (1, 1), (0, 0)):
+        sink(c.filter(F.col("sequence") % 2 == rest), batch_id)
+    sink(c.limit(0), 2)
+    assert spark.read.parquet(out).count() == c.count()

@@ -35,25 +35,34 @@ def explode_hits(responses: DataFrame, body: str = "body", keep: tuple = ()) ->
     return ok.unionByName(bad)
 
 
-def normalise_hits(hits: DataFrame, hit: str = "hit", keep: tuple = ()) -> DataFrame:
-    """Hit -> envelope columns.
+def decode_hits(hits: DataFrame, hit: str = "hit", keep: tuple = ()) -> DataFrame:
+    """Hit -> envelope columns and a ``reason``, set where the hit can't be taken.
 
     Missing ``_index`` / ``_id`` become ``unknown``; a hit without ``_seq_no`` is
     dropped; ``_primary_term`` defaults to 1; the operation is always ``index``
-    and the version is the sequence.
+    and the version is the sequence.  A sequence or term above 2^63 - 1 gives a
+    ``bad_sequence`` row with the hit's text, as ``codec.decode`` does.
     """
     h = F.from_json(col(hit), HIT_SCHEMA)
-    p = hits.select(*keep, h.alias("_h")).filter(F.col("_h._seq_no").isNotNull())
-    seq = F.col("_h._seq_no").try_cast("bigint")
+    p = hits.select(*keep, h.alias("_h"), col(hit).alias("_hit")).filter(F.col("_h._seq_no").isNotNull())
+    seq, term = F.col("_h._seq_no").try_cast("bigint"), F.col("_h._primary_term").try_cast("bigint")
+    bad = seq.isNull() | (F.col("_h._primary_term").isNotNull() & term.isNull())
     return p.select(
         *keep,
         seq.alias("sequence"),
         F.lit("index").alias("operation"),
         F.coalesce(F.col("_h._index"), F.lit(UNKNOWN)).alias("index"),
         F.coalesce(F.col("_h._id"), F.lit(UNKNOWN)).alias("doc_id"),
-        F.coalesce(F.col("_h._primary_term").try_cast("bigint"), F.lit(DEFAULT_PRIMARY_TERM)).alias("primary_term"),
+        F.coalesce(term, F.lit(DEFAULT_PRIMARY_TERM)).alias("primary_term"),
         seq.alias("version"),
-        F.col("_h._source").alias("source"))
+        F.col("_h._source").alias("source"),
+        F.when(bad, F.lit("bad_sequence")).alias("reason"),
+        F.when(bad, F.col("_hit")).alias("payload"))
+
+
+def normalise_hits(hits: DataFrame, hit: str = "hit", keep: tuple = ()) -> DataFrame:
+    """The hits that can be taken, as envelope columns (``decode_hits`` has the others)."""
+    return decode_hits(hits, hit, keep).filter(F.col("reason").isNull()).drop("reason", "payload")
 
 
 def hit_json(seq="sequence", index="index", doc_id="doc_id", primary_term="primary_term",

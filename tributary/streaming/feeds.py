@@ -87,6 +87,14 @@ def _write_batch(df: DataFrame, path: str, batch_id: int, *partitions: str) -> N
     df.write.mode("overwrite").partitionBy(*partitions).parquet(f"{path}/batch_id={batch_id}")
 
 
+def consume_batch(path: str, *columns: str):
+    """A batch consumer; hands on non-empty batches, each in the folder of its id."""
+    def _sink(batch: DataFrame, batch_id: int) -> None:
+        if not batch.isEmpty():
+            _write_batch(batch.select(*columns), path, batch_id)
+    return _sink
+
+
 def publish_batch(log_path: str, counts_path: str | None = None, tenant: str = "default"):
     """K2 / K5: one micro-batch = one folder per sink, named by its batch id.
 

@@ -9,7 +9,7 @@ from tributary.fixtures import changes, responses_from_changes, hits_from_change
 from tributary.functions import codec, jsonpath
 from tributary.functions import envelope as env
 from tributary.operators.transform import apply_transform, identity, rename_fields
-from tributary.sources.search import explode_hits, normalise_hits
+from tributary.sources.search import decode_hits, explode_hits, hit_json, normalise_hits
 from tributary.workloads.registry import register
 
 _H = "md5(concat(index, '#', doc_id, '#', CAST(sequence AS VARCHAR(20))))"
@@ -221,3 +221,22 @@ def s5_explode_hits(spark, sf_dir):
     hits = explode_hits(responses_from_changes(changes(spark, sf_dir)), keep=("page",))
     return hits.groupBy("page", "reason").agg(F.count("hit").alias("n")).select(
         "page", F.when(F.col("reason").isNull(), F.col("n")).alias("n_hits"), "reason")
+
+
+@register("s4_hit_reasons", """
+SELECT sequence % 41 = 0 AS planted, CASE WHEN sequence % 41 = 0 THEN 'bad_sequence' END AS reason, CAST(count(*) AS BIGINT) AS n,
+  CAST(count(CASE WHEN sequence % 41 <> 0 THEN sequence END) AS BIGINT) AS n_sequences,
+  min(CASE WHEN sequence % 41 = 0 THEN sequence::HUGEINT + 9223372036854775808 END)::VARCHAR AS first_seq_no
+FROM changes GROUP BY 1, 2""")
+def s4_hit_reasons(spark, sf_dir):
+    """Hits whose sequence number needs the 64th bit are told apart, not lost."""
+    seq = F.col("sequence").cast("decimal(20,0)")
+    planted = F.col("sequence") % 41 == 0
+    hits = changes(spark, sf_dir).select(
+        "sequence", planted.alias("planted"),
+        hit_json(seq=F.when(planted, seq + F.lit(str(2 ** 63)).cast("decimal(20,0)")).otherwise(seq).cast("decimal(20,0)"),
+                                              primary_term=F.lit(1)).alias("hit"))
+    d = decode_hits(hits, keep=("planted",))
+    number = F.regexp_extract("payload", '"_seq_no":([0-9]+)', 1).cast("decimal(20,0)")
+    return d.groupBy("planted", "reason").agg(F.count(F.lit(1)).alias("n"), F.count("sequence").alias("n_sequences"),
+                                              F.min(number).cast("string").alias("first_seq_no"))

@@ -10,9 +10,11 @@ from pyspark.sql import functions as F
 from tributary.fixtures import changes, wire_from_changes
 from tributary.functions import codec
 from tributary.functions import envelope as env
+from tributary.operators import batching as bt
 from tributary.session import scratch_path
-from tributary.streaming import feeds
+from tributary.streaming import batcher, feeds
 from tributary.workloads.registry import register
+from tributary.workloads.writing import W2_SQL
 
 _H = "md5(concat(index, '#', doc_id, '#', CAST(sequence AS VARCHAR(20))))"
 _UUID = "concat(substr(h, 1, 8), '-', substr(h, 9, 4), '-', substr(h, 13, 4), '-', substr(h, 17, 4), '-', substr(h, 21, 12))"
@@ -34,11 +36,7 @@ def s6_stream_consume(spark, sf_dir):
 SELECT CAST(count(*) AS BIGINT) AS n, min(sequence) AS first_seq, max(sequence) AS last_seq FROM changes""")
 def s7_batch_consume(spark, sf_dir):
     out = scratch_path(spark, "streams/s7")
-
-    def sink(batch, batch_id):
-        if not batch.isEmpty():   # only non-empty batches are handed on
-            batch.select("sequence", F.lit(batch_id).alias("batch_id")).write.mode("append").parquet(out)
-    feeds.run(feeds.changes_stream(spark, sf_dir), foreach_batch=sink, name="s7")
+    feeds.run(feeds.changes_stream(spark, sf_dir), foreach_batch=feeds.consume_batch(out, "sequence"), name="s7")
     return spark.read.parquet(out).agg(F.count(F.lit(1)).alias("n"), F.min("sequence").alias("first_seq"),
                                        F.max("sequence").alias("last_seq"))
 
@@ -108,6 +106,23 @@ def t13_stream_metrics(spark, sf_dir):
     return feeds.latest_updates(spark.read.parquet(out), ("window_start", "index"))
 
 
+@register("w2_stream", W2_SQL)
+def w2_stream(spark, sf_dir):
+    """A writer's buffer over five micro-batches, stopped and restarted after the third."""
+    src, out, ckpt = scratch_path(spark, "streams/w2src"), scratch_path(spark, "streams/w2"), scratch_path(spark, "checkpoints/w2")
+    c = changes(spark, sf_dir)
+    top = c.agg(F.coalesce(F.max("sequence"), F.lit(0)) + 1).scalar()
+    part = F.floor(F.col("sequence") * 5 / top)
+    for i in range(5):                        # the feed in order of sequence, a file each
+        c.filter(part == i).coalesce(1).write.mode("append").parquet(src)
+        if i in (2, 4):
+            stream = spark.readStream.schema(c.schema).option("maxFilesPerTrigger", 1).parquet(src)
+            feeds.run(batcher.batch_stream(stream, F.col("source"), bt.sequence_lane(4), 4096, 9, 86_400_000),
+                      path=out, checkpoint=ckpt, name="w2")
+    return spark.read.parquet(out).unionByName(batcher.open_batches(spark, ckpt)).select(
+        "sequence", "lane", "tick", "batch_no", "batch_pos")
+
+
 _SPEC_A = {"version": 1, "mode": "all", "filters": [{"type": "operation", "exclude": ["delete"]}]}
 _SPEC_B = {"version": 2, "mode": "all", "filters": [{"type": "index", "include_patterns": ["temp_*"]}]}
 

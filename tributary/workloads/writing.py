@@ -12,6 +12,7 @@ from tributary.functions import errors as err
 from tributary.operators import batching as bt
 from tributary.operators import dlq as dq
 from tributary.operators import metrics as mx
+from tributary.operators.cutting import batch_lanes_by_bytes
 from tributary.session import scratch_path
 from tributary.sinks import bulk
 from tributary.workloads.registry import register
@@ -44,7 +45,7 @@ def w1_batch_count_tick(spark, sf_dir):
     return b.select("sequence", "lane", "tick", "batch_no")
 
 
-_W2_SQL = f"""
+W2_SQL = f"""
 WITH RECURSIVE s AS (
   SELECT sequence, CAST(sequence % 4 AS INTEGER) AS lane, epoch_us(timestamp) // 86400000000 AS tick, {_SIZE_SQL} AS size,
     row_number() OVER (PARTITION BY sequence % 4, epoch_us(timestamp) // 86400000000 ORDER BY sequence) AS rn
@@ -62,7 +63,7 @@ r AS (
 SELECT sequence, lane, tick, batch_no, CAST(batch_pos AS INTEGER) AS batch_pos FROM r"""
 
 
-@register("w2_batch_bytes", _W2_SQL)
+@register("w2_batch_bytes", W2_SQL)
 def w2_batch_bytes(spark, sf_dir):
     """W2 with a flush at midnight: the groups are a lane's days."""
     b = bt.batch_by_bytes(changes(spark, sf_dir), max_bytes=4096, max_count=9,
@@ -70,6 +71,24 @@ def w2_batch_bytes(spark, sf_dir):
     return b.select("sequence", "lane", "tick", "batch_no", "batch_pos")
 
 
+@register("w2_parallel", f"""
+WITH RECURSIVE s AS (
+  SELECT sequence, {_SIZE_SQL} AS size, row_number() OVER (ORDER BY sequence, index, doc_id) AS rn FROM changes),
+r AS (
+  SELECT rn, sequence, CAST(0 AS BIGINT) AS batch_no, CAST(0 AS BIGINT) AS batch_pos, CAST(size AS BIGINT) AS acc FROM s WHERE rn = 1
+  UNION ALL
+  SELECT s.rn, s.sequence,
+    CASE WHEN r.acc >= 4096 OR r.batch_pos >= 24 THEN r.batch_no + 1 ELSE r.batch_no END,
+    CASE WHEN r.acc >= 4096 OR r.batch_pos >= 24 THEN 0 ELSE r.batch_pos + 1 END,
+    CASE WHEN r.acc >= 4096 OR r.batch_pos >= 24 THEN s.size ELSE r.acc + s.size END
+  FROM r JOIN s ON s.rn = r.rn + 1)
+SELECT sequence, 0 AS lane, batch_no, CAST(batch_pos AS INTEGER) AS batch_pos FROM r""")
+def w2_parallel(spark, sf_dir):
+    """W2 with one lane and no tick: the whole feed is one chain of batches."""
+    b = batch_lanes_by_bytes(changes(spark, sf_dir), max_bytes=4096, max_count=25, bucket_width=1 << 14)
+    return b.select("sequence", "lane", "batch_no", "batch_pos")
+
+
 @register("w3_batch_tick", f"""
 SELECT epoch_us(timestamp) // 100000 AS tick, CAST(count(*) AS BIGINT) AS len,
   CAST(sum({_SIZE_SQL}) AS BIGINT) AS size_bytes
