@@ -52,17 +52,37 @@ def staged(df: DataFrame, kind: str) -> DataFrame:
     df.write.parquet(path)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     out._staged_path = path
+    _LIVE[path] = df.sparkSession
     return out
 
 
+#: Paths that ``staged`` wrote and nothing has dropped, oldest first.
+_LIVE: dict[str, SparkSession] = {}
+
+
 def drop_staged(*frames: DataFrame) -> None:
     """Delete what ``staged`` wrote, once nothing reads it any more."""
     for df in frames:
-        path = getattr(df, "_staged_path", None)
-        if path:
-            jvm, conf = df.sparkSession._jvm, df.sparkSession._jsc.hadoopConfiguration()
-            p = jvm.org.apache.hadoop.fs.Path(path)
-            p.getFileSystem(conf).delete(p, True)
+        _drop(getattr(df, "_staged_path", None))
+
+
+def live_copies() -> set[str]:
+    """What ``staged`` wrote and nothing has dropped yet."""
+    return set(_LIVE)
+
+
+def drop_copies_since(before: set[str], *keep: DataFrame) -> None:
+    """Delete the copies written since ``before``, but for those of ``keep``."""
+    kept = {getattr(df, "_staged_path", None) for df in keep}
+    for path in [p for p in _LIVE if p not in before and p not in kept]:
+        _drop(path)
+
+
+def _drop(path: str | None) -> None:
+    spark = _LIVE.pop(path, None)
+    if spark is not None:
+        p = spark._jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
 def join_counted(left: DataFrame, right: DataFrame, key: list[str], n: str) -> DataFrame:

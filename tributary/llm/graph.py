@@ -25,8 +25,10 @@ def components(links: DataFrame) -> DataFrame:
         nxt = staged(_small_star(_large_star(now)), "links")
         drop_staged(now)
         now = nxt
-    return now.select(F.col("a").alias("id"), F.col("b").alias("component")).unionByName(
+    out = now.select(F.col("a").alias("id"), F.col("b").alias("component")).unionByName(
         now.select(F.col("b").alias("id"), F.col("b").alias("component")).distinct())
+    out._staged_path = now._staged_path              # so that drop_staged(out) removes the last round's copy
+    return out
 
 
 def _stars(links: DataFrame) -> bool:

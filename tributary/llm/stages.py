@@ -38,10 +38,11 @@ def one_of_each_group(spark, docs, sf_dir):
     """N-gram Jaccard join: of each group of linked documents the one with the smallest id stays.
 
     Near copies share four fifths of their five-word shingles (``op3`` itself asks for 90% of three-word ones).
-    Rows that repeat an id are the same document; one of them stays.  Rows without an id stay.
+    Rows that repeat an id and its text are the same document; one of them stays.  Different texts under one id
+    are parts of one document; they stay or go together.  Rows without an id stay.
     """
     found = ngram_join.jaccard_components(docs.select("doc_id", "text"), NEAR_WORDS, NEAR_THRESHOLD).where("doc_id = component_id")
-    kept = docs.join(found.select("doc_id").distinct(), "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    kept = docs.join(found.select("doc_id").distinct(), "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
     return kept.unionByName(docs.where("doc_id is null")).select(*docs.columns)
 
 
