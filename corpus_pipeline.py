@@ -3,7 +3,8 @@
 ``STAGES`` lists ``(name, function)``; each function takes ``(spark, docs, sf_dir)``
 and returns the columns of ``documents`` (the last: the encoded documents).
 ``run`` writes every stage's rows in the shared folder and reads them back as the
-next one's input.
+next one's input; what a stage wrote on the way, and the rows of the stage before,
+go once its own are written.
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ import sys
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from tributary.llm import stages  # noqa: E402
-from tributary.llm.common import staged, table  # noqa: E402
+from tributary.llm.common import drop_copies_since, drop_staged, live_copies, staged, table  # noqa: E402
 from tributary.session import ship_package  # noqa: E402
 
 STAGES = [
@@ -34,5 +35,8 @@ def run(spark, sf_dir):
     ship_package(spark)
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        docs = staged(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        before, given = live_copies(), docs
+        docs = staged(stage(spark, given, sf_dir), f"pipeline-{name}")
+        drop_copies_since(before, docs)
+        drop_staged(given)
     return docs
