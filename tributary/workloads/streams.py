@@ -12,6 +12,7 @@ from tributary.functions import codec
 from tributary.functions import envelope as env
 from tributary.operators import batching as bt
 from tributary.session import scratch_path
+from tributary.sources import change_log
 from tributary.streaming import batcher, feeds
 from tributary.workloads.registry import register
 from tributary.workloads.writing import W2_SQL
@@ -123,6 +124,53 @@ def w2_stream(spark, sf_dir):
         "sequence", "lane", "tick", "batch_no", "batch_pos")
 
 
+_LOG_COLUMNS = ("sequence", "index", "doc_id", "operation")
+
+
+def _drain(stream, path, checkpoint):
+    """Run until the source has no more, over as many micro-batches as its limit makes, and stop."""
+    q = stream.writeStream.format(change_log.FORMAT).option("checkpointLocation", checkpoint).trigger(
+        processingTime="0 seconds").start(path)
+    q.processAllAvailable()
+    q.stop()
+
+
+@register("t1_log_resume", """
+SELECT sequence, index, doc_id, operation, false AS sought FROM changes
+UNION ALL SELECT sequence, index, doc_id, operation, true FROM changes WHERE sequence > (SELECT max(sequence) // 2 FROM changes)""")
+def t1_log_resume(spark, sf_dir):
+    """A log read by sequence in limited micro-batches, stopped, extended and resumed; then read again from its middle."""
+    change_log.register(spark)
+    log, out, ckpt = (scratch_path(spark, f"streams/log{n}") for n in ("src", "out", "ckpt"))
+    c = changes(spark, sf_dir).select(*_LOG_COLUMNS)
+    top = c.agg(F.coalesce(F.max("sequence"), F.lit(0))).scalar()
+    part = F.floor(F.col("sequence") * 4 / (top + 1))
+    for i in range(4):
+        for _ in range(1 + i % 2):            # odd epochs are written twice
+            c.filter(part == i).write.format(change_log.FORMAT).options(epoch=f"part{i}", rows_per_mark=1000).mode("append").save(log)
+        if i in (1, 3):
+            _drain(spark.readStream.format(change_log.FORMAT).option("rows_per_batch", 5000).load(log), out, ckpt)
+    resumed = spark.read.format(change_log.FORMAT).load(out)
+    middle = c.agg(F.floor(F.coalesce(F.max("sequence"), F.lit(0)) / 2)).first()[0]
+    sought = spark.read.format(change_log.FORMAT).option("start", middle).load(log)
+    return resumed.withColumn("sought", F.lit(False)).unionByName(sought.withColumn("sought", F.lit(True)))
+
+
+@register("k1_log_sink", f"""
+SELECT {_SUBJ} AS subject, CAST(count(*) AS BIGINT) AS published, min(sequence) AS first_seq, max(sequence) AS last_seq
+FROM changes GROUP BY 1""")
+def k1_log_sink(spark, sf_dir):
+    """Envelopes published by a stream into a log; what isn't committed, or was before, adds nothing."""
+    change_log.register(spark)
+    log, ckpt = scratch_path(spark, "streams/k1log"), scratch_path(spark, "checkpoints/k1log")
+    s = feeds.changes_stream(spark, sf_dir).select(env.subject("acme").alias("subject"), "sequence", "index", "operation")
+    for _ in range(2):                        # the second run finds its epochs committed
+        q = s.writeStream.format(change_log.FORMAT).option("checkpointLocation", ckpt).trigger(availableNow=True).start(log)
+        q.awaitTermination()
+    return spark.read.format(change_log.FORMAT).load(log).groupBy("subject").agg(
+        F.count(F.lit(1)).alias("published"), F.min("sequence").alias("first_seq"), F.max("sequence").alias("last_seq"))
+
+
 _SPEC_A = {"version": 1, "mode": "all", "filters": [{"type": "operation", "exclude": ["delete"]}]}
 _SPEC_B = {"version": 2, "mode": "all", "filters": [{"type": "index", "include_patterns": ["temp_*"]}]}
 
