@@ -144,6 +144,23 @@ def s8_subject_subscribe(spark, sf_dir):
     return flt.apply_chain(changes(spark, sf_dir), chain).select("sequence", sub.subject_col().alias("subject"))
 
 
+@register("s8_many_subscriptions", """
+SELECT sequence, p.pattern FROM (SELECT *, replace(index, '-', '_') AS i FROM changes) c,
+  LATERAL (SELECT unnest([concat('es.acme.', i, '.*.', doc_id), concat('es.acme.', i, '.>'), '>', '*.acme.*.*.*',
+    CASE WHEN operation = 'delete' THEN concat('es.*.*.delete.', doc_id) END]) AS pattern) p
+WHERE p.pattern IS NOT NULL""")
+def s8_many_subscriptions(spark, sf_dir):
+    """A subscription per document and index, per document's deletes, and wide ones, matched together."""
+    from tributary.operators.subscriptions import subscribe
+    c = changes(spark, sf_dir)
+    token = env.subject_index_token()
+    own = c.select(F.explode(F.array(
+        F.concat(F.lit("es.acme."), token, F.lit(".*."), "doc_id"), F.concat(F.lit("es.*.*.delete."), "doc_id"),
+        F.concat(F.lit("es.acme."), token, F.lit(".>")))).alias("pattern")).distinct()
+    wide = spark.createDataFrame([(p,) for p in (">", "*.acme.*.*.*", "es.acme.*.*", "es.acme.app_*.index.>", "acme.>")], "pattern string")
+    return subscribe(c, own.unionByName(wide), F.concat(env.subject("acme"), F.lit("."), "doc_id")).select("sequence", "pattern")
+
+
 _W4_SQL = """SELECT index, doc_id, sequence, operation, source FROM (
   SELECT *, row_number() OVER (PARTITION BY index, doc_id ORDER BY sequence DESC) AS rn FROM changes) t
   WHERE rn = 1 AND operation <> 'delete'"""

@@ -13,7 +13,7 @@ from tributary.functions import envelope as env
 from tributary.operators import batching as bt
 from tributary.session import scratch_path
 from tributary.sources import change_log
-from tributary.streaming import batcher, feeds
+from tributary.streaming import batcher, feeds, lateness
 from tributary.workloads.registry import register
 from tributary.workloads.writing import W2_SQL
 
@@ -124,6 +124,35 @@ def w2_stream(spark, sf_dir):
         "sequence", "lane", "tick", "batch_no", "batch_pos")
 
 
+_LATE_TS = "CASE WHEN sequence % 50 = 7 THEN timestamp - INTERVAL 3 DAY ELSE timestamp END"
+
+
+@register("t13_late_rows", f"""
+WITH RECURSIVE r AS (SELECT sequence, index, sequence % 4 AS lane, epoch_us({_LATE_TS}) AS us FROM changes),
+m AS (SELECT *, us // 3600000000 * 3600000000 AS w,
+        max(us) OVER (PARTITION BY index, lane ORDER BY sequence ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS clock FROM r),
+l AS (SELECT *, coalesce(w + 7200000000 <= clock, false) AS late FROM m)
+SELECT index, w AS window_us, late, CAST(count(*) AS BIGINT) AS n,
+  CAST(CASE WHEN late THEN max(clock - (w + 7200000000)) END AS BIGINT) AS most_late_us
+FROM l GROUP BY index, w, late""")
+def t13_late_rows(spark, sf_dir):
+    """Hourly counts over three micro-batches with rows three days behind: none is lost."""
+    src, counts, late, ckpt = (scratch_path(spark, f"streams/late{n}") for n in ("src", "counts", "rows", "ckpt"))
+    c = changes(spark, sf_dir)
+    c = c.withColumn("timestamp", F.when(F.col("sequence") % 50 == 7, F.col("timestamp") - F.expr("INTERVAL 3 DAYS")).otherwise(F.col("timestamp")))
+    top = c.agg(F.coalesce(F.max("sequence"), F.lit(0)) + 1).scalar()
+    for i in range(3):
+        c.filter(F.floor(F.col("sequence") * 3 / top) == i).coalesce(1).write.mode("append").parquet(src)
+    stream = spark.readStream.schema(c.schema).option("maxFilesPerTrigger", 1).parquet(src)
+    feeds.run(lateness.counted(stream, 3_600_000, 3_600_000), foreach_batch=lateness.split_sink(counts, late),
+              checkpoint=ckpt, output_mode="update", name="late")
+    n = lateness.current_counts(spark.read.parquet(counts)).select(
+        "index", "window_us", F.lit(False).alias("late"), "n", F.lit(None).cast("bigint").alias("most_late_us"))
+    behind = lateness.late_rows(spark.read.parquet(late)).groupBy("index", "window_us").agg(
+        F.count(F.lit(1)).alias("n"), F.max("late_us").alias("most_late_us"))
+    return n.unionByName(behind.withColumn("late", F.lit(True)))
+
+
 _LOG_COLUMNS = ("sequence", "index", "doc_id", "operation")
 
 
