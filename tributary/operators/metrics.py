@@ -94,6 +94,29 @@ def latency_histogram(df: DataFrame, seconds: Column, by: Sequence[str] = (),
         *own, *tops, "b.le", "b.bucket_count")
 
 
+#: Size parameter of the quantile sketches and the rank error it stands for (99% confidence, published for KLL).
+SKETCH_K, RANK_ERROR = 800, 0.005
+
+
+def latency_sketches(df: DataFrame, value: Column, window: str = "1 minute", by: Sequence[str] = (), ts: str = "timestamp") -> DataFrame:
+    """One mergeable quantile sketch of whole-number values per window and labels."""
+    at = F.window(F.col(ts).cast("timestamp"), window)["start"].cast("timestamp_ntz")
+    return df.groupBy(at.alias("window_start"), *by).agg(
+        F.kll_sketch_agg_bigint(value.cast("bigint"), SKETCH_K).alias("sketch"))
+
+
+def roll_up(sketches: DataFrame, unit: str, by: Sequence[str] = ()) -> DataFrame:
+    """Sketches of longer windows from those of shorter ones; no row is read again."""
+    return sketches.groupBy(F.date_trunc(unit, "window_start").cast("timestamp_ntz").alias("window_start"), *by).agg(
+        F.kll_merge_agg_bigint("sketch", SKETCH_K).alias("sketch"))
+
+
+def sketch_quantiles(sketches: DataFrame, quantiles: Sequence[float] = (0.5, 0.99)) -> DataFrame:
+    """Count and quantiles (``p50``, ``p99``) of each sketch, within ``RANK_ERROR`` of the rank."""
+    return sketches.select(*[c for c in sketches.columns if c != "sketch"], F.kll_sketch_get_n_bigint("sketch").alias("count"),
+                           *[F.kll_sketch_get_quantile_bigint("sketch", F.lit(q)).alias(f"p{round(q * 100)}") for q in quantiles])
+
+
 def docs_indexed_failed(attempts: DataFrame, component: str, status: str = "status") -> DataFrame:
     """Documents indexed / failed by component and index."""
     ok = F.col(status).between(200, 299)

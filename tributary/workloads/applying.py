@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 from tributary.fixtures import changes
 from tributary.functions import jsonpath
+from tributary.operators import digests
 from tributary.operators.apply import KeyedTable, apply_changes, latest_per_key, reconcile
+from tributary.session import scratch_path
 from tributary.workloads.registry import register
 
 
@@ -95,6 +97,28 @@ def j5_reconcile(spark, sf_dir):
     return rec.groupBy("category").agg(F.count(F.lit(1)).alias("n"))
 
 
+@register("j5_digest_reconcile", f"""
+SELECT CASE WHEN doc_id LIKE '%77' THEN 'missing' WHEN doc_id LIKE '%5' AND sequence % 50 = 1 THEN 'stale'
+            WHEN doc_id LIKE '%8' AND sequence % 60 = 2 THEN 'different' ELSE 'equal' END AS category, CAST(count(*) AS BIGINT) AS n
+FROM ({_W4_SQL}) s GROUP BY 1
+UNION ALL SELECT 'extra', CAST(count(*) AS BIGINT) FROM ({_W4_SQL}) s WHERE sequence % 100 = 4 HAVING count(*) > 0""")
+def j5_digest_reconcile(spark, sf_dir):
+    """A copy of the latest state with planted differences, compared by digests of key ranges."""
+    state = latest_per_key(changes(spark, sf_dir)).select("index", "doc_id", "sequence", "source")
+    seq, doc = F.col("sequence"), F.col("doc_id")
+    stale, other = doc.endswith("5") & (seq % 50 == 1), doc.endswith("8") & (seq % 60 == 2)
+    copy = state.filter(~doc.endswith("77")).select(
+        "index", "doc_id", F.when(stale, seq - 1).otherwise(seq).alias("sequence"), F.when(other, F.lit("{}")).otherwise(F.col("source")).alias("source"))
+    extra = state.filter(seq % 100 == 4).select("index", F.concat(F.lit("not-"), "doc_id").alias("doc_id"), "sequence", "source")
+    ours, theirs = scratch_path(spark, "digests/ours"), scratch_path(spark, "digests/theirs")
+    digests.write_digested(state, theirs)
+    digests.write_digested(copy.unionByName(extra), ours)
+    compared, equal = digests.reconcile_digested(spark, ours, theirs)
+    counts = compared.groupBy("category").agg(F.count(F.lit(1)).alias("n"))
+    return counts.unionByName(equal.select(F.lit("equal").alias("category"), "n")).groupBy("category").agg(
+        F.sum("n").alias("n")).filter("n > 0")
+
+
 @register("k6_bulk_apply", _FOLD_SQL)
 def k6_bulk_apply(spark, sf_dir):
     """Four batches by sequence range, the second also late and again, with a compaction between."""

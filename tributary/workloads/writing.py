@@ -341,6 +341,28 @@ def a7_latency_buckets(spark, sf_dir):
                     F.round("p99", 6).alias("p99"), "le", "bucket_count")
 
 
+@register("a7_sketch_rollup", """
+SELECT date_trunc('day', timestamp) AS window_start, index, CAST(count(*) AS BIGINT) AS count,
+  true AS p50_within, true AS p90_within, true AS p99_within
+FROM attempts GROUP BY 1, 2""")
+def a7_sketch_rollup(spark, sf_dir):
+    """Minute sketches kept as a table, rolled up to hours and days; each quantile's rank against the rows themselves."""
+    a, tops = attempts(spark, sf_dir), (0.5, 0.9, 0.99)
+    minutes = scratch_path(spark, "sketches/minutes")
+    mx.latency_sketches(a, F.col("duration_ms"), by=("index",)).write.parquet(minutes)
+    days = mx.roll_up(mx.roll_up(spark.read.parquet(minutes), "hour", ("index",)), "day", ("index",))
+    found = mx.sketch_quantiles(days, tops)
+    rows = a.select(F.date_trunc("day", "timestamp").cast("timestamp_ntz").alias("window_start"), "index", "duration_ms")
+    met = rows.join(found, ["window_start", "index"])
+    within = []
+    for q in tops:
+        p = f"p{round(q * 100)}"
+        below, upto = F.count_if(F.col("duration_ms") < F.col(p)), F.count_if(F.col("duration_ms") <= F.col(p))
+        n = F.count(F.lit(1))
+        within.append(((below / n <= q + mx.RANK_ERROR) & (upto / n >= q - mx.RANK_ERROR)).alias(f"{p}_within"))
+    return met.groupBy("window_start", "index").agg(F.max("count").alias("count"), *within)
+
+
 @register("a8_docs_indexed_failed", """
 SELECT 'writer' AS component, index, CAST(count_if(status BETWEEN 200 AND 299) AS BIGINT) AS docs_indexed,
   CAST(count_if(status NOT BETWEEN 200 AND 299) AS BIGINT) AS docs_failed
