@@ -10,6 +10,7 @@ from tributary.functions import jsonpath
 from tributary.operators import digests
 from tributary.operators.apply import KeyedTable, apply_changes, latest_per_key, reconcile
 from tributary.session import scratch_path
+from tributary.streaming import feeds, live
 from tributary.workloads.registry import register
 
 
@@ -191,6 +192,18 @@ def w5_partial_fold_deep(spark, sf_dir):
     return apply_changes(nested_changes(spark, sf_dir)).select("index", "doc_id", "sequence", "source")
 
 
+@register("w5_live", _NESTED_FOLD_SQL, ctes=_NESTED)
+def w5_live(spark, sf_dir):
+    """W5 as a stream: three micro-batches in no order of sequence; the last emission of each document is its state."""
+    src, out, ckpt = (scratch_path(spark, f"streams/live{n}") for n in ("src", "out", "ckpt"))
+    c = nested_changes(spark, sf_dir)
+    for rest in (1, 0, 2):
+        c.filter(F.pmod(F.xxhash64("sequence"), F.lit(3)) == rest).coalesce(1).write.mode("append").parquet(src)
+    stream = spark.readStream.schema(c.schema).option("maxFilesPerTrigger", 1).parquet(src)
+    feeds.run(live.live_documents(stream), foreach_batch=feeds.append_updates(out), checkpoint=ckpt, output_mode="update", name="live")
+    return live.current_documents(spark.read.parquet(out))
+
+
 @register("j2_late_partials", _NESTED_FOLD_SQL, ctes=_NESTED)
 def j2_late_partials(spark, sf_dir):
     """J2 with batches out of order: the odd sequences first, then the even ones."""
