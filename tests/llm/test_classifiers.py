@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tributary.llm import quality, toxicity
-from tributary.llm.linear import fit_logistic, sigmoid
+from tributary.llm.linear import fit_logistic, fit_scaled, sigmoid
 from tributary.llm.queries import QUERIES
 from helpers import docs_frame, odd_rows
 
@@ -22,15 +22,76 @@ def test_logistic_fit_finds_the_weights():
 
 
 def test_ngrams_stay_within_their_text():
-    from tributary.llm.common import Rolling
-    roll = Rolling(8)
-    texts = [b"abcdefgh", b"", b"ab", b"cdefgabcd"]
-    doc, bucket = toxicity.buckets(texts, roll)
-    alone = [sorted(toxicity.buckets([t], roll)[1].tolist()) for t in texts]
-    assert [sorted(bucket[doc == i].tolist()) for i in range(4)] == alone
-    assert [len(a) for a in alone] == [5 + 4, 0, 0, 6 + 5]
+    texts = ["abcdefgh", "", "ab", "cdefgabcd", "日本語の文", "éééé"]
+    doc, bucket = toxicity.buckets(texts)
+    alone = [sorted(toxicity.buckets([t])[1].tolist()) for t in texts]
+    assert [sorted(bucket[doc == i].tolist()) for i in range(6)] == alone
+    assert [len(a) for a in alone] == [5 + 4, 0, 0, 6 + 5, 2 + 1, 1]      # characters, not bytes
     assert len(set(alone[0]) & set(alone[3])) == 4          # abcd, cdef, defg and cdefg
 
+
+def test_toxicity_agrees_with_the_rule_written_out(spark):
+    """Log-count ratios and scores worked out document by document."""
+    rng = np.random.default_rng(5)
+    words = ["the", "quick", "idiot", "Fox", "größe", "jumps", "scum", "over"]
+    texts = [" ".join(rng.choice(words, rng.integers(1, 9))) for _ in range(60)]
+    toxic = [int("idiot" in t or "scum" in t) for t in texts]
+    df = docs_frame(spark, [(i, t, "en", "s") for i, t in enumerate(texts)])
+    labels = spark.createDataFrame([(i, 1, y) for i, y in enumerate(toxic[:40])], "doc_id long, quality int, toxic int")
+    got = {r["doc_id"]: r["score"] for r in toxicity.score_documents(df, labels, F.lit(True)).collect()}
+    def one(g):
+        """The bucket of one n-gram: what its text has beyond the shorter n-grams in it."""
+        own = set(toxicity.buckets([g])[1].tolist())
+        return own if len(g) == 4 else own - one(g[:4]) - one(g[1:])
+    grams = [{x for k in (4, 5) for i in range(len(t) - k + 1) for x in one(t.lower()[i:i + k])} for t in texts]
+    p, q = {}, {}
+    for g, y in zip(grams[:40], toxic):
+        for x in g:
+            (p if y else q)[x] = (p if y else q).get(x, 0) + 1
+    n1, n0, scale = sum(toxic[:40]), 40 - sum(toxic[:40]), np.zeros(toxicity.BUCKETS)
+    for x in p.keys() | q.keys():
+        a, b = p.get(x, 0) + 1, q.get(x, 0) + 1
+        r = np.log(a / (n1 + 2)) - np.log(b / (n0 + 2))
+        z2 = r * r / (1 / a + 1 / b)
+        scale[x] = r * z2 / (z2 + 9)
+    cols = [np.array(sorted(g), np.int32) for g in grams]
+    w, b, slope, offset = toxicity.fit(cols[:40], np.array(toxic[:40], float), scale, n1 / 40)
+    for i, c in enumerate(cols):
+        s = 3 * np.tanh((sum(w[x] for x in c) + b) / 3)
+        assert abs(got[i] - 1 / (1 + np.exp(-(slope * s + offset)))) < 1e-6
+
+
+def test_chunks_of_features_fit_alike():
+    rng = np.random.default_rng(2)
+    cols = [np.unique(rng.integers(0, 50, rng.integers(0, 12))).astype(np.int32) for _ in range(200)]
+    y, scale = rng.integers(0, 2, 200).astype(float), rng.normal(size=50)
+    whole, parts = fit_scaled(cols, y, scale), fit_scaled(cols, y, scale, chunk=37)
+    np.testing.assert_allclose(whole[0], parts[0], atol=1e-9)
+    row, col = np.repeat(np.arange(200), [len(c) for c in cols]), np.concatenate(cols)
+    w, b = fit_logistic(row, col, scale[col], y, 50, ridge=3e-4, rounds=60)
+    np.testing.assert_allclose(whole[0], w * scale, atol=1e-6)
+
+
+@pytest.mark.parametrize("share,insults,least", [(0.5, 120, 0.5), (0.1, 30, 0.6), (0.02, 6, 0.6)])
+def test_rare_insults_are_found_at_any_toxic_share(share, insults, least):
+    """Each insult marks few documents; all features count, none is cut by how many documents have it."""
+    rng = np.random.default_rng(int(share * 100))
+    word = lambda a, b: "".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), rng.integers(a, b)))
+    words, bad = [word(3, 9) for _ in range(800)], [word(6, 10) for _ in range(insults)]
+    y = (rng.random(3000) < share).astype(float)
+    texts = [" ".join([*rng.choice(words, rng.integers(15, 40)), *([rng.choice(bad)] if t else [])]) for t in y]
+    cols = [np.sort(toxicity.buckets([t])[1]).astype(np.int32) for t in texts]
+    train = np.arange(3000) % 3 > 0
+    p, q = (np.bincount(np.concatenate([c for c, k in zip(cols, train & (y == v)) if k]), minlength=toxicity.BUCKETS) + 1 for v in (1, 0))
+    r = np.log(p / (y[train].sum() + 2)) - np.log(q / ((1 - y[train]).sum() + 2))
+    z2 = r * r / (1 / p + 1 / q)
+    scale = np.where((p > 1) | (q > 1), r * z2 / (z2 + toxicity.CERTAIN**2), 0)
+    w, b, slope, offset = toxicity.fit([c for c, t in zip(cols, train) if t], y[train], scale, y[train].mean())
+    s = toxicity.squashed([w[c].sum() + b for c, t in zip(cols, train) if not t])
+    hit = sigmoid(slope * s + offset) >= toxicity.TOXIC_AT
+    assert hit[y[~train] == 1].mean() >= least and y[~train][hit].mean() >= 0.9
+
+
 def test_toxicity_on_held_out_rows(spark):
     got = QUERIES["op8_toxicity"](spark, SF).collect()
     labels = {r["doc_id"]: r for r in spark.read.parquet(f"{SF}/labels.parquet").collect()}
