@@ -48,6 +48,15 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     return spark
 
 
+def stateful(spark: SparkSession) -> SparkSession:
+    """The session with the state store that arbitrary stateful operators need, whoever built it."""
+    key = "spark.sql.streaming.stateStore.providerClass"
+    if not spark.conf.get(key, "").endswith("RocksDBStateStoreProvider"):
+        spark.conf.set(key, SESSION_DEFAULTS[key])
+    ship_package(spark)
+    return spark
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Root of the cluster-shared scratch folder.
 

@@ -26,7 +26,7 @@ from pyspark.sql.streaming import StatefulProcessor
 
 from tributary.functions.envelope import envelope_size
 from tributary.operators.batching import DEFAULT_BATCH_BYTES, DEFAULT_BATCH_SIZE, DEFAULT_TICK_MS, flush_points, tick_of
-from tributary.session import ship_package
+from tributary.session import stateful
 
 _OPEN = "tick bigint, sequence bigint, tie string, size bigint, payload string"
 _OUT = "lane int, tick bigint, batch_no bigint, batch_pos int, sequence bigint, payload string, flushed_by string"
@@ -112,7 +112,7 @@ def batch_stream(stream: DataFrame, payload: Column, lane: Column, max_bytes: in
                  tie: Sequence[str] = ("index", "doc_id")) -> DataFrame:
     """Flushed batches of a stream of changes, one row per change: ``lane``, ``tick``, ``batch_no``,
     ``batch_pos``, ``sequence``, ``payload`` and ``flushed_by`` (``limit`` or ``tick``)."""
-    ship_package(stream.sparkSession)
+    stateful(stream.sparkSession)
     rows = stream.select(lane.cast("int").alias("lane"), tick_of(ts, tick_ms).alias("tick"), F.col(seq).alias("sequence"),
                          _tie(tie).alias("tie"), (envelope_size() if size is None else size).cast("bigint").alias("size"),
                          payload.alias("payload"), F.col(ts).cast("timestamp").alias("at"))
@@ -122,6 +122,7 @@ def batch_stream(stream: DataFrame, payload: Column, lane: Column, max_bytes: in
 
 def open_batches(spark: SparkSession, checkpoint: str) -> DataFrame:
     """The rows a stopped stream has not flushed, as the batches they would be (``flushed_by`` is ``end``)."""
+    stateful(spark)
     read = lambda name: spark.read.format("statestore").option("stateVarName", name).load(checkpoint)
     held = read("open").select("key.lane", "list_element.*")
     flushed = read("flushed").select("key.lane", F.col("user_map_key.tick").alias("tick"), F.col("user_map_value.batches").alias("batch_no"))

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor
 
-from tributary.session import ship_package
+from tributary.session import stateful
 
 _OUT = "kind string, window_us bigint, n bigint, sequence bigint, late_us bigint"
 COUNT, LATE = "count", "late"
@@ -68,7 +68,7 @@ class LateCounter(StatefulProcessor):
 def counted(stream: DataFrame, window_ms: int, delay_ms: int, by: Sequence[str] = ("index",), lanes: int = 4,
             ts: str = "timestamp", seq: str = "sequence") -> DataFrame:
     """Update-mode stream of ``kind`` rows per ``by`` and ``lane``: a changed window's count, or a late row."""
-    ship_package(stream.sparkSession)
+    stateful(stream.sparkSession)
     lane: Column = F.pmod(F.col(seq), F.lit(lanes)).cast("int")
     rows = stream.select(*by, lane.alias("lane"), F.col(seq).alias("sequence"), F.unix_micros(F.col(ts).cast("timestamp")).alias("at"))
     keys = [*by, "lane"]

@@ -22,7 +22,7 @@ from pyspark.sql.streaming import StatefulProcessor
 
 from tributary.operators.apply import KEY, MIN_SEQ
 from tributary.operators.deep_merge import document_of, leaves_of
-from tributary.session import ship_package
+from tributary.session import stateful
 
 _PARTIAL, _DELETE = "partial_update", "delete"
 
@@ -109,7 +109,7 @@ class LiveDocument(StatefulProcessor):
 
 def live_documents(stream: DataFrame, keep_deletes_ms: int | None = None) -> DataFrame:
     """Update-mode stream of ``index, doc_id, sequence, deleted, source``: the documents a micro-batch changed."""
-    ship_package(stream.sparkSession)
+    stateful(stream.sparkSession)
     rows = stream.select(*KEY, "sequence", "operation", "source")
     return rows.groupBy(*KEY).transformWithStateInPandas(
         LiveDocument(keep_deletes_ms), "index string, doc_id string, sequence bigint, deleted boolean, source string",
