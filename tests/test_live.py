@@ -54,3 +54,19 @@ def test_lapsed_tombstones_leave_the_state(spark):
     held = lambda name: spark.read.format("statestore").option("stateVarName", name).load(ckpt).count()
     assert held("gone") == 0 and held("whole") == 1
     assert {(r["doc_id"], r["deleted"]) for r in spark.read.parquet(out).collect()} == {("d", True), ("e", False)}
+
+
+def test_documents_share_groups_of_state(spark):
+    n, big = 3 * live.BUCKETS, 2 ** 53 + 1
+    rows = [(i, "i", f"d{i % n}", "partial_update" if i >= n else "index", json.dumps({"a": {f"k{i // n}": i}})) for i in range(2 * n)]
+    rows += [(big, None, "d", "index", "{}"), (None, "i", "d0", "index", "{}"), (big + 2, "i", None, "delete", None)]
+    src, out, ckpt = (scratch_path(spark, f"t/groups-{k}") for k in ("src", "out", "ckpt"))
+    c = spark.createDataFrame(rows, SCHEMA)
+    for part in (c.filter(F.col("sequence") >= n), c.filter("sequence IS NULL").unionByName(c.filter(F.col("sequence") < n))):
+        part.coalesce(1).write.mode("append").parquet(src)
+    stream = spark.readStream.schema(SCHEMA).option("maxFilesPerTrigger", 1).parquet(src)
+    feeds.run(live.live_documents(stream), foreach_batch=feeds.append_updates(out), checkpoint=ckpt, output_mode="update")
+    state = spark.read.format("statestore").option("stateVarName", "whole").load(ckpt)
+    assert state.count() == n + 1 and state.select("key").distinct().count() <= live.BUCKETS
+    got = {(r["index"], r["doc_id"]): (r["sequence"], r["source"]) for r in live.current_documents(spark.read.parquet(out)).collect()}
+    assert got == {("i", f"d{i}"): (n + i, f'{{"a":{{"k0":{i},"k1":{n + i}}}}}') for i in range(n)} | {(None, "d"): (big, "{}")}

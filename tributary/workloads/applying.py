@@ -197,9 +197,10 @@ def w5_live(spark, sf_dir):
     """W5 as a stream: three micro-batches in no order of sequence; the last emission of each document is its state."""
     src, out, ckpt = (scratch_path(spark, f"streams/live{n}") for n in ("src", "out", "ckpt"))
     c = nested_changes(spark, sf_dir)
+    files = spark.sparkContext.defaultParallelism                        # of a micro-batch
     for rest in (1, 0, 2):
-        c.filter(F.pmod(F.xxhash64("sequence"), F.lit(3)) == rest).coalesce(1).write.mode("append").parquet(src)
-    stream = spark.readStream.schema(c.schema).option("maxFilesPerTrigger", 1).parquet(src)
+        c.filter(F.pmod(F.xxhash64("sequence"), F.lit(3)) == rest).repartition(files).write.mode("append").parquet(src)
+    stream = spark.readStream.schema(c.schema).option("maxFilesPerTrigger", files).parquet(src)
     feeds.run(live.live_documents(stream), foreach_batch=feeds.append_updates(out), checkpoint=ckpt, output_mode="update", name="live")
     return live.current_documents(spark.read.parquet(out))
 
