@@ -109,3 +109,30 @@ def test_an_empty_log_needs_a_schema(spark, log):
     with pytest.raises(Exception, match="schema"):
         load(spark, log).count()
     assert spark.read.format("change_log").schema("sequence long").load(log).count() == 0
+
+
+def test_a_micro_batch_does_not_go_through_the_whole_log_again(spark, log, monkeypatch, tmp_path):
+    class Files(list):
+        passes = 0
+
+        def __iter__(self):
+            Files.passes += 1
+            return super().__iter__()
+
+    c = spark.range(4000).selectExpr("id AS sequence", "'i' AS index")
+    for i in range(4):
+        save(c.filter(f"id % 4 = {i}"), log, f"e{i}", rows_per_mark=10)
+    files = change_log._Files(log).refresh()
+    files.files, Files.passes = Files(files.files), 0
+    at, got = change_log.START, []
+    while (to := files.refresh().upto(at, 60)) > at:
+        got += [(r.after, r.upto) for r in files.ranges(at, to, 30)]
+        at = to
+    assert Files.passes == 0 and at == 3999
+    assert got[0][0] == -1 and got[-1][1] == 3999 and all(a[1] == b[0] for a, b in zip(got, got[1:])) and len(got) > 60
+    w = change_log.LogStreamWriter(c.schema, {"path": str(tmp_path / "log")})
+    for i in range(3):
+        w.commit([], i)
+    monkeypatch.setattr(change_log, "_epochs", lambda path: pytest.fail("a commit lists the log's epochs"))
+    w.commit([], 3)
+    w.commit([], 3)

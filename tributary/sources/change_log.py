@@ -29,6 +29,7 @@ from __future__ import annotations
 
 import json
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 import numpy as np
@@ -47,6 +48,8 @@ FORMAT, SEQUENCE, START = "change_log", "sequence", -1
 #: An epoch's text holds the sequence after every ``rows_per_mark`` rows of a file; a file holds at most about ``FILE_ROWS``.
 MARK, FILE_ROWS = 4096, 1 << 18
 ROWS_PER_TASK = 250_000
+#: Texts of epochs that a reader fetches at a time.
+READERS = 16
 
 
 def register(spark: SparkSession) -> None:
@@ -111,7 +114,7 @@ class _Writer:
 
     def publish(self, messages, epoch: str) -> None:
         fs, root = _open(self.path)
-        if epoch in _epochs(self.path):          # written before: what this attempt wrote is not needed
+        if fs.get_file_info(f"{root}/epochs/{epoch}").type == pafs.FileType.File:          # written before: what this attempt wrote is not needed
             self.discard(messages)
             return
         fs.create_dir(f"{root}/epochs", recursive=True)
@@ -161,40 +164,52 @@ class Range(InputPartition):
 
 
 class _Files:
-    """The committed files of a log; texts of epochs are read once."""
+    """The committed files of a log; texts of epochs are read once, their marks ordered once per new epoch."""
 
     def __init__(self, path: str):
         self.path, self.known, self.files = path, set(), []
+        self._order()
 
     def refresh(self) -> "_Files":
-        for name in _epochs(self.path):
-            if name not in self.known:
-                self.files += _read_epoch(self.path, name)["files"]
-                self.known.add(name)
+        new = [n for n in _epochs(self.path) if n not in self.known]
+        if new:
+            with ThreadPoolExecutor(READERS) as pool:
+                for name, epoch in zip(new, pool.map(lambda n: _read_epoch(self.path, n), new)):
+                    self.files += epoch["files"]
+                    self.known.add(name)
+            self._order()
         return self
 
-    def marks(self, after: int) -> np.ndarray:
-        """Sequences behind ``after`` at which a range may end, with the rows up to each mark, in order."""
-        found = [(m, min(f["step"], f["rows"] - i * f["step"])) for f in self.files if f["marks"][-1] > after
-                 for i, m in enumerate(f["marks"]) if m > after]
-        return np.array(sorted(found), np.int64).reshape(-1, 2)
+    def _order(self) -> None:
+        """Sequences at which a range may end, the rows up to each of them, and where the files begin and end."""
+        found = [(m, min(f["step"], f["rows"] - i * f["step"])) for f in self.files for i, m in enumerate(f["marks"])]
+        marks = np.array(sorted(found), np.int64).reshape(-1, 2)
+        self.ends, self.rows = marks[:, 0], marks[:, 1].cumsum()
+        self.names = [f["name"] for f in self.files]
+        self.low = np.array([f["low"] for f in self.files], np.int64)
+        self.high = np.array([f["marks"][-1] for f in self.files], np.int64)
+
+    def _behind(self, after: int) -> tuple[int, int]:
+        """The first mark behind ``after``, and the rows up to ``after``'s last one."""
+        i = int(np.searchsorted(self.ends, after, "right"))
+        return i, int(self.rows[i - 1]) if i else 0
 
     def upto(self, after: int, rows: int | None) -> int:
         """The last sequence of a batch of about ``rows`` behind ``after`` (``after`` itself if there is none)."""
-        marks = self.marks(after)
-        if not len(marks):
+        i, before = self._behind(after)
+        if i == len(self.ends):
             return after
         if rows is None:
-            return int(marks[-1, 0])
-        return int(marks[min(np.searchsorted(marks[:, 1].cumsum(), rows, "right"), len(marks) - 1), 0])
+            return int(self.ends[-1])
+        return int(self.ends[min(int(np.searchsorted(self.rows, before + rows, "right")), len(self.ends) - 1)])
 
     def ranges(self, after: int, upto: int, rows: int) -> list[Range]:
-        marks = self.marks(after)
-        marks = marks[marks[:, 0] <= upto]
-        cuts, out = [int(m) for m in marks[np.flatnonzero(np.diff(marks[:, 1].cumsum() // rows)), 0]], []
-        edges = sorted({after, upto, *cuts})
+        i, before = self._behind(after)
+        here = slice(i, int(np.searchsorted(self.ends, upto, "right")))
+        cuts = [int(m) for m in self.ends[here][np.flatnonzero(np.diff((self.rows[here] - before) // rows))]]
+        edges, out = sorted({after, upto, *cuts}), []
         for lo, hi in zip(edges, edges[1:]):
-            files = tuple(f["name"] for f in self.files if f["low"] <= hi and f["marks"][-1] > lo)
+            files = tuple(self.names[k] for k in np.flatnonzero((self.low <= hi) & (self.high > lo)))
             if files:
                 out.append(Range(lo, hi, files))
         return out
