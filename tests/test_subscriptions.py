@@ -34,3 +34,27 @@ def test_shared_prefixes_are_shared_nodes(spark):
     p = spark.createDataFrame([(f"es.acme.{i % 3}.u{i}",) for i in range(300)], "pattern string")
     edges, ends = pattern_trie(p)
     assert edges.count() == 2 + 3 + 300 and ends.count() == 300
+
+
+def test_subjects_are_shuffled_where_they_meet_many_edges_only(spark, monkeypatch):
+    from tributary.operators import subscriptions
+    shuffled = []
+
+    def seen(df, kind):
+        if kind == "stage/trie-level":
+            plan = df._jdf.queryExecution().executedPlan().toString()
+            shuffled.append("SortMergeJoin" in plan or "ShuffledHashJoin" in plan)
+        return copy(df, kind)
+
+    copy = subscriptions.materialize
+    monkeypatch.setattr(subscriptions, "materialize", seen)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "20k")
+    try:
+        subjects = spark.range(5000).selectExpr("concat('es.acme.i', id % 5, '.index.u', id) AS subject")
+        wide = spark.createDataFrame([("es.*.*.*.*",), (">",)], "pattern string")
+        own = subjects.selectExpr("regexp_replace(subject, '.index.', '.*.') AS pattern")
+        got = match_subjects(subjects, own.unionByName(wide))
+        assert got.count() == 3 * 5000 and got.distinct().count() == 3 * 5000
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert shuffled == [False, False, False, False, False, True]
