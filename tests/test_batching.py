@@ -72,3 +72,32 @@ def test_tick_batches(spark):
                                "ts string").select(F.col("ts").cast("timestamp").alias("timestamp"))
     ticks = [r["tick"] for r in bt.batch_by_tick(df, 100).collect()]
     assert ticks[1] == ticks[2] == ticks[0] + 1
+
+
+def test_byte_batches_need_one_shuffle_and_go_on_over_record_batches(spark):
+    df, rows = _feed(spark, 300)
+    df = df.withColumn("timestamp", F.timestamp_seconds(F.floor(F.col("sequence") / 100)))
+    # a change without a document id has no size; rows without a lane are never flushed
+    df = df.withColumn("doc_id", F.when(F.col("sequence") % 5 != 4, F.col("doc_id")))
+    lane = F.when(F.col("sequence") % 4 != 3, F.col("sequence") % 4)
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    was = spark.conf.get(key)
+    for tick_ms in (None, 1000):
+        batched = bt.batch_by_bytes(df, max_bytes=900, max_count=4, lane=lane, tick_ms=tick_ms)
+        plan = batched._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange") == 1 and "Join" not in plan and "FlatMapGroups" not in plan
+        try:
+            spark.conf.set(key, 7)
+            got = {r["sequence"]: (r["lane"], r["batch_no"], r["batch_pos"]) for r in batched.collect()}
+        finally:
+            spark.conf.set(key, was)
+        groups = {}
+        for s, index, doc, src in sorted(rows):
+            size = 0 if s % 5 == 4 else len(src) + len(index) + len(doc) + 200
+            groups.setdefault((s % 4, tick_ms and s // 100), []).append((s, size))
+        want = {}
+        for (mod, _), items in groups.items():
+            limits = (900, 4) if mod != 3 else (10**9, 10**9)
+            for (s, _), at in zip(items, _greedy([z for _, z in items], *limits)):
+                want[s] = (mod if mod != 3 else None, *at)
+        assert got == want

@@ -143,3 +143,34 @@ def test_copies_are_dropped_and_a_cluster_needs_a_shared_folder(spark):
         sparkContext = Context()
     with pytest.raises(RuntimeError):
         shared_dir(Session())
+
+
+def _plan(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_a_write_decodes_each_payload_once_and_carries_what_it_writes(spark, monkeypatch):
+    feed, paths, cfg = changes(spark, SF_SMALL).limit(200), stages.SyncPaths.fresh(spark), _cfg(batch_size=5, tick_ms=60_000)
+    stages.watch(spark, feed, paths, cfg)
+    stages.gate_stage(spark, paths, cfg)
+    plans, columns = [], []
+
+    def seen(df, kind):
+        plans.append(_plan(df))
+        columns.append(df.columns)
+        return materialize(df, kind)
+    monkeypatch.setattr(stages, "materialize", seen)
+    stages.write_stage(spark, paths, cfg)
+    assert len(re.findall("from_json", plans[0])) == 1
+    assert "headers" not in columns[0] and "msg_id" not in columns[0]
+    assert _state(KeyedTable(spark, paths.target).read()) == _state(apply_changes(feed))
+
+
+def test_a_store_parses_each_line_once(spark):
+    from tributary.workloads.stages import _store
+    body = '{"index":{"_id":"u1","_index":"a"}}\n{"k":1,"meta":{"index":2}}\n{"delete":{"_id":"u3","_index":"a"}}\n'
+    requests = materialize(spark.createDataFrame([(0, 0, 0, body)], "lane int, tick bigint, batch_no bigint, body string"), "t/asked")
+    answers = _store()(requests)
+    assert len(re.findall("from_json", _plan(answers))) == 1
+    items = re.findall(r'"status":(\d+)', answers.first()["body"])
+    assert items == ["200", "400"]

@@ -8,19 +8,20 @@ flush tick of ``tick_ms`` (event time).
   numbers and shifted by the running count of earlier buckets (no single-task
   window);
 * byte batches (W2) flush right after the row that reaches a limit.  Where a
-  batch ends depends on where it began, so a lane's flush interval is one
-  group; the tick bounds it, as it bounds a writer's buffer;
+  batch ends depends on where it began, so a lane's flush interval is passed
+  through in order by one task; the tick bounds it, as it bounds a writer's buffer;
 * tick batches (W3) are plain event-time windows.
 """
 
 from __future__ import annotations
 
-from typing import Sequence
+from typing import Iterable, Iterator, Sequence
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 
 from tributary.functions.envelope import envelope_size
 from tributary.session import ship_package
@@ -98,6 +99,29 @@ def flush_points(sizes: np.ndarray, max_bytes: int, max_count: int | None) -> np
     return np.array(starts, np.int64)
 
 
+def _numbered(batches: Iterable[pa.RecordBatch], max_bytes: int, max_count: int | None) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by (lane, tick) with their batch and their position in it.
+
+    Only the group at hand, its open batch's number, rows and bytes are kept from one
+    record batch to the next.  Rows without a lane have no writer: they are never flushed.
+    """
+    group, no, pos, held = None, 0, 0, 0
+    for rows in batches:
+        numbers, positions = [], []
+        for lane, tick, size in zip(*(rows.column(c).to_pylist() for c in ("lane", "tick", "_size"))):
+            if group != (lane, tick):
+                group, no, pos, held = (lane, tick), 0, 0, 0
+            elif lane is not None and (held >= max_bytes or max_count and pos >= max_count):
+                no, pos, held = no + 1, 0, 0
+            numbers.append(no)
+            positions.append(pos)
+            pos, held = pos + 1, held + size
+        kept = [c for c in rows.schema.names if c != "_size"]
+        yield pa.RecordBatch.from_arrays(
+            [*(rows.column(c) for c in kept), pa.array(numbers, pa.int64()), pa.array(positions, pa.int32())],
+            names=[*kept, "batch_no", "batch_pos"])
+
+
 def batch_by_bytes(df: DataFrame, max_bytes: int = DEFAULT_BATCH_BYTES, max_count: int | None = DEFAULT_BATCH_SIZE,
                    lane: Column | None = None, tick_ms: int | None = DEFAULT_TICK_MS, ts: str = "timestamp",
                    seq: str = "sequence", size: Column | None = None,
@@ -107,37 +131,19 @@ def batch_by_bytes(df: DataFrame, max_bytes: int = DEFAULT_BATCH_BYTES, max_coun
     limit by one change.
 
     Adds ``lane``, ``tick``, ``batch_no`` and ``batch_pos``.  Rows of a (lane, tick) are
-    numbered in order of sequence and ``tie`` (equal sequences are normal: each
-    index has its own); only the number and the size go through Python, and one
-    row per batch comes back.
+    taken in order of sequence and ``tie`` (equal sequences are normal: each
+    index has its own).  They are shuffled and sorted once and numbered as they
+    pass, many groups to a task: no group is collected, and none costs a call.
     """
     ship_package(df.sparkSession)
     size = envelope_size() if size is None else size
     tick = tick_of(ts, tick_ms) if tick_ms is not None else F.lit(None).cast("bigint")
     grp = ["lane", "tick"]
     d = df.withColumn("lane", (F.lit(0) if lane is None else lane).cast("int")).withColumn("tick", tick)
-    w = Window.partitionBy(*grp).orderBy(*_ordered(seq, tie))
-    d = d.withColumn("_row", F.row_number().over(w).cast("bigint") - 1)
-
-    def first_rows(pdf):
-        pdf = pdf.sort_values("_row")
-        starts = flush_points(pdf["_size"].to_numpy(np.int64), max_bytes, max_count)
-        return pd.DataFrame({"_lane": pdf["lane"].iloc[0], "_tick": pdf["tick"].iloc[0], "_first": starts})
-
-    # a group within both limits is one batch; only the others are walked
-    slim = d.select(*grp, "_row", size.cast("bigint").alias("_size"))
-    whole = Window.partitionBy(*grp)
-    over = F.sum("_size").over(whole) >= max_bytes
-    if max_count:
-        over = over | (F.count(F.lit(1)).over(whole) > max_count)
-    starts = (slim.withColumn("_over", over).filter("_over").groupBy(*grp)
-              .applyInPandas(first_rows, "_lane int, _tick bigint, _first bigint"))
-    on = (F.col("lane") == F.col("_lane")) & F.col("tick").eqNullSafe(F.col("_tick")) & (F.col("_row") == F.col("_first"))
-    upto = Window.partitionBy(*grp).orderBy("_row").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return (d.join(starts, on, "left")
-            .withColumn("batch_no", F.greatest(F.count("_first").over(upto) - 1, F.lit(0)))
-            .withColumn("batch_pos", (F.col("_row") - F.coalesce(F.max("_first").over(upto), F.lit(0))).cast("int"))
-            .drop("_lane", "_tick", "_first", "_row"))
+    schema = StructType([*d.schema.fields, StructField("batch_no", LongType()), StructField("batch_pos", IntegerType())])
+    rows = d.withColumn("_size", F.coalesce(size.cast("bigint"), F.lit(0)))
+    rows = rows.repartition(*grp).sortWithinPartitions(*grp, *_ordered(seq, tie))
+    return rows.mapInArrow(lambda batches: _numbered(batches, max_bytes, max_count), schema)
 
 
 def batch_by_tick(df: DataFrame, tick_ms: int = DEFAULT_TICK_MS, ts: str = "timestamp") -> DataFrame:

@@ -174,7 +174,8 @@ def _sent(batched: DataFrame, cfg: SyncConfig) -> list[DataFrame]:
     order = Window.partitionBy(*BULK).orderBy("batch_pos")
     settled, todo = [], batched
     for attempt in range(1, cfg.max_attempts + 1):
-        todo = todo.withColumn("_pos", F.row_number().over(order) - 1)
+        # a whole batch has its positions already, what is left of one is numbered anew
+        todo = todo.withColumn("_pos", F.col("batch_pos") if attempt == 1 else F.row_number().over(order) - 1)
         items = bulk.parse_response(cfg.send(bulk.batch_bodies(todo, by=BULK, pos="_pos")), keep=BULK).select(
             *[F.col(c).alias(f"_{c}") for c in BULK], "item_no", "status", "error_type", "error_reason")
         match = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in BULK] + [F.col("_pos") == F.col("item_no")]
@@ -198,7 +199,7 @@ def write_stage(spark: SparkSession, paths: SyncPaths, cfg: SyncConfig) -> DataF
         if batch in done:
             continue
         new = _read_batch(spark, paths.gated, batch).filter(F.col("outcome") == "forwarded").select("payload")
-        msgs = codec.valid(codec.decode(new)).dropDuplicates(["msg_id"])                                   # T7
+        msgs = codec.valid(codec.decode(new)).dropDuplicates(["msg_id"]).select(*dq.ENVELOPE_COLUMNS)      # T7
         batched = bt.batch_by_bytes(msgs, cfg.batch_bytes, cfg.batch_size, bt.key_lane(cfg.lanes), cfg.tick_ms)
         if cfg.send is None:
             copies = [materialize(_checked(batched), "stage/checked")]

@@ -186,7 +186,10 @@ def _store():
     def send(requests):
         calls.append(1)
         lines = requests.select("lane", "tick", "batch_no", F.posexplode(F.split("body", "\n")).alias("p", "line"))
-        asked = lines.withColumn("m", F.from_json("line", "map<string, struct<_index: string, _id: string>>")).withColumn(
+        lines = lines.filter(F.col("line").rlike(r'^\s*\{\s*"(index|update|delete)"'))
+        # exploding the one parsed value keeps the filter above the parse: each line is parsed once
+        m = F.from_json("line", "map<string, struct<_index: string, _id: string>>")
+        asked = lines.select("lane", "tick", "batch_no", "p", F.explode(F.array(m)).alias("m")).withColumn(
             "action", F.map_keys("m")[0]).filter(F.col("action").isin("index", "update", "delete") & F.map_values("m")[0]["_id"].isNotNull())
         target = F.map_values("m")[0]
         number = F.expr("try_cast(substr(map_values(m)[0]._id, 2) as bigint)")
