@@ -11,6 +11,7 @@ from tributary.operators import filters as flt
 from tributary.operators.apply import KeyedTable, apply_changes
 from tributary.plans import stages
 from tributary.session import materialize, release, shared_dir
+from tributary.sources import cursor as cur
 from tributary.sources import storage
 
 from conftest import SF_SMALL
@@ -174,3 +175,14 @@ def test_a_store_parses_each_line_once(spark):
     assert len(re.findall("from_json", _plan(answers))) == 1
     items = re.findall(r'"status":(\d+)', answers.first()["body"])
     assert items == ["200", "400"]
+
+
+def test_a_first_poll_meets_no_cursors_and_shuffles_nothing(spark):
+    feed, paths = changes(spark, SF_SMALL), stages.SyncPaths.fresh(spark)
+    polled = cur.poll_per_index(feed, stages._cursors(spark, paths), limit=None)
+    plan = polled._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and "Exchange" not in plan
+    stages.watch(spark, feed.filter("sequence < 50"), paths, _cfg())
+    later = cur.poll_per_index(feed, stages._cursors(spark, paths), limit=None)
+    cursor = feed.filter("sequence < 50").groupBy("index").agg(F.max("sequence").alias("c"))
+    assert later.count() == feed.join(cursor, "index", "left").filter("c IS NULL OR sequence > c").count()
